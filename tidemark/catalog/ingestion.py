@@ -16,7 +16,7 @@ from ..plans import analytics as a
 from ..session import work_path
 from ..sources import writers as w
 from ..sources.readers import parse_messages, read_snapshot
-from ..sources.schemas import EVENT_MESSAGE, PRODUCT_DOCUMENT, STAR_KEYS, conform
+from ..sources.schemas import PRODUCT_DOCUMENT, STAR_KEYS, conform
 from ..sources.star import Star, load_star, raw, star_from_shop
 from .base import NOW, STAR, query, stamp
 from .expressions import star_query
@@ -242,12 +242,10 @@ def ing_11(spark, directory):
 def ing_12(spark, directory):
     # Path one stores the table, path two receives messages (without errors, each delivered twice) and dedupes at read.
     stored = raw(spark, directory, "events").select("event_id", "user_id", "event_type", F.col("ts").alias("event_time"))
-    sent = stored.where("event_type <> 'error'").select(F.to_json(F.struct("*")).alias("value"))
-    messages = parse_messages(
-        sent.unionByName(sent), "value", "event_id bigint, user_id bigint, event_type string, event_time string"
-    )
-    # to_json prints zone-free times in the ISO form with the letter T.
-    received = messages.withColumn("event_time", F.col("event_time").try_cast("timestamp_ntz"))
+    written = stored.withColumn("event_time", F.col("event_time").cast("string"))
+    sent = written.where("event_type <> 'error'").select(F.to_json(F.struct("*")).alias("value"))
+    schema = "event_id bigint, user_id bigint, event_type string, event_time string"
+    received = parse_messages(sent.unionByName(sent), "value", schema, ["event_time"])
     deduped = ch.read_latest(received, ["event_id"], F.desc("event_time"))
     return q.reconcile_summary(stored, deduped.select(*stored.columns), ["event_id"])
 

@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.changes import apply_upserts
 
+SNAPSHOT = -1  # base version of an initial snapshot
+NOTHING = -2  # no base yet
+
 
 class ChangeTable:
     """A compacted base plus a log of later change batches, all plain Parquet below one folder.
@@ -31,15 +34,19 @@ class ChangeTable:
         path = f"{self.root}/log/batch={batch_id}"
         changes.select(*self.changes.fieldNames()).write.mode("overwrite").parquet(path)
 
+    def load_snapshot(self, rows: DataFrame) -> None:
+        """Store the initial rows as the base; the stream's batches, numbered from 0, follow it."""
+        self._commit_base(rows, SNAPSHOT)
+
     def version(self) -> int:
-        """Highest batch folded into the base, -1 before the first compaction."""
+        """Highest batch folded into the base."""
         commits = self._read(f"{self.root}/commits", T.StructType.fromDDL("version bigint"))
-        return commits.agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
+        return commits.agg(F.coalesce(F.max("version"), F.lit(NOTHING))).first()[0]
 
     def pending(self, version: int | None = None) -> DataFrame:
         """Change rows that are not in the base yet."""
         version = self.version() if version is None else version
-        schema = T.StructType(list(self.changes.fields)).add("batch", "bigint")
+        schema = T.StructType(list(self.changes.fields)).add("batch", T.LongType())
         return self._read(f"{self.root}/log", schema).where(F.col("batch") > version).drop("batch")
 
     def current(self) -> DataFrame:
@@ -52,13 +59,16 @@ class ChangeTable:
         """Fold all stored batches into a new base and return its version."""
         version = self.version()
         log = self._read(f"{self.root}/log", T.StructType.fromDDL("batch bigint"))
-        newest = log.agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0]
+        newest = log.agg(F.coalesce(F.max("batch"), F.lit(NOTHING))).first()[0]
         if newest > version:
-            self.current().write.mode("overwrite").parquet(f"{self.root}/base/version={newest}")
-            done = self.spark.range(1).select(F.lit(newest).cast("bigint").alias("version"))
-            done.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+            self._commit_base(self.current(), newest)
         return max(newest, version)
 
+    def _commit_base(self, rows: DataFrame, version: int) -> None:
+        rows.select(*self.rows.fieldNames()).write.mode("overwrite").parquet(f"{self.root}/base/version={version}")
+        done = self.spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
+        done.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+
     def _read(self, path: str, schema: T.StructType) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(path)
