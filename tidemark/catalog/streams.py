@@ -12,7 +12,7 @@ from ..session import work_path
 from ..sources import writers as w
 from ..sources.readers import read_json_stream, read_table_stream
 from ..sources.schemas import EVENT_MESSAGE, conform
-from ..sources.star import Star, raw, star_from_shop
+from ..sources.star import raw, star_from_shop
 from ..streaming import live, sync
 from ..streaming.tables import ChangeTable
 from ..streaming.telemetry import ingest_signals
@@ -272,8 +272,7 @@ def st_2(spark, directory):
     star = star_from_shop(spark, directory)
 
     def results(session: SparkSession):
-        facts = session.read.parquet(f"{root}/events")
-        now = Star(star.dim_users, star.dim_features, star.dim_campaigns, facts, star.fact_conversions)
+        now = star.replace(fact_events=session.read.parquet(f"{root}/events"))
         return {"event_types": a.event_types(now), "activity_per_plan": a.activity_per_plan(now)}
 
     def store(batch: DataFrame, batch_id: int) -> None:

@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.texts import chunks, match_any, not_blank, query_terms, tokens
+from ..functions.texts import chunks, match_any, not_blank, query_terms, term_count, token_count, tokens
 from .ranking import head_per_group, ranked_head, top_k
 
 # Fixed values of the fused ranking.
@@ -144,40 +144,35 @@ def search_counts(docs: DataFrame, query: str) -> DataFrame:
     )
 
 
-def _occurrences(words: str, term: str) -> Column:
-    return F.size(F.filter(words, lambda word: word == term))
-
-
 def bm25(docs: DataFrame, query: str, k: int | None = None) -> DataFrame:
     """BM25 scores of documents that hold a query term: ``id, score``.
 
-    Term counts are computed inside each row. The corpus statistics (documents, mean length, document
-    frequency per term) come from one scan as a one-row scalar subquery.
+    Term counts are computed inside each row. The corpus statistics (documents, mean length, document frequency per
+    term) come from one scan as a one-row scalar subquery; only matching documents are counted for the scores.
     """
     terms = query_terms(query)
-    counted = docs.select("id", tokens("content").alias("t")).select(
-        "id",
-        F.size("t").alias("length"),
-        *[_occurrences("t", term).alias(f"tf{i}") for i, term in enumerate(terms)],
-    )
-    stats = counted.agg(
+    if not terms:
+        return docs.select("id", F.lit(0.0).alias("score")).where(F.lit(False))
+    stats = docs.agg(
         F.struct(
             F.count(F.lit(1)).alias("n"),
-            F.avg("length").alias("mean"),
-            *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))],
+            F.avg(token_count("content")).alias("mean"),
+            *[F.count_if(match_any("content", term)).alias(f"df{i}") for i, term in enumerate(terms)],
         ).alias("s")
     ).scalar()
-    hit = F.lit(False)
-    for i in range(len(terms)):
-        hit = hit | (F.col(f"tf{i}") > 0)
-    scored = counted.where(hit).withColumn("s", stats)
+    counted = docs.where(match_any("content", query)).select(
+        "id",
+        token_count("content").alias("length"),
+        *[term_count("content", term).alias(f"tf{i}") for i, term in enumerate(terms)],
+        stats.alias("s"),
+    )
     score = F.lit(0.0)
     for i in range(len(terms)):
         tf, df_ = F.col(f"tf{i}"), F.col(f"s.df{i}")
         idf = F.log(F.lit(1.0) + (F.col("s.n") - df_ + 0.5) / (df_ + 0.5))
         norm = tf + BM25_K1 * (1.0 - BM25_B + BM25_B * F.col("length") / F.col("s.mean"))
         score = score + idf * (tf * (BM25_K1 + 1.0)) / norm
-    ranked = scored.select("id", score.alias("score"))
+    ranked = counted.select("id", score.alias("score"))
     return top_k(ranked, k, F.desc("score"), F.asc("id")) if k else ranked
 
 
