@@ -48,7 +48,8 @@ def attribute_map(attributes: Column) -> Column:
 
 def from_nanos(nanos: Column) -> Column:
     """Nanoseconds since 1970 in UTC as wall clock, whatever the session zone."""
-    seconds = (nanos.cast("decimal(20,0)") / F.lit(1_000_000_000)).cast("decimal(18,6)")
+    micros = F.floor(nanos.cast("decimal(20,0)") / F.lit(1000))
+    seconds = (micros / F.lit(1_000_000)).cast("decimal(18,6)")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
