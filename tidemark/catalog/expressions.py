@@ -18,6 +18,7 @@ from .retrieval import (
     QUERY_WORDS,
     QV_SQL,
     TEXTS_SQL,
+    all_texts,
     any_term_sql,
     cosine_sql,
     documents_with_vectors,
@@ -99,7 +100,7 @@ def fl_5(spark, directory):
     FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY 1""",
 )
 def fl_6(spark, directory):
-    lines = raw(spark, directory, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    lines = all_texts(spark, directory).select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     return lines.groupBy("doc_id").agg(
         F.count_if(texts.not_blank("line")).alias("kept"), F.count(F.lit(1)).alias("lines")
     )

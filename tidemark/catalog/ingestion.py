@@ -15,12 +15,12 @@ from ..operators.retrieval import chunked, embedded, hashing_embedder
 from ..plans import analytics as a
 from ..session import work_path
 from ..sources import writers as w
-from ..sources.readers import parse_messages, read_snapshot
+from ..sources.readers import parse_messages, read_snapshot, spread
 from ..sources.schemas import PRODUCT_DOCUMENT, STAR_KEYS, conform
 from ..sources.star import Star, load_star, raw, star_from_shop
 from .base import NOW, STAR, query, stamp
 from .expressions import star_query
-from .retrieval import tokens_sql
+from .retrieval import all_texts, tokens_sql
 
 # -- the event stream as a change log ---------------------------------------------------------------------
 
@@ -29,7 +29,7 @@ ROW = "user_id bigint, amount double, position bigint, kind string"
 
 def envelopes(spark: SparkSession, directory: str) -> DataFrame:
     """Events as change envelopes keyed by user: an error deletes the user's row, anything else writes it."""
-    events = raw(spark, directory, "events")
+    events = spread(raw(spark, directory, "events"))
     position = F.col("event_id") + 1
     row = F.struct("user_id", F.col("value").alias("amount"), position.alias("position"), F.col("event_type").alias("kind"))
     gone = F.col("event_type") == "error"
@@ -412,7 +412,7 @@ def access_lines(spark: SparkSession, directory: str) -> DataFrame:
         F.col("event_id"),
         F.col("event_type"),
     )
-    return raw(spark, directory, "events").select(line.alias("line"))
+    return spread(raw(spark, directory, "events")).select(line.alias("line"))
 
 
 @query(
@@ -507,7 +507,7 @@ _CHUNKS_SQL = """pieces AS (SELECT doc_id, i AS chunk_no, substring(text, CAST(i
 
 
 def embedded_chunks(spark: SparkSession, directory: str) -> DataFrame:
-    pieces = chunked(raw(spark, directory, "documents"), "text", 512, ["doc_id"])
+    pieces = chunked(all_texts(spark, directory), "text", 512, ["doc_id"])
     return embedded(pieces, "content", hashing_embedder(64))
 
 

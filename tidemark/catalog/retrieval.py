@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import retrieval as r
+from ..sources.readers import spread
 from ..sources.star import raw
 from .base import query
 
@@ -36,8 +37,12 @@ def documents_with_vectors(spark: SparkSession, directory: str) -> DataFrame:
     return texts.join(vectors, "id")
 
 
+def all_texts(spark: SparkSession, directory: str) -> DataFrame:
+    return spread(raw(spark, directory, "documents").select("doc_id", "text"))
+
+
 def texts_only(spark: SparkSession, directory: str) -> DataFrame:
-    return raw(spark, directory, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    return all_texts(spark, directory).select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
 
 
 def query_vector(spark: SparkSession, directory: str) -> list[float]:
@@ -92,7 +97,7 @@ def text_list_sql(k: int) -> str:
     WHERE regexp_matches(substring(text, CAST(i * 512 + 1 AS BIGINT), 512), '\\S')""",
 )
 def tx_1(spark, directory):
-    pieces = r.chunked(raw(spark, directory, "documents"), "text", 512, ["doc_id"])
+    pieces = r.chunked(all_texts(spark, directory), "text", 512, ["doc_id"])
     return pieces.withColumn("chunk_no", F.col("chunk_no").cast("bigint"))
 
 
@@ -102,7 +107,7 @@ def tx_1(spark, directory):
     GROUP BY 1, 2""",
 )
 def tx_2(spark, directory):
-    return r.inverted_index(raw(spark, directory, "documents"), "doc_id", "text")
+    return r.inverted_index(all_texts(spark, directory), "doc_id", "text")
 
 
 @query("tx_3", f"WITH {DOCS_SQL}, {text_list_sql(15)} SELECT id, CAST(text_score AS DOUBLE) AS text_score, text_rank FROM t")

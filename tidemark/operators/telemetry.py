@@ -210,11 +210,11 @@ def parse_access_log(df: DataFrame, line: str) -> DataFrame:
     pattern = "^" + " ".join(p for _, p in ACCESS_LOG_FIELDS)
     groups = mark.join(f"${i}" for i in range(1, len(ACCESS_LOG_FIELDS) + 1))
     kept = [c for c in df.columns if c != line]
-    parted = df.select(*kept, F.split(F.regexp_replace(line, pattern, groups), mark).alias("parts"))
+    parts = F.split(F.regexp_replace(line, pattern, groups), mark)
+    parted = df.select(*kept, F.when(F.size(parts) == len(ACCESS_LOG_FIELDS), parts).alias("parts"))
     columns = []
     for number, (name, _) in enumerate(ACCESS_LOG_FIELDS):
-        text = F.when(F.size("parts") == len(ACCESS_LOG_FIELDS), F.col("parts")[number])
-        value = F.when(~text.isin("", "-"), text)
+        value = F.nullif(F.nullif(F.col("parts")[number], F.lit("-")), F.lit(""))
         if name == "start_time":
             value = F.regexp_replace(value, "Z$", "").try_cast("timestamp_ntz")
         elif name in ACCESS_LOG_NUMBERS:

@@ -45,6 +45,16 @@ def read_snapshot(spark: SparkSession, path: str, columns: dict[str, str | Colum
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share a small input's rows among all cores before costly per-row work.
+
+    One small file is one task, however much work its rows cause. An input that is split at least as often as there
+    are cores, as every large one is, stays as it is and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def parse_messages(df: DataFrame, value: str, schema: str, times: Iterable[str] = ()) -> DataFrame:
     """JSON text values to columns; the listed text columns become zone-free timestamps."""
     rows = df.select(F.from_json(F.col(value).cast("string"), schema).alias("m")).select("m.*")
