@@ -186,3 +186,12 @@ def test_load_star_views(spark, star, work):
 def test_star_needs_all_tables():
     with pytest.raises(ValueError, match="dim_users"):
         Star(fact_events=None)
+
+
+def test_dated_facts_give_the_same_kpis(star):
+    dated = star.replace(
+        fact_events=star.fact_events.withColumn("event_date", F.to_date("event_time")),
+        fact_conversions=star.fact_conversions.withColumn("event_date", F.to_date("conversion_time")),
+    )
+    assert a.kpis(dated, "1 DAY").first() == a.kpis(star, "1 DAY").first()
+    assert a.recent_events(dated, k=3, widen=("1 HOUR", "1 DAY")).collect() == a.recent_events(star, k=3).collect()

@@ -26,7 +26,10 @@ class Clock:
         return Clock(fixed=moment(value))
 
     @staticmethod
-    def latest(table: DataFrame, ts: str) -> "Clock":
+    def latest(table: DataFrame, ts: str, date_col: str | None = None) -> "Clock":
+        """The latest ``ts``; with the day column of a dated table only the last day is read."""
+        if date_col:
+            table = table.where(F.col(date_col) == table.agg(F.max(date_col).alias("day")).scalar())
         return Clock(table=table.select(ts), ts=ts)
 
     def value(self, shape=lambda now: now) -> Column:

@@ -27,7 +27,8 @@ def assign_ids(df: DataFrame, top: Column | int, order: list[str], name: str) ->
         "_part", "_first", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
     start = top if isinstance(top, Column) else F.lit(top)
-    numbered = kept.join(offsets, "_part").withColumn(
+    # One row per partition, so its size is bound by the layout and not by the data.
+    numbered = kept.join(F.broadcast(offsets), "_part").withColumn(
         name, (start + F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("bigint")
     )
     return numbered.drop("_part", "_pos", "_first", "_offset")

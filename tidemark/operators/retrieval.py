@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.texts import chunks, match_any, not_blank, query_terms, term_count, token_count, tokens
+from ..session import broadcast_if_small, checkpointed
 from .ranking import head_per_group, ranked_head, top_k
 
 # Fixed values of the fused ranking.
@@ -106,6 +107,17 @@ def keyword_candidates(docs: DataFrame, query: str, limit: int) -> DataFrame:
     )
 
 
+def _term_hits(docs: DataFrame, queries: DataFrame) -> DataFrame:
+    """``query_id, id`` once per shared term.
+
+    A batch of queries has few terms, which are counted and then broadcast, so the corpus' tokens are matched where
+    they are. For more terms than that the join shuffles by token, and AQE splits the frequent ones.
+    """
+    terms = queries.select("query_id", F.explode(F.array_distinct(tokens("query"))).alias("token"))
+    words = docs.select("id", F.explode(F.array_distinct(tokens("content"))).alias("token"))
+    return words.join(broadcast_if_small(terms, terms.count()), "token").select("query_id", "id")
+
+
 def keyword_candidates_batch(docs: DataFrame, queries: DataFrame, limit: int) -> DataFrame:
     """The same for every query of a batch: ``query_id, id, text_score, text_rank``.
 
@@ -113,8 +125,7 @@ def keyword_candidates_batch(docs: DataFrame, queries: DataFrame, limit: int) ->
     rank, so they need no shuffle to be merged before the cut, and each task sends at most ``limit``
     documents per query.
     """
-    terms = queries.select("query_id", F.explode(F.array_distinct(tokens("query"))).alias("token"))
-    found = docs.select("id", F.explode(F.array_distinct(tokens("content"))).alias("token")).join(terms, "token")
+    found = _term_hits(docs, queries)
     window = Window.partitionBy("query_id").orderBy("id")
     ranked = found.select("query_id", "id", F.dense_rank().over(window).alias("text_rank"))
     return (
@@ -129,8 +140,7 @@ def match_counts(docs: DataFrame, queries: DataFrame) -> DataFrame:
 
     Grouped by (query, document) first, so no query's matches gather in one task.
     """
-    terms = queries.select("query_id", F.explode(F.array_distinct(tokens("query"))).alias("token"))
-    found = docs.select("id", F.explode(F.array_distinct(tokens("content"))).alias("token")).join(terms, "token")
+    found = _term_hits(docs, queries)
     counted = found.groupBy("query_id").agg(F.count_distinct("id").alias("matches"))
     return queries.select("query_id").join(counted, "query_id", "left").select(
         "query_id", F.coalesce("matches", F.lit(0)).alias("matches")
@@ -322,18 +332,24 @@ def hybrid_search(docs: DataFrame, vector: list[float], query: str, k: int = 5)
 
 def hybrid_search_batch(docs: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """The same for a batch of queries, with the position ``rank`` of each hit."""
+    return _hybrid_batch(docs, checkpointed(docs.sparkSession, queries), k)
+
+
+def _hybrid_batch(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     fused = _fused(
         nearest_batch(docs, queries, POOL * k), keyword_candidates_batch(docs, queries, POOL * k), ["query_id", "id"]
     )
     winners = head_per_group(fused, ["query_id"], k, [F.desc("hybrid_score"), F.asc("id")], "rank")
-    return docs.select("id", "content").join(winners, "id").select(
+    # At most k winners per query.
+    return docs.select("id", "content").join(broadcast_if_small(winners, k * queries.count()), "id").select(
         "query_id", "rank", "id", "content", "vector_score", "text_score", "hybrid_score"
     )
 
 
 def answer_context(docs: DataFrame, queries: DataFrame, k: int = 3) -> DataFrame:
     """The text handed to an answering step, per query: statistics, then numbered passages."""
-    hits = hybrid_search_batch(docs, queries, k)
+    queries = checkpointed(docs.sparkSession, queries)
+    hits = _hybrid_batch(docs, queries, k)
     passage = F.format_string(
         "[Source %d] (Hybrid: %.4f, Vector: %.4f, BM25: %.2f)\n%s\n",
         "rank", "hybrid_score", "vector_score", "text_score", "content",

@@ -21,7 +21,7 @@ USE = "feature_use"
 
 def clock_of(star: Star) -> Clock:
     """Default "now": the latest event."""
-    return Clock.latest(star.fact_events, "event_time")
+    return Clock.latest(star.fact_events, "event_time", _day(star.fact_events))
 
 
 def _events(star: Star, window: str | None, clock: Clock | None) -> DataFrame:
@@ -136,11 +136,14 @@ def feature_adoption(star: Star, window: str = "30 DAYS", clock: Clock | None =
 
 
 def feature_heatmap(star: Star, k: int = 5) -> DataFrame:
-    """Use by feature name and plan for the ``k`` most used features; all types, all time."""
-    uses = tally(star.fact_events, ["user_id", "feature_id"])
-    totals = uses.groupBy("feature_id").agg(F.sum("n").alias("total"))
-    top = top_k(totals, k, F.desc("total"), F.asc_nulls_last("feature_id")).select("feature_id")
-    return _by_feature_and_plan(star, uses.join(top, "feature_id", "left_semi"))
+    """Use by feature name and plan for the ``k`` most used features; all types, all time.
+
+    The first pass reads feature ids only; the second keeps the ``k`` features before anything is shuffled.
+    """
+    totals = tally(star.fact_events, ["feature_id"])
+    top = top_k(totals, k, F.desc("n"), F.asc_nulls_last("feature_id")).select("feature_id")
+    kept = star.fact_events.join(top, "feature_id", "left_semi")
+    return _by_feature_and_plan(star, tally(kept, ["user_id", "feature_id"]))
 
 
 def feature_heatmap_recent(star: Star, window: str = "30 DAYS", clock: Clock | None = None) -> DataFrame:
@@ -212,7 +215,7 @@ def _latest_matched(facts: DataFrame, ts: str, key: str, k: int, join, widen: tu
     """
     order = [F.desc_nulls_last(ts), F.desc_nulls_last(key)]
     for interval in widen:
-        head = top_k(join(since(facts, ts, interval, Clock.latest(facts, ts), _day(facts))), k, *order)
+        head = top_k(join(since(facts, ts, interval, Clock.latest(facts, ts, _day(facts)), _day(facts))), k, *order)
         if head.count() == k:
             return head
     return top_k(join(facts), k, *order)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 # Settings a long-running deployment should carry. Broadcasts stay behind Catalyst's size check
 # (autoBroadcastJoinThreshold); larger sides become shuffled joins that AQE may split when skewed.
@@ -60,3 +60,12 @@ def checkpointed(spark: SparkSession, df):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+# Rows up to which a side counted beforehand is broadcast; what is broadcast here is a few dozen bytes wide.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df, rows: int):
+    """Mark ``df`` for broadcast when its known row count allows it; otherwise it is joined by shuffle."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df

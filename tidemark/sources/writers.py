@@ -18,12 +18,10 @@ def append(df: DataFrame, path: str, records_per_file: int | None = None) -> Non
 def write_dated(df: DataFrame, path: str, ts: str, date_col: str = "event_date", mode: str = "append") -> None:
     """A fact table partitioned by day, which range filters and retention prune by folder.
 
-    Rows are spread by day and hour before writing, so a busy day is not written by one task and a day
-    still ends up in few files.
+    Rows are rebalanced by day: AQE splits a day that is too large for one task and joins small ones.
     """
-    dated = df.withColumn(date_col, F.to_date(ts))
-    spread = dated.repartition(F.col(date_col), F.hour(ts), F.minute(ts) % 4)
-    spread.write.mode(mode).partitionBy(date_col).parquet(path)
+    dated = df.withColumn(date_col, F.to_date(ts)).hint("rebalance", date_col)
+    dated.write.mode(mode).partitionBy(date_col).parquet(path)
 
 
 def ensure_table(spark: SparkSession, name: str, schema, path: str | None = None) -> bool:
