@@ -16,12 +16,20 @@ from ..functions.texts import chunks, match_any, not_blank, query_terms, term_co
 from ..session import broadcast_if_small, checkpointed
 from .ranking import head_per_group, ranked_head, top_k
 
-# Fixed values of the fused ranking.
+# Weights, constants and texts that results must carry exactly.
 VECTOR_WEIGHT = 0.5
 TEXT_WEIGHT = 0.5
 RANK_CONSTANT = 60
 MISSING_RANK = 999
 POOL = 3  # candidates per list are POOL * k
+CHUNK_CHARACTERS = 512
+STATISTICS_TEXT = (
+    "Search Statistics:\n- Total documents: %d\n- BM25 keyword matches: %d\n- Final results after RRF: %d\n\n"
+)
+PASSAGE_TEXT = "[Source %d] (Hybrid: %.4f, Vector: %.4f, BM25: %.2f)\n%s\n"
+NOTHING_FOUND_TEXT = (
+    "No relevant information found.\n\nSearch Statistics:\n- Total documents: %d\n- BM25 matches: %d"
+)
 
 # Okapi BM25 parameters.
 BM25_K1 = 1.2
@@ -34,7 +42,7 @@ QUERY_BYTES_PER_PASS = 32 * 1024 * 1024
 # -- chunking and embedding -------------------------------------------------------------------------------
 
 
-def chunked(df: DataFrame, text: str, size: int = 512, keep: list[str] | None = None) -> DataFrame:
+def chunked(df: DataFrame, text: str, size: int = CHUNK_CHARACTERS, keep: list[str] | None = None) -> DataFrame:
     """One row per chunk that is not blank, with its position ``chunk_no`` in the text."""
     kept = keep if keep is not None else [c for c in df.columns if c != text]
     pieces = df.select(*kept, F.posexplode(chunks(text, size)).alias("chunk_no", "content"))
@@ -350,24 +358,15 @@ def answer_context(docs: DataFrame, queries: DataFrame, k: int = 3) -> DataFrame
     """The text handed to an answering step, per query: statistics, then numbered passages."""
     queries = checkpointed(docs.sparkSession, queries)
     hits = _hybrid_batch(docs, queries, k)
-    passage = F.format_string(
-        "[Source %d] (Hybrid: %.4f, Vector: %.4f, BM25: %.2f)\n%s\n",
-        "rank", "hybrid_score", "vector_score", "text_score", "content",
-    )
+    passage = F.format_string(PASSAGE_TEXT, "rank", "hybrid_score", "vector_score", "text_score", "content")
     passages = hits.groupBy("query_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", passage.alias("text")))).alias("parts"),
         F.count(F.lit(1)).alias("results"),
     )
     total = docs.agg(F.count(F.lit(1)).alias("total")).scalar()
     found = match_counts(docs, queries).join(passages, "query_id", "left").withColumn("total", total)
-    header = F.format_string(
-        "Search Statistics:\n- Total documents: %d\n- BM25 keyword matches: %d\n- Final results after RRF: %d\n\n",
-        "total", "matches", "results",
-    )
-    empty = F.format_string(
-        "No relevant information found.\n\nSearch Statistics:\n- Total documents: %d\n- BM25 matches: %d",
-        "total", "matches",
-    )
+    header = F.format_string(STATISTICS_TEXT, "total", "matches", "results")
+    empty = F.format_string(NOTHING_FOUND_TEXT, "total", "matches")
     body = F.array_join(F.transform("parts", lambda p: p["text"]), "")
     return found.select(
         "query_id", F.when(F.col("results").isNull(), empty).otherwise(F.concat(header, body)).alias("context")

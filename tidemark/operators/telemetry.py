@@ -153,7 +153,7 @@ def drop_zero_time(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     return df.where(F.col(ts) > F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
-# Record filters per signal: only logs lose the service whose clock is broken.
+# Fixed value. Record filters per signal: only logs lose the service whose clock is broken.
 BROKEN_CLOCK_SERVICE = "currency"
 PIPELINES = {
     "logs": [lambda df: drop_resource(df, "service.name", BROKEN_CLOCK_SERVICE)],
@@ -170,7 +170,7 @@ def run_pipeline(df: DataFrame, signal: str, pipelines=None) -> DataFrame:
     return records
 
 
-# Fields of a proxy access-log line, in line order: name and the pattern of its text.
+# Fields of a proxy access-log line, in line order, name and the pattern of its text.
 _BARE, _QUOTED = r"(\S+)", r'"([^"]*)"'
 ACCESS_LOG_FIELDS = [
     ("start_time", r"\[([^\]]*)\]"),

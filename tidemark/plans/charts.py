@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ..operators.filters import apply_filters
 from ..operators.ranking import top_k
 
-# Largest number of rows a chart returns, and time grains by their ISO names.
+# Largest number of rows a chart returns, and time grains by their ISO names.
 ROW_CAP = 5000
 GRAINS = {"PT1H": "hour", "P1D": "day"}
 
@@ -62,7 +62,7 @@ class Roles:
         return self.main_time or (self.times[0] if self.times else None)
 
 
-# Column roles of the star tables.
+# Column roles of the star tables.
 STAR_ROLES = {
     "dim_users": Roles(times=("signup_date",)),
     "dim_features": Roles(not_groupable=("description",)),
