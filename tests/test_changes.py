@@ -1,5 +1,6 @@
 """Change application, routing, ids, defaults, sinks and data quality."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.operators import changes as ch, quality as q
-from tidemark.operators.filters import Clock
+from tidemark.operators.filters import Clock, retain
 from tidemark.operators.ids import assign_ids
 from tidemark.sources import readers, writers as w
 from tidemark.sources.schemas import EVENT_MESSAGE
@@ -135,6 +136,19 @@ def test_dated_table_is_written_by_day(spark, work):
     assert found.count() == 72 and found.select("event_date").distinct().count() == 3
 
 
+def test_old_days_are_dropped(spark, work):
+    spark.sql(f"CREATE DATABASE tidemark_days LOCATION '{work}/db'")
+    try:
+        df = spark.sql("SELECT id, timestamp_ntz'2024-01-01' + make_dt_interval(id) AS ts FROM range(10)")
+        w.save_dated(df, "tidemark_days.t", "ts")
+        kept = retain(df, "ts", 7, Clock.at("2024-01-10 05:00:00"))
+        assert w.expire_days(spark, "tidemark_days.t", 7, dt.date(2024, 1, 10)) == ["2024-01-01", "2024-01-02"]
+        assert spark.table("tidemark_days.t").count() == kept.count() == 8
+        assert w.expire_days(spark, "tidemark_days.t", 7, dt.date(2024, 1, 10)) == []
+    finally:
+        spark.sql("DROP DATABASE tidemark_days CASCADE")
+
+
 def test_reconcile(spark):
     source = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "d"), (4, "d")], ROW)
     target = spark.createDataFrame([(1, "a"), (2, "B"), (4, "d"), (5, "e"), (3, None)], ROW)

@@ -410,8 +410,8 @@ def ag_5(star: Star) -> DataFrame:
 def ag_6(spark, directory):
     raw(spark, directory, "lineitem").createOrReplaceTempView("tidemark_lines")
     return spark.sql(
-        """SELECT l_returnflag, l_linestatus, l_linenumber, year(l_shipdate) AS y, month(l_shipdate) AS m,
-        CAST(l_quantity AS BIGINT) AS q, l_discount, l_tax, count(*) AS lines
+        """SELECT l_returnflag, l_linestatus, l_linenumber, CAST(year(l_shipdate) AS BIGINT) AS y,
+        CAST(month(l_shipdate) AS BIGINT) AS m, CAST(l_quantity AS BIGINT) AS q, l_discount, l_tax, count(*) AS lines
         FROM tidemark_lines GROUP BY 1, 2, 3, 4, 5, 6, 7, 8"""
     )
 

@@ -424,8 +424,9 @@ def access_lines(spark: SparkSession, directory: str) -> DataFrame:
 )
 def tel_8(spark, directory):
     parsed = t.parse_access_log(access_lines(spark, directory), "line")
-    return t.requests_by(parsed, "path", "route_name", "response_code").withColumn(
-        "mean_duration_ms", F.round("mean_duration_ms", 6)
+    counted = t.requests_by(parsed, "path", "route_name", "response_code")
+    return counted.withColumns(
+        {"response_code": F.col("response_code").cast("int"), "mean_duration_ms": F.round("mean_duration_ms", 6)}
     )
 
 
@@ -521,7 +522,7 @@ def tx_8(spark, directory):
     return embedded_chunks(spark, directory).select(
         "doc_id",
         F.col("chunk_no").cast("bigint").alias("chunk_no"),
-        F.size("embedding").cast("bigint").alias("dims"),
+        F.size("embedding").alias("dims"),
         (F.round(length, 5) == 1.0).alias("has_direction"),
     )
 
@@ -535,4 +536,4 @@ def tx_9(spark, directory):
     numbered = assign_ids(embedded_chunks(spark, directory), 0, ["doc_id", "chunk_no"], "id")
     w.append(numbered.select("id", "doc_id", "content", "embedding"), path)
     stored = spark.read.parquet(path)
-    return stored.select("id", "doc_id", "content", F.size("embedding").cast("bigint").alias("dims"))
+    return stored.select("id", "doc_id", "content", F.size("embedding").alias("dims"))

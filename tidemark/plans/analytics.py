@@ -207,12 +207,21 @@ def attribution(star: Star, window: str = "30 DAYS", clock: Clock | None = None,
     return top_k(counted, k, F.desc_nulls_last("revenue"), *[F.asc_nulls_last(c) for c in keys])
 
 
-def _latest_matched(facts: DataFrame, ts: str, key: str, k: int, join, widen: tuple[str, ...]) -> DataFrame:
+# Windows tried for a feed over a dated table, where a window opens few day folders.
+FEED_WINDOWS = ("1 DAY", "7 DAYS")
+
+
+def _latest_matched(
+    facts: DataFrame, ts: str, key: str, k: int, join, widen: tuple[str, ...] | None
+) -> DataFrame:
     """The latest ``k`` facts that survive ``join``.
 
-    Without ``widen`` the whole table is joined and cut. With it, growing windows behind the latest fact are tried:
-    once a window holds ``k`` matches, no older fact can belong to the result.
+    With windows in ``widen``, growing spans behind the latest fact are tried: once one holds ``k`` matches, no older fact
+    can belong to the result. Otherwise, and when none does, the whole table is joined and cut. By default windows are tried
+    for a dated table only.
     """
+    if widen is None:
+        widen = FEED_WINDOWS if _day(facts) else ()
     order = [F.desc_nulls_last(ts), F.desc_nulls_last(key)]
     for interval in widen:
         head = top_k(join(since(facts, ts, interval, Clock.latest(facts, ts, _day(facts)), _day(facts))), k, *order)
@@ -221,7 +230,7 @@ def _latest_matched(facts: DataFrame, ts: str, key: str, k: int, join, widen: tu
     return top_k(join(facts), k, *order)
 
 
-def recent_conversions(star: Star, k: int = 50, widen: tuple[str, ...] = ()) -> DataFrame:
+def recent_conversions(star: Star, k: int = 50, widen: tuple[str, ...] | None = None) -> DataFrame:
     users = star.dim_users.select("user_id", "email", "plan")
     campaigns = star.dim_campaigns.select("campaign_id", "campaign_name", "channel")
     head = _latest_matched(
@@ -237,7 +246,7 @@ def recent_conversions(star: Star, k: int = 50, widen: tuple[str, ...] = ()) ->
     )
 
 
-def recent_events(star: Star, k: int = 100, widen: tuple[str, ...] = ()) -> DataFrame:
+def recent_events(star: Star, k: int = 100, widen: tuple[str, ...] | None = None) -> DataFrame:
     users = star.dim_users.select("user_id", "email", "name", "plan")
     features = star.dim_features.select("feature_id", "feature_name")
     head = _latest_matched(

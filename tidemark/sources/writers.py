@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -24,6 +25,27 @@ def write_dated(df: DataFrame, path: str, ts: str, date_col: str = "event_date",
     dated.write.mode(mode).partitionBy(date_col).parquet(path)
 
 
+def save_dated(df: DataFrame, table: str, ts: str, date_col: str = "event_date") -> None:
+    """The same as a catalog table, whose days :func:`expire_days` can drop."""
+    dated = df.withColumn(date_col, F.to_date(ts)).hint("rebalance", date_col)
+    dated.write.mode("append").format("parquet").partitionBy(date_col).saveAsTable(table)
+
+
+def expire_days(
+    spark: SparkSession, table: str, days: int, today: dt.date, date_col: str = "event_date"
+) -> list[str]:
+    """Drop the day partitions before ``today - days`` and return them; no row is read or rewritten.
+
+    The partition list holds one line per stored day.
+    """
+    first_kept = (today - dt.timedelta(days=days)).isoformat()
+    stored = [row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    expired = sorted(day for day in stored if day < first_kept)
+    for day in expired:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({date_col} = DATE'{day}')")
+    return expired
+
+
 def ensure_table(spark: SparkSession, name: str, schema, path: str | None = None) -> bool:
     """Create a table when it is missing; True when it was created."""
     if spark.catalog.tableExists(name):
