@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, pii
+from . import decontamination, exact_dedup, packing, pii, quality
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(table(spark, folder, "documents"))
 
 
+@query("op3_quality")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query(
     "op5_exact_dedup",
     r"""WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -44,19 +49,19 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     "op6_decontamination",
     r"""WITH item_words AS (
           SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                 '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+                 '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
           FROM benchmark),
         item_windows AS (
           SELECT DISTINCT item_id, least(len(w), 10) AS n, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1),
-                 i -> array_to_string(w[i:i + 9], ' '))) AS win
+                 lambda i: array_to_string(w[i:i + 9], ' '))) AS win
           FROM item_words WHERE len(w) > 0),
         doc_words AS (
-          SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(coalesce(text, ''), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', ' ', 'g'), ' '), x -> x <> '') AS o
+          SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(coalesce(text, ''), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda x: x <> '') AS o
           FROM documents),
-        lowered AS (SELECT doc_id, list_transform(o, x -> translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w FROM doc_words),
+        lowered AS (SELECT doc_id, list_transform(o, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w FROM doc_words),
         doc_windows AS (
           SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS begin_at, unnest(list_transform(range(1, len(w) - n + 2),
-                 i -> array_to_string(w[i:i + n - 1], ' '))) AS win
+                 lambda i: array_to_string(w[i:i + n - 1], ' '))) AS win
           FROM lowered, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n),
         found AS (SELECT doc_id, begin_at, n, item_id FROM doc_windows JOIN item_windows USING (n, win)),
         hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (
@@ -70,3 +75,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.drop("spans")
+
+
+@query("op9_packing")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))

@@ -23,7 +23,7 @@ IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 # Kinds that the method adds: account numbers with a mod-97 check, and social security numbers, which have none and
 # therefore need a context word.
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
 #: Code points on each side of a span in which a context word counts.
@@ -62,7 +62,7 @@ def _mod97(match: Column) -> Column:
     moved = F.concat(F.substring(plain, 5, 64), F.substring(plain, 1, 4))
     value = lambda c: F.when(c <= "9", F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
     step = lambda a, c: (a * F.when(c <= "9", 10).otherwise(100) + value(c)) % 97
-    return F.aggregate(F.split(moved, ""), F.lit(0), step) == 1
+    return F.aggregate(F.filter(F.split(moved, ""), lambda c: c != ""), F.lit(0), step) == 1
 
 
 def confirmed(kind: str, match: Column) -> Column:
