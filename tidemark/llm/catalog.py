@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, packing, pii, quality
+from . import decontamination, exact_dedup, jaccard, packing, pii, quality
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,25 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query(
+    "op1_ngram_jaccard",
+    r"""WITH RECURSIVE words AS (
+          SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        shingles AS MATERIALIZED (
+          SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+          FROM words WHERE len(w) > 0),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        near AS MATERIALIZED (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, near.b FROM reach JOIN near ON reach.b = near.a)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, r.component_id
+        FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = d.doc_id""",
+)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op2_pii")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(table(spark, folder, "documents"))
