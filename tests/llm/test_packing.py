@@ -16,7 +16,7 @@ def ids_of(text):
 
 def test_encoder_equals_the_tokenizer(spark):
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
-    texts += [None, "", "a\x1cb \x1d c", "x<|endoftext|>y <|startoftext|>", "don't I'LL Á  ΟΔΟΣ Σ", "ͅ ́a"]
+    texts += [None, "", "a\x1cb \x1d c", "x<|endoftext|>y <|startoftext|>", "don't I'LL Á  ΟΔΟΣ Σ", "ͅ ́a", "It's we'll''s !'s a<|b 12x34 ÀÉß×÷ª² x_y", "É É ǅ İ ﬁ"]
     plain = Tokenizer.from_file(PATH).encode_batch([t or "" for t in texts], add_special_tokens=False)
     assert [x.tolist() for x in packing.Encoder(PATH).encode(texts)] == [x.ids for x in plain]
 

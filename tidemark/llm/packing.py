@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -17,8 +18,8 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 #: Pieces that are packed together. More pieces fill sequences no better by more than one sequence a lot.
 LOT_PIECES = 16384
-#: Words whose ids a worker keeps; beyond it, it starts anew.
-CACHE_WORDS = 400_000
+#: Words whose ids a worker keeps, and as many parts of words; beyond it, it starts anew. A word takes about 200 bytes.
+CACHE_WORDS = 1_000_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, spread bigint"
 PACKED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
@@ -26,31 +27,54 @@ PACKED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 class Encoder:
     """Token ids of whole texts. The tokenizer never joins across white space, so the ids of a text are those of its words
-    one after another, and a word seen before is not encoded again."""
+    one after another, and a word seen before is not encoded again. Nor does it join letters, digits and marks: a word of
+    plain characters is made of parts that are looked up in the same way, whatever its case and the marks around it."""
 
-    # Python takes these as white space and the tokenizer does not.
+    # What Python takes as white space and the tokenizer does not; characters that normalisation leaves alone
+    # but for their case; the parts that the tokenizer cuts such words into; the beginning of a special token.
     UNLIKE = "\x1c\x1d\x1e\x1f"
+    PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+    PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+    SPECIAL = "<|"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.made = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(x.ids, "<u4").tobytes() for x in self.made.encode_batch_fast(texts, add_special_tokens=False)]
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _raw(self, texts: list[str]) -> Iterator[bytes]:
+        for k in range(0, len(texts), 4096):
+            for x in self.made.encode_batch_fast(texts[k : k + 4096], add_special_tokens=False):
+                yield np.asarray(x.ids, "<u4").tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        plain, other = {}, []
+        for word in words:
+            if self.PLAIN.fullmatch(word) and self.SPECIAL not in word:
+                plain[word] = self.PART.findall(word.lower())
+            else:
+                other.append(word)
+        self.words.update(zip(other, self._raw(other)))
+        parts = list(set().union(*plain.values()) - self.parts.keys())
+        if len(self.parts) + len(parts) > CACHE_WORDS:
+            self.parts = {}
+            parts = list(set().union(*plain.values()))
+        self.parts.update(zip(parts, self._raw(parts)))
+        get = self.parts.__getitem__
+        self.words.update((word, get(p[0]) if len(p) == 1 else b"".join(map(get, p))) for word, p in plain.items())
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         split = [None if any(c in (t or "") for c in self.UNLIKE) else (t or "").split() for t in texts]
-        unknown = list(set().union(*(w for w in split if w)) - self.known.keys())
-        if len(self.known) + len(unknown) > CACHE_WORDS:
-            self.known = {}
-            unknown = list(set().union(*(w for w in split if w)))
-        for k in range(0, len(unknown), 4096):
-            self.known.update(zip(unknown[k : k + 4096], self._raw(unknown[k : k + 4096])))
+        unknown = set().union(*(w for w in split if w)) - self.words.keys()
+        if len(self.words) + len(unknown) > CACHE_WORDS:
+            self.words = {}
+            unknown = set().union(*(w for w in split if w))
+        self._learn(list(unknown))
         for text, words in zip(texts, split):
-            raw = self._raw([text])[0] if words is None else b"".join(map(self.known.__getitem__, words))
+            raw = next(self._raw([text])) if words is None else b"".join(map(self.words.__getitem__, words))
             yield np.frombuffer(raw, "<u4")
 
 
