@@ -98,6 +98,15 @@ def test_blocks_link_only_through_open_sets():
     assert jaccard.block_links(raw, np.array([True, False, True, False])).tolist() == [0, 0, 2, 2]
 
 
+def test_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(4)
+    for n in (1, 3, 255, 256, 257, 900, 5000):
+        a = np.unique(rng.integers(-(2**63), 2**63 - 1, n))
+        b = np.unique(np.concatenate([a[: n // 2], rng.integers(-(2**63), 2**63 - 1, n // 3 + 1)]))
+        far = jaccard.apart(jaccard.sketch(a), jaccard.sketch(b))
+        assert far <= len(np.setxor1d(a, b)) and jaccard.apart(jaccard.sketch(a), jaccard.sketch(a)) == 0
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(900, 901)], "a bigint, b bigint")
     got = {r.node: r.label for r in components(links).collect()}

@@ -9,7 +9,8 @@ among the first fifth of each (the prefix). Two relations cut the work:
   are compared with one pivot. Those that link with it have the pivot's answers for their component, so no pair among
   them is looked at; only the rest is compared, block by block, with each other and with the former.
 
-Links that a family's block finds are thinned to a spanning forest, since only reachability counts.
+Candidate pairs of the lists are sieved by sketches before their sets are brought together: a sketch bounds the overlap from
+above, so no link is lost. Links that a family's block finds are thinned to a spanning forest, since only reachability counts.
 """
 
 from __future__ import annotations
@@ -261,12 +262,41 @@ def _wanted_sets(bits: np.ndarray) -> Callable:
                 made = list(shingle_sets(part.column("text")))
                 made = {class_of(s): s for s in made if len(s)}
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(made), pa.int64()), pa.array([s.tobytes() for s in made.values()], pa.binary())], ["cls", "members"]
+                    [
+                        pa.array(list(made), pa.int64()),
+                        pa.array([len(s) for s in made.values()], pa.int64()),
+                        pa.array([sketch(s) for s in made.values()], pa.binary()),
+                        pa.array([s.tobytes() for s in made.values()], pa.binary()),
+                    ],
+                    ["cls", "n", "sketch", "members"],
                 )
 
     return sets
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """A bit for each slot that an odd number of the members fall on; about as many slots as members."""
+    slots = 1 << max(8, (len(s) - 1).bit_length())
+    return np.packbits(np.bincount(s & (slots - 1), minlength=slots) & 1).tobytes()
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """A number that the symmetric difference of two sets is never below: each differing slot has a member of it."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    width = min(len(a), len(b))  # slots are a power of two, so those of the larger fold onto the smaller's
+    a, b = (np.bitwise_xor.reduce(v.reshape(-1, width), axis=0) for v in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches leave room for a link."""
+    for batch in batches:
+        n, m = np.asarray(batch.column("n")), np.asarray(batch.column("m"))
+        least = -(-PERCENT * (n + m) // (100 + PERCENT))
+        far = np.array([apart(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())], np.int64)
+        yield batch.filter(pa.array(far <= n + m - 2 * least)).select(["a", "b"])
+
+
 def _overlap(x: bytes, y: bytes) -> tuple[int, int]:
     """Sizes of the intersection and of the union."""
     a, b = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
@@ -376,7 +406,7 @@ def _family_links(family: DataFrame, sets: DataFrame) -> DataFrame:
         )
     )
     dealt = every.select("fam", "cls", (~F.col("linked")).alias("open"), F.explode(groups).alias("g"))
-    dealt = dealt.select("fam", "cls", "open", "g.i", "g.kind", "g.j").join(sets, "cls")
+    dealt = dealt.select("fam", "cls", "open", "g.i", "g.kind", "g.j").join(sets.select("cls", "members"), "cls")
     among = dealt.groupBy("fam", "i", "kind", "j").applyInPandas(_block, "a bigint, b bigint")
     return to_pivot.unionByName(among)
 
@@ -407,9 +437,13 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(families.select("cls")).distinct()
     standing = members.groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
     bits = _filter_bits(standing.join(needed, "cls", "left_semi").select(_spot("doc_id").alias("spot")))
-    found = own.select(_spot("doc_id").alias("spot"), "text").mapInArrow(_wanted_sets(bits), "cls bigint, members binary")
+    found = own.select(_spot("doc_id").alias("spot"), "text").mapInArrow(_wanted_sets(bits), "cls bigint, n bigint, sketch binary, members binary")
     sets = stored(found.join(needed, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
 
+    left = sets.select(F.col("cls").alias("a"), "n", F.col("sketch").alias("x"))
+    right = sets.select(F.col("cls").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    possible = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(_sieve, "a bigint, b bigint")
+    pairs = stored(possible, "pairs")
     beside = pairs.join(sets.select(F.col("cls").alias("b"), F.col("members").alias("y")), "b").join(
         sets.select(F.col("cls").alias("a"), F.col("members").alias("x")), "a"
     )
