@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, jaccard, packing, pii, quality
+from . import decontamination, exact_dedup, jaccard, langid, mixing, packing, pii, quality
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +96,16 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("spans")
 
 
+@query("op7_mixing")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.scored(table(spark, folder, "documents"))
+
+
 @query("op9_packing")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identified(table(spark, folder, "documents"))
