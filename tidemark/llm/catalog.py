@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, jaccard, langid, mixing, packing, pii, quality
+from . import decontamination, exact_dedup, jaccard, langid, mixing, packing, pages, pii, quality
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.scored(table(spark, folder, "documents"))
 
 
+@query("op8_main_text")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.main_text(table(spark, folder, "pages"))
+
+
 @query("op9_packing")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
