@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, jaccard, langid, mixing, packing, pages, pii, quality
+from . import decontamination, exact_dedup, jaccard, langid, licenses, mixing, packing, pages, pii, quality
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,11 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op4_licenses", licenses.check_sql())
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licenses(table(spark, folder, "documents"))
+
+
 @query(
     "op5_exact_dedup",
     r"""WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
