@@ -212,7 +212,7 @@ def _identifier(sent, token: int) -> Callable:
         for batch in slices(batches, "text", 2 << 20):
             texts = batch.column("text").to_pylist()
             split = [words_of(t) for t in texts]
-            unknown = list(set().union(*split) - place.keys())
+            unknown = list(set().union(*split) - place.keys()) if net.langs else []
             if len(place) + len(unknown) > len(logs):
                 place.clear()
                 unknown = list(set().union(*split))
