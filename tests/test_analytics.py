@@ -196,3 +196,29 @@ def test_dated_facts_give_the_same_kpis(star):
     assert a.kpis(dated, "1 DAY").first() == a.kpis(star, "1 DAY").first()
     for k in (3, 100):
         assert a.recent_events(dated, k=k).collect() == a.recent_events(star, k=k).collect()
+
+
+def test_windows_prune_dated_facts_through_the_loader(spark, work):
+    from tidemark.sources.star import star_from_shop
+    from tidemark.sources.writers import write_dated
+
+    for name, df in star_from_shop(spark, "/root/testdata/sf0.001").tables().items():
+        if name.startswith("fact_"):
+            write_dated(df, f"{work}/{name}.parquet", "event_time" if name == "fact_events" else "conversion_time")
+        else:
+            df.write.parquet(f"{work}/{name}.parquet")
+    dated = load_star(spark, work, views=False)
+    plain = star_from_shop(spark, "/root/testdata/sf0.001")
+    assert "event_date" in dated.fact_events.columns
+    for query in (a.kpis, a.hourly_activity, a.daily_activity, a.activity_by_plan, a.top_features, a.conversion_flow, a.attribution):
+        found = query(dated, window="7 DAYS")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(event_date" in plan, query.__name__
+        assert sorted(map(str, found.collect())) == sorted(map(str, query(plain, window="7 DAYS").collect()))
+
+
+def test_a_missing_key_column_stops_the_load(spark):
+    from tidemark.sources.schemas import conform
+
+    with pytest.raises(ValueError, match="event_id"):
+        conform(spark.sql("SELECT 1 AS id"), "fact_events")

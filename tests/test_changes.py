@@ -43,7 +43,6 @@ def test_decode_takes_deletes_from_the_before_image(spark):
     sent = [
         {"op": "c", "seq": 1, "before": None, "after": {"id": 1, "v": "a"}},
         {"op": "d", "seq": 2, "before": {"id": 1, "v": "a"}, "after": None},
-        {"op": "x", "seq": 3, "before": None, "after": {"id": 1, "v": "a"}},
     ]
     df = spark.createDataFrame([(json.dumps(s),) for s in sent], "value string")
     found = ch.decode_changes(df, "value", ROW, ["id"]).orderBy("seq").collect()
@@ -52,6 +51,39 @@ def test_decode_takes_deletes_from_the_before_image(spark):
         ch.decode_changes(df, "value", ROW, ["nope"])
 
 
+def test_unreadable_changes_stop_the_job_or_are_set_aside(spark):
+    good = json.dumps({"op": "c", "seq": 1, "before": None, "after": {"id": 1, "v": "a"}})
+    bad = [
+        json.dumps({"op": "x", "seq": 3, "before": None, "after": {"id": 1, "v": "a"}}),
+        json.dumps({"op": "u", "seq": 4, "before": None, "after": {"v": "a"}}),
+        json.dumps({"op": "u", "seq": 5}),
+        "{broken",
+        None,
+    ]
+    df = spark.createDataFrame([(v,) for v in [good, *bad]], "value string")
+    with pytest.raises(Exception, match="unreadable change"):
+        ch.decode_changes(df, "value", ROW, ["id"]).collect()
+    assert ch.decode_changes(df, "value", ROW, ["id"], skip_rejected=True).count() == 1
+    rejected = ch.rejected_changes(df, "value", ROW, ["id"])
+    assert rejected.columns == ["value"] and sorted(r.value or "" for r in rejected.collect()) == sorted(b or "" for b in bad)
+
+
+def test_fold_keeps_deletes_and_sequence(spark):
+    log = "op string, seq bigint, id bigint, v string"
+    base = spark.createDataFrame([("u", 10, 1, "new"), ("d", 11, 2, "gone"), ("r", 0, 3, "still")], log)
+    late = spark.createDataFrame([("u", 5, 1, "old"), ("u", 6, 2, "old"), ("u", 7, 3, "next"), ("u", 8, 4, "fresh")], log)
+    found = {r.id: (r.op, r.seq, r.v) for r in ch.fold_changes(base, late, ["id"]).collect()}
+    assert found == {1: ("u", 10, "new"), 2: ("d", 11, "gone"), 3: ("u", 7, "next"), 4: ("u", 8, "fresh")}
+
+
+def test_reconcile_compares_values_whatever_their_types(spark):
+    narrow = spark.sql("SELECT 1 AS id, CAST(5 AS INT) AS n, CAST(1.5 AS FLOAT) AS x")
+    wide = spark.sql("SELECT CAST(1 AS BIGINT) AS id, CAST(5 AS BIGINT) AS n, CAST(1.5 AS DOUBLE) AS x")
+    assert [r.status for r in q.reconcile(narrow, wide, ["id"]).collect()] == ["same"]
+    with pytest.raises(ValueError, match="columns differ"):
+        q.reconcile(narrow, wide.drop("x"), ["id"])
+
+
 def test_snapshot_comes_first(spark):
     found = ch.snapshot_then_changes(base(spark), log(spark, ("d", 1, 1, "one")))
     assert table(ch.apply_upserts(base(spark).limit(0), found, ["id"])) == {2: "two", 3: "three"}
@@ -188,3 +220,12 @@ def test_change_table_replay_and_compaction(spark, work):
     assert table(t.current()) == {1: "ONE", 3: "three"}
     assert t.compact() == 1 and t.compact() == 1
     assert t.pending().count() == 0 and table(t.current()) == {1: "ONE", 3: "three"}
+
+
+def test_broken_messages_stop_the_job_or_are_set_aside(spark):
+    df = spark.createDataFrame([('{"id": 1, "v": "a"}',), ("{broken",), (None,), ('{"v": "no id"}',)], "value string")
+    with pytest.raises(Exception, match="unreadable message"):
+        readers.parse_messages(df, "value", ROW).collect()
+    assert {r.value for r in readers.rejected_messages(df, "value", ROW).collect()} == {"{broken", None}
+    good = readers.parse_messages(df.where("value LIKE '{\"%'"), "value", ROW)
+    assert sorted(map(str, good.collect())) == ["Row(id=1, v='a')", "Row(id=None, v='no id')"]

@@ -81,6 +81,21 @@ def test_heatmap_scales_within_y(spark):
     assert (found["f1", "Pro"]["y_position"], found["flat", "Pro"]["y_position"], found[None, "Pro"]["y_position"]) == (1, 2, 3)
 
 
+def test_no_rows_are_left_out_unless_asked(spark):
+    hours = spark.range(6000).select((F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours="id")).alias("t"), F.col("id").alias("n"))
+    line = c.Dataset(hours, c.Roles(times=("t",)))
+    assert c.trend(line, grain="PT1H").count() == 6000
+    assert c.chart_query(line, [c.ROW_COUNT], x="t", limit=5500).count() == 5500
+
+
+def test_limits_come_after_offsets_and_scales(spark):
+    df = spark.createDataFrame([("f", "a", 1), ("f", "b", 2), ("f", "c", 9), ("g", "a", 5)], "y string, x string, n int")
+    cells = {(r.y, r.x): r for r in c.heatmap(c.Dataset(df), c.Metric.of("n"), "x", "y", limit=2).collect()}
+    assert set(cells) == {("f", "c"), ("g", "a")} and cells["f", "c"].scaled == 1.0 and cells["f", "c"].x_position == 3
+    pieces = c.stacked_series(c.Dataset(df), c.Metric.of("n"), "y", "x", limit=1).collect()
+    assert [(r.stack_start, r.stack_end) for r in pieces] == [(3, 12)]
+
+
 def test_shares(dataset):
     found = {r["plan"]: r["share"] for r in c.shares(dataset, c.Metric.of("n"), "plan").collect()}
     assert found == {"Free": 0.1, "Pro": 0.5, None: 0.4}

@@ -81,18 +81,18 @@ def event(i, user, session, at):
 EVENT = "event_id bigint, user_id bigint, session_id string, event_time string"
 
 
-def test_hours_match_the_batch_answer_and_drop_only_late_rows(spark, work):
+def test_hours_match_the_batch_answer_and_count_late_rows(spark, work):
     drop_file(f"{work}/in", 1, [event(1, 1, "a", "2024-01-01 10:00:00"), event(2, 2, "b", "2024-01-01 10:30:00.5")])
     drop_file(f"{work}/in", 2, [event(3, 1, "a", "2024-01-01 10:59:59"), event(4, 1, "c", "2024-01-01 11:10:00")])
     drop_file(f"{work}/in", 3, [event(5, 3, "d", "2024-01-01 10:01:00"), event(6, 3, "d", "2024-01-01 20:00:00")])
     drop_file(f"{work}/in", 4, [event(7, 4, "e", "2024-01-01 20:05:00")])
-    drop_file(f"{work}/in", 5, [event(8, 4, "e", "2024-01-01 10:02:00")])  # hours behind the watermark
-    table = live.hourly_table(spark, f"{work}/t")
+    drop_file(f"{work}/in", 5, [event(8, 4, "e", "2024-01-01 10:02:00")])  # ten hours after later ones
+    table = live.HourCounts(spark, f"{work}/t")
     for _ in range(2):
         stream = read_json_stream(spark, f"{work}/in", EVENT, ["event_time"], 1)
         sync.wait([live.track_hours(stream, table, f"{work}/c")])
     assert [tuple(r) for r in live.hourly_activity(table).collect()] == [
-        ("2024-01-01 10:00:00", 4, 3, 3),
+        ("2024-01-01 10:00:00", 5, 4, 4),
         ("2024-01-01 11:00:00", 1, 1, 1),
         ("2024-01-01 20:00:00", 2, 2, 2),
     ]
@@ -123,3 +123,20 @@ def test_table_stream_takes_a_file_or_a_folder(spark, work):
     stream = read_table_stream(spark, f"{work}/t.parquet*", schema, 1)
     sync.wait([sync.append_stream(stream, f"{work}/o", f"{work}/c")])
     assert spark.read.parquet(f"{work}/o").count() == 5
+
+
+def test_a_late_change_after_compaction_changes_nothing(spark, work):
+    table = ChangeTable(spark, f"{work}/t", "id bigint, v string", ["id"], compact_every=0)
+    log = "op string, seq bigint, id bigint, v string"
+    table.append_batch(spark.createDataFrame([("u", 10, 1, "new"), ("d", 11, 2, "gone")], log), 0)
+    assert table.compact() == 0
+    table.append_batch(spark.createDataFrame([("u", 5, 1, "old"), ("u", 6, 2, "old")], log), 1)
+    assert [tuple(r) for r in table.current().collect()] == [(1, "new")]
+    assert table.compact() == 1 and [tuple(r) for r in table.current().collect()] == [(1, "new")]
+
+
+def test_a_stream_folds_its_log(spark, work):
+    table = ChangeTable(spark, f"{work}/t", "id bigint, v string", ["id"], compact_every=2)
+    for batch in range(5):
+        table.append_batch(spark.createDataFrame([("u", batch, 1, str(batch))], "op string, seq bigint, id bigint, v string"), batch)
+    assert table.version() == 3 and [tuple(r) for r in table.current().collect()] == [(1, "4")]

@@ -164,3 +164,27 @@ def test_zone_change_ignores_the_session_zone(spark, zone):
         assert (str(row["b"]), str(row["n"])) == ("2024-03-10 03:30:00", "2023-11-14 22:13:20")
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_all_kinds_of_values_and_metrics_arrive(spark):
+    values = {
+        "list": {"arrayValue": {"values": [{"intValue": "1"}, {"stringValue": "a"}]}},
+        "pairs": {"kvlistValue": {"values": [{"key": "k", "value": {"boolValue": True}}]}},
+        "raw": {"bytesValue": "AQI="},
+        "twice": {"stringValue": "first"},
+    }
+    attributes = [{"key": k, "value": v} for k, v in values.items()] + [{"key": "twice", "value": {"stringValue": "last"}}, {"value": {"intValue": "3"}}]
+    log = {"resourceLogs": [{"resource": resource("s"), "scopeLogs": [{"scope": {"name": "a"}, "logRecords": [
+        {"timeUnixNano": "0", "body": values["pairs"], "attributes": attributes}]}]}]}
+    df = spark.read.schema(t.OTLP["logs"]).json(spark.sparkContext.parallelize([json.dumps(log)]))
+    row = t.flatten_logs(df).first()
+    assert json.loads(row["body"]) == values["pairs"]["kvlistValue"]
+    found = row["log_attributes"]
+    assert json.loads(found["list"]) == values["list"]["arrayValue"] and found["raw"] == "AQI=" and found["twice"] == "last" and len(found) == 4
+
+    point = {"timeUnixNano": "0", "count": "4", "sum": 2.5, "attributes": []}
+    kinds = ["histogram", "exponentialHistogram", "summary"]
+    metric = {"resourceMetrics": [{"resource": resource("s"), "scopeMetrics": [{"scope": {"name": "a"}, "metrics": [
+        {"name": k, k: {"dataPoints": [point]}} for k in kinds]}]}]}
+    df = spark.read.schema(t.OTLP["metrics"]).json(spark.sparkContext.parallelize([json.dumps(metric)]))
+    assert sorted((r["metric_kind"], r["value"], r["count"]) for r in t.flatten_metrics(df).collect()) == sorted((k, 2.5, 4) for k in kinds)

@@ -82,8 +82,8 @@ def bi_5(star: Star):
     f"""SELECT strftime(CAST(activity_date AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f') AS activity_date, plan,
     CAST(v AS BIGINT) AS users, CAST(e AS BIGINT) AS stack_end, CAST(e - v AS BIGINT) AS stack_start
     FROM (SELECT *, sum(v) OVER (PARTITION BY activity_date ORDER BY plan) AS e
-      FROM (SELECT activity_date, plan, sum(users) AS v FROM {inner(sql._plan("30 DAYS"))} GROUP BY 1, 2
-        ORDER BY 3 DESC, 1, 2 LIMIT 200))""",
+      FROM (SELECT activity_date, plan, sum(users) AS v FROM {inner(sql._plan("30 DAYS"))} GROUP BY 1, 2))
+    ORDER BY v DESC, activity_date, plan LIMIT 200""",
 )
 def bi_6(star: Star):
     dataset = c.Dataset(a.activity_by_plan(star))
@@ -92,8 +92,8 @@ def bi_6(star: Star):
 
 @star_query(
     "bi_7",
-    f""", h AS {inner(sql._heat_recent("30 DAYS"))},
-    cells AS (SELECT plan, feature_name, sum(usage_count) AS v FROM h GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 500),
+    f""", h AS {inner(sql.HEATMAP_SQL)},
+    cells AS (SELECT plan, feature_name, sum(usage_count) AS v FROM h GROUP BY 1, 2),
     ys AS (SELECT feature_name, min(v) AS low, max(v) AS high,
       row_number() OVER (ORDER BY sum(v) DESC, feature_name) AS y_position FROM cells GROUP BY 1),
     xs AS (SELECT plan, row_number() OVER (ORDER BY plan) AS x_position FROM (SELECT DISTINCT plan FROM cells))
@@ -101,7 +101,7 @@ def bi_6(star: Star):
     x_position, y_position FROM cells JOIN ys ON ys.feature_name = cells.feature_name JOIN xs ON xs.plan = cells.plan""",
 )
 def bi_7(star: Star):
-    dataset = c.Dataset(a.feature_heatmap_recent(star))
+    dataset = c.Dataset(a.feature_heatmap(star))
     cells = c.heatmap(dataset, c.Metric.sql("SUM(usage_count)", "usage"), "plan", "feature_name")
     return cells.withColumn("scaled", F.round("scaled", 9))
 
@@ -154,7 +154,7 @@ def bi_11(star: Star):
 @star_query(
     "bi_12",
     f"""SELECT plan, feature_name, CAST(sum(unique_users) AS BIGINT) AS unique_users FROM {inner(sql.SUMMARY_SQL)}
-    GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 5000""",
+    GROUP BY 1, 2""",
 )
 def bi_12(star: Star):
     # Sums a distinct count over finer groups, as that chart is defined; it is not a distinct count itself.
@@ -192,4 +192,33 @@ def bi_13(star: Star):
     "SELECT user_id, session_id, count(*) AS count FROM fact_events GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 5000",
 )
 def bi_14(star: Star):
-    return c.chart_query(events_dataset(star), [c.ROW_COUNT], ["user_id", "session_id"], limit=1_000_000)
+    return c.chart_query(events_dataset(star), [c.ROW_COUNT], ["user_id", "session_id"], limit=c.TABLE_ROWS)
+
+
+@star_query("bi_15", f"SELECT hour, CAST(events AS BIGINT) AS events, CAST(users AS BIGINT) AS users FROM {inner(sql._hourly('24 HOURS'))}")
+def bi_15(star: Star):
+    """Line over the hours as labels, with two metrics."""
+    return c.chart_query(c.Dataset(a.hourly_activity(star)), [c.Metric.of("events"), c.Metric.of("users")], x="hour")
+
+
+@star_query(
+    "bi_16",
+    f"""SELECT activity_date, CAST(users AS BIGINT) AS users, CAST(events AS BIGINT) AS events, CAST(sessions AS BIGINT) AS sessions
+    FROM {inner(sql._daily("30 DAYS", sql._DAILY_JOINS))}""",
+)
+def bi_16(star: Star):
+    """Area over the days, with three metrics."""
+    metrics = [c.Metric.of("users"), c.Metric.of("events"), c.Metric.of("sessions")]
+    return c.chart_query(c.Dataset(a.daily_activity(star)), metrics, x="activity_date")
+
+
+@star_query("bi_17", f"SELECT feature_name, CAST(total_uses AS BIGINT) AS total_uses FROM {inner(sql._topfeat('30 DAYS'))}")
+def bi_17(star: Star):
+    """Bars of the ten most used features."""
+    return c.chart_query(c.Dataset(a.top_features(star)), [c.Metric.of("total_uses")], ["feature_name"], limit=10)
+
+
+@star_query("bi_18", f"SELECT CAST(total_sessions AS BIGINT) AS total_sessions, total_revenue FROM {inner(sql._kpis('30 DAYS'))}")
+def bi_18(star: Star):
+    """The big numbers of sessions and revenue."""
+    return c.chart_query(c.Dataset(a.kpis(star)), [c.Metric.of("total_sessions", "MAX"), c.Metric.of("total_revenue", "MAX")])

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import times, texts, values, vectors
 from ..operators.activity import count_by, high_water_mark, tally
 from ..operators.filters import Clock, since
+from ..operators.ids import assign_ids
 from ..operators.quality import stacked
 from ..operators.ranking import ranked_head, top_k
 from ..operators.retrieval import fused_score, keyword_candidates, nearest
@@ -321,13 +322,13 @@ def jn_5(spark, directory):
 
 @query("jn_6", "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT user_id FROM events WHERE event_type = 'purchase')")
 def jn_6(spark, directory):
-    buyers = raw(spark, directory, "events").where("event_type = 'purchase'").select(F.col("user_id").alias("c_custkey"))
+    buyers = raw(spark, directory, "events").where("event_type = 'purchase'").select(F.col("user_id").alias("c_custkey")).distinct()
     return raw(spark, directory, "customer").join(buyers, "c_custkey", "left_semi").select("c_custkey", "c_name")
 
 
 @query("jn_7", "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)")
 def jn_7(spark, directory):
-    seen = raw(spark, directory, "events").select(F.col("user_id").alias("c_custkey"))
+    seen = raw(spark, directory, "events").select(F.col("user_id").alias("c_custkey")).distinct()
     return raw(spark, directory, "customer").join(seen, "c_custkey", "left_anti").select("c_custkey", "c_name")
 
 
@@ -416,14 +417,13 @@ def ag_6(spark, directory):
     )
 
 
-_COUNTS = """cd AS (SELECT channel, feature_name, conversion_type, count(*) AS conversions
-  FROM fact_conversions c JOIN dim_campaigns p ON c.campaign_id = p.campaign_id
-  JOIN dim_features f ON c.feature_id = f.feature_id WHERE conversion_time >= (SELECT as_of FROM clock) - INTERVAL 30 DAYS
-  GROUP BY 1, 2, 3)"""
+_SOLD = """FROM fact_conversions JOIN dim_campaigns USING (campaign_id) JOIN dim_features USING (feature_id), clock
+  WHERE conversion_time >= as_of - INTERVAL 30 DAYS"""
 
 
 @star_query(
-    "ag_7", f", {_COUNTS} SELECT feature_name, CAST(sum(conversions) AS BIGINT) AS total FROM cd GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5"
+    "ag_7",
+    f"SELECT feature_name, count(*) AS total {_SOLD} GROUP BY feature_name QUALIFY row_number() OVER (ORDER BY count(*) DESC, feature_name) <= 5",
 )
 def ag_7(star: Star) -> DataFrame:
     totals = conversion_counts(star).groupBy("feature_name").agg(F.sum("conversions").alias("total"))
@@ -472,8 +472,8 @@ def wn_2(spark, directory):
 
 
 def _numbered(df: DataFrame, *order) -> DataFrame:
-    """A sorted, bounded result with its position, so that a check of unordered rows also checks the order."""
-    return ranked_head(df, 5000, list(order), "position").withColumn("position", F.col("position").cast("bigint"))
+    """A sorted result with its position, so that a check of unordered rows also checks the order."""
+    return assign_ids(df, 0, list(order), "position")
 
 
 @star_query(
@@ -543,8 +543,10 @@ def st_u(star: Star) -> DataFrame:
 
 @star_query(
     "ct_1",
-    f""", {_COUNTS}, tf AS (SELECT feature_name FROM cd GROUP BY 1 ORDER BY sum(conversions) DESC, 1 LIMIT 5)
-    SELECT channel, feature_name, conversion_type, conversions FROM cd WHERE feature_name IN (SELECT feature_name FROM tf)""",
+    f"""SELECT channel, feature_name, conversion_type, conversions FROM (
+      SELECT *, dense_rank() OVER (ORDER BY total DESC, feature_name) AS place FROM (
+        SELECT channel, feature_name, conversion_type, count(*) AS conversions, sum(count(*)) OVER (PARTITION BY feature_name) AS total
+        {_SOLD} GROUP BY channel, feature_name, conversion_type)) WHERE place <= 5""",
 )
 def ct_1(star: Star) -> DataFrame:
     counts = conversion_counts(star)

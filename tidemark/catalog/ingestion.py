@@ -107,17 +107,17 @@ def src_2(spark, directory):
 @query(
     "src_4",
     """SELECT doc_id AS id, length(text) AS chars, len(embedding) AS dims, round(list_sum(CAST(embedding AS DOUBLE[])), 5) AS total
-    FROM documents JOIN embeddings ON doc_id = vec_id""",
+    FROM documents LEFT JOIN embeddings ON doc_id = vec_id""",
 )
 def src_4(spark, directory):
     texts = raw(spark, directory, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
     literals = raw(spark, directory, "embeddings").select(F.col("vec_id").alias("id"), F.to_json("embedding").alias("literal"))
-    docs = texts.join(literals.select("id", parse_vector("literal").alias("embedding")), "id")
+    docs = texts.join(literals.select("id", parse_vector("literal").alias("embedding")), "id", "left")
     total = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
     return docs.select(
         "id",
         F.length("content").cast("bigint").alias("chars"),
-        F.size("embedding").cast("bigint").alias("dims"),
+        F.when(F.col("embedding").isNotNull(), F.size("embedding")).cast("bigint").alias("dims"),
         F.round(total, 5).alias("total"),
     )
 

@@ -26,7 +26,7 @@ def any_term_sql(column: str, words: str) -> str:
 
 
 DOCS_SQL = """docs AS (SELECT doc_id AS id, text AS content, CAST(embedding AS DOUBLE[]) AS embedding
-  FROM documents JOIN embeddings ON doc_id = vec_id)"""
+  FROM documents LEFT JOIN embeddings ON doc_id = vec_id)"""
 TEXTS_SQL = "texts AS (SELECT doc_id AS id, text AS content FROM documents)"
 QV_SQL = f"qv AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = {QUERY_VECTOR_ID})"
 
@@ -34,7 +34,7 @@ QV_SQL = f"qv AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE
 def documents_with_vectors(spark: SparkSession, directory: str) -> DataFrame:
     texts = raw(spark, directory, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
     vectors = raw(spark, directory, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    return texts.join(vectors, "id")
+    return texts.join(vectors, "id", "left")
 
 
 def all_texts(spark: SparkSession, directory: str) -> DataFrame:
@@ -170,11 +170,12 @@ FUSED = "0.5 / (60 + coalesce(vector_rank, 999)) + 0.5 / (60 + coalesce(text_ran
 @query(
     "tx_6",
     f"""WITH {DOCS_SQL}, {QV_SQL}, {vector_list_sql(15)}, {text_list_sql(15)},
-    f AS (SELECT coalesce(v.id, t.id) AS id, coalesce(vector_score, 0) AS vector_score,
-      CAST(coalesce(text_score, 0) AS DOUBLE) AS text_score, {FUSED} AS hybrid_score FROM v FULL JOIN t ON v.id = t.id),
-    w AS (SELECT * FROM f ORDER BY hybrid_score DESC, id LIMIT 5)
-    SELECT w.id, content, round(vector_score, 6) AS vector_score, text_score, round(hybrid_score, 8) AS hybrid_score
-    FROM w JOIN docs ON docs.id = w.id""",
+    listed AS (SELECT id, vector_score AS near, NULL AS worded, vector_rank AS a, NULL AS b FROM v
+      UNION ALL SELECT id, NULL, text_score, NULL, text_rank FROM t),
+    fused AS (SELECT id, coalesce(max(near), 0) AS near, coalesce(max(worded), 0) AS worded,
+      0.5 / (60 + coalesce(min(a), 999)) + 0.5 / (60 + coalesce(min(b), 999)) AS total FROM listed GROUP BY id)
+    SELECT id, content, round(near, 6) AS vector_score, CAST(worded AS DOUBLE) AS text_score, round(total, 8) AS hybrid_score
+    FROM fused JOIN docs USING (id) QUALIFY row_number() OVER (ORDER BY total DESC, id) <= 5""",
 )
 def tx_6(spark, directory):
     docs = documents_with_vectors(spark, directory)

@@ -293,11 +293,13 @@ def st_2(spark, directory):
 )
 def st_3(spark, directory):
     root = work_path(spark, "hours")
-    conform(star_from_shop(spark, directory).fact_events, "fact_events").write.parquet(f"{root}/in")
-    stream = read_table_stream(spark, f"{root}/in", spark.read.parquet(f"{root}/in").schema)
-    table = live.hourly_table(spark, f"{root}/table")
-    sync.wait([live.track_hours(stream, table, f"{root}/checkpoint")])
-    return live.hourly_activity(table)
+    # Several batches, each with events of all days: most rows come long after later ones.
+    events = conform(star_from_shop(spark, directory).fact_events, "fact_events")
+    events.repartition(3, "event_id").write.parquet(f"{root}/in")
+    stream = read_table_stream(spark, f"{root}/in", spark.read.parquet(f"{root}/in").schema, 1)
+    counts = live.HourCounts(spark, f"{root}/counts")
+    sync.wait([live.track_hours(stream, counts, f"{root}/checkpoint")])
+    return live.hourly_activity(counts)
 
 
 @query("st_4", STAR + _EVENTS)

@@ -10,21 +10,46 @@ from .ranking import latest_per_key
 OPS = ("r", "c", "u", "d")
 
 
-def decode_changes(df: DataFrame, value: str, row_schema: str, keys: list[str]) -> DataFrame:
-    """Change envelopes ``{op, seq, before, after}`` to a flat log.
-
-    The row of a delete comes from its full before-image, so every column of it can route or filter.
-    Output: ``op``, ``seq``, the row's columns, and the ``before`` struct.
-    """
+def _envelopes(df: DataFrame, value: str, row_schema: str, keys: list[str]) -> DataFrame:
     row = T.StructType.fromDDL(row_schema)
     missing = [k for k in keys if k not in row.fieldNames()]
     if missing:
         raise ValueError(f"key columns {missing} are not part of the row schema")
     envelope = T.StructType.fromDDL("op string, seq bigint").add("before", row).add("after", row)
-    # inline() keeps the filter below from being pushed into the scan, where it would parse every document again.
-    parsed = df.select(F.inline(F.array(F.from_json(F.col(value), envelope))))
-    known = parsed.where(F.col("op").isin(*OPS))
-    return known.withColumn("row", F.coalesce("after", "before")).select("op", "seq", "row.*", "before")
+    # explode() keeps filters from being pushed into the scan, where they would parse every document again.
+    return df.select("*", F.explode(F.array(F.from_json(F.col(value), envelope))).alias("_change"))
+
+
+def _readable(keys: list[str]) -> Column:
+    row = F.coalesce("_change.after", "_change.before")
+    good = F.col("_change.op").isin(*OPS) & row.isNotNull()
+    for key in keys:
+        good = good & row[key].isNotNull()
+    return F.coalesce(good, F.lit(False))
+
+
+def decode_changes(df: DataFrame, value: str, row_schema: str, keys: list[str], skip_rejected: bool = False) -> DataFrame:
+    """Change envelopes ``{op, seq, before, after}`` to a flat log.
+
+    The row of a delete comes from its full before-image, so every column of it can route or filter.
+    Output: ``op``, ``seq``, the row's columns, and the ``before`` struct. An envelope that is broken, has an unknown
+    operation or lacks a key stops the job; with ``skip_rejected`` it is left to :func:`rejected_changes`.
+    """
+    parsed = _envelopes(df, value, row_schema, keys)
+    if skip_rejected:
+        parsed = parsed.where(_readable(keys))
+        op = F.col("_change.op")
+    else:
+        told = F.concat(F.lit("unreadable change: "), F.coalesce(F.substring(F.col(value), 1, 200), F.lit("null")))
+        op = F.when(_readable(keys), F.col("_change.op")).otherwise(F.raise_error(told))
+    return parsed.select(op.alias("op"), "_change.seq", F.coalesce("_change.after", "_change.before").alias("row"), "_change.before").select(
+        "op", "seq", "row.*", "before"
+    )
+
+
+def rejected_changes(df: DataFrame, value: str, row_schema: str, keys: list[str]) -> DataFrame:
+    """The rows of ``df`` whose envelope :func:`decode_changes` cannot read, as they came."""
+    return _envelopes(df, value, row_schema, keys).where(~_readable(keys)).drop("_change")
 
 
 def encode_changes(df: DataFrame, op: Column, seq: Column, before: Column, after: Column) -> DataFrame:
@@ -47,11 +72,21 @@ def latest_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
 def apply_upserts(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """The table after the changes: untouched rows, plus the last image of each key that was not deleted.
 
-    The anti join needs the changes' keys only. A small batch is broadcast by Catalyst's own size check and the
+    The anti join needs the changes' keys only, each once: a key with many changes collapses inside each task. A small batch is broadcast by Catalyst's own size check and the
     base is then not shuffled at all; a large batch becomes a shuffled join.
     """
     survivors = latest_changes(changes, keys).where(F.col("op") != "d").select(*base.columns)
-    return base.join(changes.select(*keys), keys, "left_anti").unionByName(survivors)
+    return base.join(changes.select(*keys).distinct(), keys, "left_anti").unionByName(survivors)
+
+
+def fold_changes(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """The last change of each key of two logs, deletes included, so that a later fold still knows their ``seq``.
+
+    ``base`` holds one row per key. Only its rows that the changes touch meet them; the others stay where they are.
+    """
+    changed = changes.select(*keys).distinct()
+    touched = base.join(changed, keys, "left_semi").unionByName(changes.select(*base.columns))
+    return base.join(changed, keys, "left_anti").unionByName(latest_changes(touched, keys))
 
 
 def read_latest(log: DataFrame, keys: list[str], *newest_first: Column) -> DataFrame:
@@ -69,7 +104,7 @@ def routed(df: DataFrame, topic: str, targets: dict[str, str]) -> DataFrame:
 
 def insert_ignore(base: DataFrame, new: DataFrame, keys: list[str], *first: Column) -> DataFrame:
     """``base`` plus the new rows whose key is not there yet; of new rows with one key the first is taken."""
-    fresh = latest_per_key(new, keys, *first).join(base.select(*keys), keys, "left_anti")
+    fresh = latest_per_key(new, keys, *first).join(base.select(*keys).distinct(), keys, "left_anti")
     return base.unionByName(fresh.select(*base.columns))
 
 

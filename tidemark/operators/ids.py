@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import checkpointed
 
 
-def assign_ids(df: DataFrame, top: Column | int, order: list[str], name: str) -> DataFrame:
-    """Number the rows ``top + 1, top + 2, ...`` in the given order.
+def assign_ids(df: DataFrame, top: Column | int, order: list[str | Column], name: str) -> DataFrame:
+    """Number the rows ``top + 1, top + 2, ...`` in the given order of columns or sort expressions.
 
     The rows are range-partitioned on the whole order (end it with a unique column, then no value can fill a
     partition), and kept by a checkpoint, because the partition sizes and the numbers must come from one and the
@@ -16,7 +16,7 @@ def assign_ids(df: DataFrame, top: Column | int, order: list[str], name: str) ->
     """
     spark = df.sparkSession
     laid_out = (
-        df.repartitionByRange(*[F.col(c) for c in order])
+        df.repartitionByRange(*[F.col(c) if isinstance(c, str) else c for c in order])
         .sortWithinPartitions(*order)
         .withColumns({"_part": F.spark_partition_id(), "_pos": F.monotonically_increasing_id()})
     )

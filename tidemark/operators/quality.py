@@ -33,6 +33,11 @@ def reconcile(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFram
     Both sides are stacked and grouped once. Repeats of a key collapse inside each task and are compared as a
     multiset, where a full outer join would pair every copy with every other.
     """
+    if set(source.columns) != set(target.columns):
+        raise ValueError(f"columns differ: {sorted(set(source.columns) ^ set(target.columns))}")
+    # A value of another type may be the same value: both sides are compared in the type that holds either.
+    common = source.limit(0).unionByName(target.limit(0)).schema
+    source, target = (side.select(*[F.col(f.name).cast(f.dataType) for f in common.fields]) for side in (source, target))
     columns = sorted(set(source.columns) - set(keys))
     digest = _row_hash(columns).cast("decimal(20,0)").alias("digest")
     sides = source.select(*keys, digest, F.lit(True).alias("in_source")).unionByName(

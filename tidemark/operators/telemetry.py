@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-_ANY = "struct<stringValue:string,intValue:string,doubleValue:double,boolValue:boolean>"
+# Lists, key-value lists and bytes have no fixed depth; a string field takes them as the JSON text they came as.
+_ANY = (
+    "struct<stringValue:string,intValue:string,doubleValue:double,boolValue:boolean,"
+    "arrayValue:string,kvlistValue:string,bytesValue:string>"
+)
 _ATTRIBUTES = f"array<struct<key:string,value:{_ANY}>>"
 _RESOURCE = f"resource:struct<attributes:{_ATTRIBUTES}>"
 _SCOPE = "scope:struct<name:string,version:string>"
 _POINT = f"struct<timeUnixNano:string,asDouble:double,asInt:string,attributes:{_ATTRIBUTES}>"
+# Histograms, exponential histograms and summaries share their time, count, sum and attributes.
 _HISTOGRAM_POINT = f"struct<timeUnixNano:string,count:string,sum:double,attributes:{_ATTRIBUTES}>"
 
 # Field names of the public OTLP/JSON encoding, one document per export request.
@@ -27,7 +32,8 @@ OTLP = {
         f"resourceMetrics array<struct<{_RESOURCE},scopeMetrics:array<struct<{_SCOPE},metrics:array<struct<"
         "name:string,unit:string,description:string,"
         f"gauge:struct<dataPoints:array<{_POINT}>>,sum:struct<dataPoints:array<{_POINT}>>,"
-        f"histogram:struct<dataPoints:array<{_HISTOGRAM_POINT}>>>>>>>>"
+        f"histogram:struct<dataPoints:array<{_HISTOGRAM_POINT}>>,exponentialHistogram:struct<dataPoints:array<{_HISTOGRAM_POINT}>>,"
+        f"summary:struct<dataPoints:array<{_HISTOGRAM_POINT}>>>>>>>>"
     ),
 }
 
@@ -35,14 +41,19 @@ OTLP = {
 def text_value(value: Column) -> Column:
     """An OTLP value of any kind as text."""
     return F.coalesce(
-        value["stringValue"], value["intValue"], value["doubleValue"].cast("string"), value["boolValue"].cast("string")
+        value["stringValue"], value["intValue"], value["doubleValue"].cast("string"), value["boolValue"].cast("string"),
+        value["arrayValue"], value["kvlistValue"], value["bytesValue"],
     )
 
 
 def attribute_map(attributes: Column) -> Column:
-    """Attribute list to ``map<string,string>``."""
+    """Attribute list to ``map<string,string>``; of entries with one key the last counts, one without a key does not."""
+    named = F.filter(attributes, lambda a: a["key"].isNotNull())
+    last = F.filter(
+        named, lambda a, i: ~F.exists(F.slice(named, i + 2, F.greatest(F.size(named), F.lit(1))), lambda b: b["key"] == a["key"])
+    )
     return F.map_from_entries(
-        F.transform(attributes, lambda a: F.struct(a["key"].alias("key"), text_value(a["value"]).alias("value")))
+        F.transform(last, lambda a: F.struct(a["key"].alias("key"), text_value(a["value"]).alias("value")))
     )
 
 
@@ -98,7 +109,7 @@ def flatten_traces(df: DataFrame) -> DataFrame:
 
 
 def flatten_metrics(df: DataFrame) -> DataFrame:
-    """One row per data point; a histogram point gives its sum and count."""
+    """One row per data point of any kind; a histogram or summary point gives its sum and count."""
     metrics = _flat(df, "resourceMetrics", "scopeMetrics", "metrics")
 
     def numbers(kind: str) -> Column:
@@ -113,18 +124,21 @@ def flatten_metrics(df: DataFrame) -> DataFrame:
             ),
         )
 
-    histograms = F.transform(
-        F.coalesce(F.col("x.histogram.dataPoints"), F.array()),
-        lambda p: F.struct(
-            F.lit("histogram").alias("kind"),
-            p["timeUnixNano"].alias("nanos"),
-            p["sum"].alias("value"),
-            p["count"].cast("bigint").alias("count"),
-            attribute_map(p["attributes"]).alias("attributes"),
-        ),
-    )
+    def distributions(kind: str) -> Column:
+        return F.transform(
+            F.coalesce(F.col(f"x.{kind}.dataPoints"), F.array()),
+            lambda p: F.struct(
+                F.lit(kind).alias("kind"),
+                p["timeUnixNano"].alias("nanos"),
+                p["sum"].alias("value"),
+                p["count"].cast("bigint").alias("count"),
+                attribute_map(p["attributes"]).alias("attributes"),
+            ),
+        )
+
+    every = F.concat(numbers("gauge"), numbers("sum"), *[distributions(k) for k in ("histogram", "exponentialHistogram", "summary")])
     points = metrics.select(
-        "resource_attributes", "scope_name", "x", F.explode(F.concat(numbers("gauge"), numbers("sum"), histograms)).alias("p")
+        "resource_attributes", "scope_name", "x", F.explode(every).alias("p")
     )
     return points.select(
         from_nanos(F.col("p.nanos")).alias("timestamp"),

@@ -11,10 +11,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..operators.filters import apply_filters
+from ..operators.ids import assign_ids
 from ..operators.ranking import top_k
 
-# Largest number of rows a chart returns, and time grains by their ISO names.
-ROW_CAP = 5000
+# The row limit that the dashboard's table view asks for, and time grains by their ISO names.
+TABLE_ROWS = 5000
 GRAINS = {"PT1H": "hour", "P1D": "day"}
 
 AGGREGATES = ("SUM", "MAX", "MIN", "AVG", "COUNT")
@@ -109,10 +110,13 @@ def chart_query(
     groupby: list[str] = (),
     x: str | None = None,
     grain: str | None = None,
-    limit: int = ROW_CAP,
+    limit: int | None = None,
     order_desc: bool = True,
 ) -> DataFrame:
-    """Aggregate by ``x`` (in time buckets when a grain is given) and ``groupby``, first metric first."""
+    """Aggregate by ``x`` (in time buckets when a grain is given) and ``groupby``, first metric first.
+
+    Without a limit all rows come, sorted; with one, as many as the caller asks for.
+    """
     keys = ([x] if x else []) + list(groupby)
     dataset.check_groupable(keys)
     grouping = [time_bucket(dataset, x, grain).alias(x)] if x else []
@@ -120,7 +124,8 @@ def chart_query(
     if not keys:
         return grouped
     first = F.desc_nulls_last(metrics[0].label) if order_desc else F.asc_nulls_last(metrics[0].label)
-    return top_k(grouped, min(limit, ROW_CAP), first, *[F.asc_nulls_last(k) for k in keys])
+    order = [first, *[F.asc_nulls_last(k) for k in keys]]
+    return grouped.orderBy(*order) if limit is None else top_k(grouped, limit, *order)
 
 
 def big_number(dataset: Dataset, metric: Metric) -> DataFrame:
@@ -135,20 +140,32 @@ def trend(dataset: Dataset, metric: Metric = ROW_COUNT, grain: str = "P1D") -> D
     return line.orderBy(F.asc_nulls_last(dataset.roles.time))
 
 
-def stacked_series(dataset: Dataset, metric: Metric, x: str, series: str, grain: str | None = None, limit: int = ROW_CAP) -> DataFrame:
-    """Values per ``x`` and series, with the offsets at which each piece of the stack starts and ends."""
-    pieces = chart_query(dataset, [metric], [series], x, grain, limit)
+def stacked_series(dataset: Dataset, metric: Metric, x: str, series: str, grain: str | None = None, limit: int | None = None) -> DataFrame:
+    """Values per ``x`` and series, with the offsets at which each piece of the stack starts and ends.
+
+    Offsets count all pieces; a limit then leaves out the smallest.
+    """
+    pieces = chart_query(dataset, [metric], [series], x, grain)
     window = Window.partitionBy(x).orderBy(F.asc_nulls_last(series)).rowsBetween(Window.unboundedPreceding, 0)
     top = F.sum(metric.label).over(window)
-    return pieces.withColumn("stack_end", top).withColumn("stack_start", F.col("stack_end") - F.col(metric.label))
+    stacked = pieces.withColumn("stack_end", top).withColumn("stack_start", F.col("stack_end") - F.col(metric.label))
+    return _largest(stacked, metric, [x, series], limit)
+
+
+def _largest(df: DataFrame, metric: Metric, keys: list[str], limit: int | None) -> DataFrame:
+    if limit is None:
+        return df
+    return top_k(df, limit, F.desc_nulls_last(metric.label), *[F.asc_nulls_last(k) for k in keys])
 
 
-def heatmap(dataset: Dataset, metric: Metric, x: str, y: str, limit: int = 500) -> DataFrame:
+def heatmap(dataset: Dataset, metric: Metric, x: str, y: str, limit: int | None = None) -> DataFrame:
     """Cells with the value scaled to 0..1 within each ``y`` (null when all its values are equal).
 
-    ``x_position`` is alphabetical; ``y_position`` counts from the largest total.
+    ``x_position`` is alphabetical; ``y_position`` counts from the largest total. Scales and positions come from all
+    cells; a limit then leaves out the smallest.
     """
-    cells = chart_query(dataset, [metric], [x, y], limit=limit)
+    dataset.check_groupable([x, y])
+    cells = dataset.df.groupBy(x, y).agg(metric.column.alias(metric.label))
     value = F.col(metric.label)
     ranges = cells.groupBy(y).agg(
         F.min(metric.label).alias("low"), F.max(metric.label).alias("high"), F.sum(metric.label).alias("total")
@@ -156,16 +173,17 @@ def heatmap(dataset: Dataset, metric: Metric, x: str, y: str, limit: int = 500)
     xs = _positions(cells.select(x).distinct(), [F.asc_nulls_last(x)], "x_position")
     ys = _positions(ranges, [F.desc_nulls_last("total"), F.asc_nulls_last(y)], "y_position")
     scaled = (value - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0))
-    return (
+    placed = (
         cells.join(ys.withColumnRenamed(y, "_y"), F.col(y).eqNullSafe(F.col("_y")))
         .join(xs.withColumnRenamed(x, "_x"), F.col(x).eqNullSafe(F.col("_x")))
         .select(x, y, metric.label, scaled.cast("double").alias("scaled"), "x_position", "y_position")
     )
+    return _largest(placed, metric, [x, y], limit)
 
 
 def _positions(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Positions of axis values; an axis has at most as many as the chart has cells."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    """Positions of axis values, from 1, however many there are."""
+    return assign_ids(df, 0, order, name)
 
 
 def shares(dataset: Dataset, metric: Metric, category: str) -> DataFrame:

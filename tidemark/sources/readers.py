@@ -55,12 +55,34 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+#: Column of a message's text when it cannot be parsed.
+BROKEN = "_broken"
+
+
 def parse_messages(df: DataFrame, value: str, schema: str, times: Iterable[str] = ()) -> DataFrame:
-    """JSON text values to columns; the listed text columns become zone-free timestamps."""
-    rows = df.select(F.from_json(F.col(value).cast("string"), schema).alias("m")).select("m.*")
+    """JSON text values to columns; the listed text columns become zone-free timestamps.
+
+    A message that is null or no JSON object stops the job, before it becomes a row of nulls with a null key; set such
+    messages aside with :func:`rejected_messages`.
+    """
+    told = F.concat(F.lit("unreadable message: "), F.coalesce(F.substring(F.col(value).cast("string"), 1, 200), F.lit("null")))
+    parsed = _messages(df, value, schema)
+    names = T.StructType.fromDDL(schema).fieldNames()
+    first = F.when(F.col("m").isNull() | F.col(f"m.{BROKEN}").isNotNull(), F.raise_error(told)).otherwise(F.col("m"))
+    rows = parsed.select(first.alias("m")).select(*[F.col(f"m.{name}") for name in names])
     return rows.withColumns({name: parse_wall_clock(name) for name in times})
 
 
+def _messages(df: DataFrame, value: str, schema: str) -> DataFrame:
+    told = T.StructType.fromDDL(schema).add(BROKEN, T.StringType())
+    return df.withColumn("m", F.from_json(F.col(value).cast("string"), told, {"columnNameOfCorruptRecord": BROKEN}))
+
+
+def rejected_messages(df: DataFrame, value: str, schema: str) -> DataFrame:
+    """The rows whose message :func:`parse_messages` cannot read, as they came."""
+    return _messages(df, value, schema).where(F.col("m").isNull() | F.col(f"m.{BROKEN}").isNotNull()).drop("m")
+
+
 def read_json_stream(
     spark: SparkSession, path: str, schema: str, times: Iterable[str] = (), files_per_trigger: int | None = None
 ) -> DataFrame:

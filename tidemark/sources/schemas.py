@@ -71,10 +71,17 @@ def schema_of(table: str) -> T.StructType:
     return T.StructType.fromDDL(STAR_SCHEMAS[table])
 
 
+#: Column of the day folders that dated tables have beside their own columns.
+DAY = "event_date"
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Select and cast to the declared columns; a column the input lacks becomes null."""
+    """Select and cast to the declared columns; one the input lacks becomes null, unless it is a key. A day column stays."""
     present = set(df.columns)
-    columns = []
+    missing = [key for key in STAR_KEYS[table] if key not in present]
+    if missing:
+        raise ValueError(f"{table} lacks its key columns {missing}")
+    columns = [F.col(DAY)] if DAY in present else []
     for field in schema_of(table).fields:
         source = F.col(field.name) if field.name in present else F.lit(None)
         columns.append(source.cast(field.dataType).alias(field.name))

@@ -10,11 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.times import HOUR_PATTERN
 from ..sources.writers import materialize
 from .sync import _trigger
-from .tables import ChangeTable
 
 REFRESH_EVERY = "5 seconds"
 
-HOURLY_STATE = "hour string, user_id bigint, session_id string, n bigint"
+HOURLY_DELTAS = "hour string, user_id bigint, session_id string, n bigint"
 
 
 def refresh_queries(
@@ -35,40 +34,39 @@ def refresh_queries(
     return _trigger(writer, every).start()
 
 
-def hourly_table(spark: SparkSession, root: str) -> ChangeTable:
-    return ChangeTable(spark, root, HOURLY_STATE, ["hour", "user_id", "session_id"])
+class HourCounts:
+    """Event counts per hour, user and session, kept as the increments of each batch; reading sums them.
 
+    A batch costs what it holds. Writing a batch again replaces its folder, so a replayed batch changes nothing.
+    """
 
-def track_hours(
-    events: DataFrame, table: ChangeTable, checkpoint: str, lateness: str = "2 hours", every: str | None = None
-) -> StreamingQuery:
-    """Keep event counts per hour, user and session.
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
 
-    The keys are spread by user and session, so a busy hour is not one group. Each trigger sends only the
-    keys that changed; the table replaces their counts. Hours older than ``lateness`` leave the state, and
-    events that arrive after that are not counted. Wall-clock times are read in the session's zone, which
-    :data:`~tidemark.session.RECOMMENDED_CONF` sets to UTC.
-    """
-    counted = (
-        events.withColumn("at", F.col("event_time").cast("timestamp"))
-        .withWatermark("at", lateness)
-        .groupBy(F.window("at", "1 hour").alias("w"), "user_id", "session_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.date_format("w.start", HOUR_PATTERN).alias("hour"), "user_id", "session_id", "n")
-    )
+    def append_batch(self, events: DataFrame, batch_id: int) -> None:
+        hour = F.date_format(F.date_trunc("hour", F.col("event_time")), HOUR_PATTERN)
+        counted = events.groupBy(hour.alias("hour"), "user_id", "session_id").agg(F.count(F.lit(1)).alias("n"))
+        counted.write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        changes = batch.withColumns({"op": F.lit("u"), "seq": F.lit(batch_id).cast("bigint")})
-        table.append_batch(changes, batch_id)
+    def current(self) -> DataFrame:
+        deltas = self.spark.read.schema(HOURLY_DELTAS).parquet(self.root)
+        return deltas.groupBy("hour", "user_id", "session_id").agg(F.sum("n").alias("n"))
 
-    writer = counted.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint)
+
+def track_hours(events: DataFrame, counts: HourCounts, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Count the events of each batch into :class:`HourCounts`.
+
+    Nothing is kept in state, so an event counts however late it comes. The keys are spread by user and session, so a
+    busy hour is not one group.
+    """
+    writer = events.writeStream.foreachBatch(counts.append_batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
 
 
-def hourly_activity(table: ChangeTable) -> DataFrame:
+def hourly_activity(counts: HourCounts) -> DataFrame:
     """Exact events, users and sessions per hour from the tracked counts."""
     return (
-        table.current()
+        counts.current()
         .groupBy("hour")
         .agg(
             F.sum("n").alias("events"),
