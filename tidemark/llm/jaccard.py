@@ -30,7 +30,7 @@ WORDS = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Shingles that are counted together before their counts are shuffled; bounds a task's memory.
-COUNT_BLOCK = 4_000_000
+COUNT_BLOCK = 2_000_000
 #: A shingle is common when this many distinct sets of the counted blocks repeat it. It only orders shingles.
 COMMON_SETS = 16
 #: Common shingles that tasks are sent at most (16 bytes each). Others keep their place among the rare ones.
@@ -111,7 +111,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = pa.nulls(len(shingles), pa.int64())
         return pa.RecordBatch.from_arrays([none, none, none, pa.array(shingles), pa.array(sets)], ["doc_id", "n", "cls", "shingle", "sets"])
 
-    for batch in slices(batches, "text", 2 << 20):
+    for batch in slices(batches, "text", 1 << 20):
         n, cls = [], []
         for s in shingle_sets(batch.column("text")):
             n.append(len(s))
@@ -139,7 +139,7 @@ def _indexer(common: np.ndarray, rank: np.ndarray) -> Callable:
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Prefix entries (key shingle, cls, meta = size and position), and one row for each class whose prefix reaches common ones."""
         seen: set[int] = set()
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             if len(seen) > 1_000_000:
                 seen = set()
             keys, classes, metas, reach = [], [], [], []
@@ -340,7 +340,7 @@ def block_links(members: list[bytes], open_: np.ndarray) -> np.ndarray:
     row, code = row[order], code[order]
     open_rows = np.flatnonzero(open_)
     a, b = [], []
-    width = 2048
+    width = 1024
     cuts = np.searchsorted(code, np.arange(0, len(names) + width, width))
     for begin in range(0, len(open_rows), 512):
         own = open_rows[begin : begin + 512]
