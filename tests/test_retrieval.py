@@ -190,7 +190,7 @@ def test_hybrid_batch_and_context(spark, docs):
 
 def test_embedding(spark):
     df = spark.createDataFrame([(1, "red lamp"), (2, "lamp RED"), (3, "tree"), (4, "!")], "id int, content string")
-    found = {x["id"]: x["embedding"] for x in r.embedded(df, "content", r.hashing_embedder(16)).collect()}
+    found = {x["id"]: x["embedding"] for x in df.withColumn("embedding", r.hashed_vector(F.col("content"), 16)).collect()}
     assert found[1] == found[2] and len(found[3]) == 16 and not any(found[4])
     assert abs(sum(x * x for x in found[1]) - 1) < 1e-6
 

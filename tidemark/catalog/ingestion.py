@@ -11,7 +11,7 @@ from ..operators import changes as ch, quality as q, telemetry as t
 from ..operators.activity import count_by, high_water_mark
 from ..operators.filters import Clock, retain
 from ..operators.ids import assign_ids
-from ..operators.retrieval import chunked, embedded, hashing_embedder
+from ..operators.retrieval import bucket_counts, chunked, hashed_vector
 from ..plans import analytics as a
 from ..session import work_path
 from ..sources import writers as w
@@ -507,23 +507,30 @@ _CHUNKS_SQL = """pieces AS (SELECT doc_id, i AS chunk_no, substring(text, CAST(i
   WHERE regexp_matches(substring(text, CAST(i * 512 + 1 AS BIGINT), 512), '\\S'))"""
 
 
-def embedded_chunks(spark: SparkSession, directory: str) -> DataFrame:
-    pieces = chunked(all_texts(spark, directory), "text", 512, ["doc_id"])
-    return embedded(pieces, "content", hashing_embedder(64))
+def text_chunks(spark: SparkSession, directory: str) -> DataFrame:
+    return chunked(all_texts(spark, directory), "text", 512, ["doc_id"])
 
 
 @query(
     "tx_8",
-    f"""WITH {_CHUNKS_SQL} SELECT doc_id, CAST(chunk_no AS BIGINT) AS chunk_no, 64 AS dims,
-    len({tokens_sql("content")}) > 0 AS has_direction FROM pieces""",
+    f"""WITH {_CHUNKS_SQL},
+    terms AS (SELECT doc_id, chunk_no, list_transform({tokens_sql("content")},
+      lambda t: CAST('0x' || substr(md5(t), 1, 8) AS UBIGINT) % 64) AS b FROM pieces),
+    counted AS (SELECT doc_id, chunk_no, list_transform(range(0, 64), lambda k: len(list_filter(b, lambda x: x = k))) AS n FROM terms)
+    SELECT doc_id, CAST(chunk_no AS BIGINT) AS chunk_no, 64 AS dims, list_sum(n) > 0 AS has_direction, array_to_string(n, ' ') AS counts,
+      array_to_string(list_transform(n, lambda x: CAST(round(1000 * x / greatest(sqrt(list_sum(list_transform(n, lambda y: y * y))), 1)) AS BIGINT)), ' ') AS thousandths
+    FROM counted""",
 )
 def tx_8(spark, directory):
+    pieces = text_chunks(spark, directory).withColumn("embedding", hashed_vector(F.col("content")))
     length = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-    return embedded_chunks(spark, directory).select(
+    return pieces.select(
         "doc_id",
         F.col("chunk_no").cast("bigint").alias("chunk_no"),
         F.size("embedding").alias("dims"),
         (F.round(length, 5) == 1.0).alias("has_direction"),
+        F.array_join(F.transform(bucket_counts(F.col("content")), lambda n: n.cast("string")), " ").alias("counts"),
+        F.array_join(F.transform("embedding", lambda x: F.round(x.cast("double") * 1000).cast("bigint").cast("string")), " ").alias("thousandths"),
     )
 
 
@@ -533,7 +540,8 @@ def tx_8(spark, directory):
 )
 def tx_9(spark, directory):
     path = work_path(spark, "documents")
-    numbered = assign_ids(embedded_chunks(spark, directory), 0, ["doc_id", "chunk_no"], "id")
-    w.append(numbered.select("id", "doc_id", "content", "embedding"), path)
+    # Numbered first: the layout of the ids samples its input, which should not embed anything.
+    numbered = assign_ids(text_chunks(spark, directory), 0, ["doc_id", "chunk_no"], "id")
+    w.append(numbered.select("id", "doc_id", "content", hashed_vector(F.col("content")).alias("embedding")), path)
     stored = spark.read.parquet(path)
     return stored.select("id", "doc_id", "content", F.size("embedding").alias("dims"))

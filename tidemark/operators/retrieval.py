@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.texts import chunks, match_any, not_blank, query_terms, term_count, token_count, tokens
-from ..session import broadcast_if_small, checkpointed
+from ..session import broadcast_if_small, checkpointed, work_path
 from .ranking import head_per_group, ranked_head, top_k
 
 # Weights, constants and texts that results must carry exactly.
@@ -37,6 +37,8 @@ BM25_B = 0.75
 
 # Query vectors handled in one pass over the corpus; more are answered in further passes.
 QUERY_BYTES_PER_PASS = 32 * 1024 * 1024
+# Queries whose scores against one Arrow batch are held at once.
+QUERY_TILE = 512
 
 
 # -- chunking and embedding -------------------------------------------------------------------------------
@@ -54,23 +56,25 @@ def embedded(df: DataFrame, content: str, embed: Callable[[pd.Series], pd.Series
     return df.withColumn(name, F.pandas_udf(embed, "array<float>")(F.col(content)))
 
 
-def hashing_embedder(dims: int = 64) -> Callable[[pd.Series], pd.Series]:
-    """A local embedder: term counts hashed to ``dims`` buckets by crc32, scaled to length 1."""
+def bucket_counts(content: Column, dims: int = 64) -> Column:
+    """How many terms of a text fall into each of ``dims`` buckets, by the first 32 bits of their md5."""
+    buckets = F.transform(tokens(content), lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % dims)
+    counts = lambda found: F.transform(
+        F.sequence(F.lit(0), F.lit(dims - 1)), lambda b: F.size(F.filter(found, lambda x: x == b))
+    )
+    return _once(buckets, counts)
 
-    def embed(texts: pd.Series) -> pd.Series:
-        import re
-        import zlib
 
-        def one(text):
-            vector = np.zeros(dims)
-            for term in re.findall("[a-z0-9]+", (text or "").lower()):
-                vector[zlib.crc32(term.encode()) % dims] += 1.0
-            length = np.linalg.norm(vector)
-            return (vector / length if length else vector).astype("float32")
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` or a function within it refers to it."""
+    return F.transform(F.array(value), use)[0]
 
-        return texts.map(one)
 
-    return embed
+def hashed_vector(content: Column, dims: int = 64) -> Column:
+    """A vector without a model: term counts by bucket, scaled to length 1; all zero for a text without terms."""
+    square = lambda counts: F.aggregate(counts, F.lit(0).cast("bigint"), lambda acc, x: acc + x * x)
+    scaled = lambda counts, length: F.transform(counts, lambda x: F.when(length > 0, x / length).otherwise(0.0).cast("float"))
+    return _once(bucket_counts(content, dims), lambda counts: _once(F.sqrt(square(counts)), lambda length: scaled(counts, length)))
 
 
 # -- keyword index and matching ---------------------------------------------------------------------------
@@ -207,25 +211,27 @@ def _nearest_in_batches(query_ids: list, matrix: np.ndarray, k: int, out: pa.Sch
     lengths = np.linalg.norm(matrix, axis=1)
     unit = np.divide(matrix, lengths[:, None], out=np.full_like(matrix, np.nan), where=lengths[:, None] > 0)
 
-    def scores_of(vectors: pa.Array) -> np.ndarray:
+    def scores_of(vectors: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+        """Scores of a batch against one tile of queries after another, with the first query of each."""
         usable = np.asarray(pa.compute.equal(pa.compute.list_value_length(vectors), dims).fill_null(False))
         rows = vectors.filter(pa.array(usable))
         block = rows.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(rows), dims)
         norm = np.linalg.norm(block, axis=1)
-        part = block @ unit.T
-        part = np.divide(part, norm[:, None], out=np.full_like(part, np.nan), where=norm[:, None] > 0)
-        full = np.full((len(vectors), len(unit)), np.nan)
-        full[usable] = part
-        return full
+        for first in range(0, len(unit), QUERY_TILE):
+            part = block @ unit[first : first + QUERY_TILE].T
+            part = np.divide(part, norm[:, None], out=np.full_like(part, np.nan), where=norm[:, None] > 0)
+            full = np.full((len(vectors), part.shape[1]), np.nan)
+            full[usable] = part
+            yield first, full
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [(np.empty(0, dtype="int64"), np.empty(0))] * len(query_ids)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            scores = scores_of(batch.column(1))
-            for q in range(len(query_ids)):
+            columns = ((first + k, tile[:, k]) for first, tile in scores_of(batch.column(1)) for k in range(tile.shape[1]))
+            for q, scores in columns:
                 all_ids = np.concatenate([best[q][0], ids])
-                keyed = np.concatenate([best[q][1], scores[:, q]])
+                keyed = np.concatenate([best[q][1], scores])
                 descending = np.where(np.isnan(keyed), np.inf, -keyed)
                 if len(keyed) > k:
                     edge = np.partition(descending, k - 1)[k - 1]
@@ -253,7 +259,8 @@ def nearest_batch(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     The corpus is scanned where it lies and never paired with the queries in a join: each task multiplies its
     batches with the query matrix and sends on ``k`` rows per query. The matrix is kept below
-    ``QUERY_BYTES_PER_PASS``; a larger batch of queries is split by hash and answered in several passes.
+    ``QUERY_BYTES_PER_PASS``; a larger batch of queries is split by hash and answered in several passes, each written
+    before the next begins, so that only one pass' queries are held at a time.
     """
     spark = docs.sparkSession
     held = queries.where(F.col("vector").isNotNull()).select(
@@ -275,6 +282,10 @@ def nearest_batch(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             matrix = np.array([r["vector"] for r in rows], dtype="float64").reshape(len(rows), width)
             run = _nearest_in_batches([r["query_id"] for r in rows], matrix, k, out)
             answer = corpus.mapInArrow(run, schema)
+            if passes > 1:
+                path = work_path(spark, "nearest")
+                answer.write.parquet(path)
+                answer = spark.read.schema(schema).parquet(path)
             found = answer if found is None else found.unionByName(answer)
     ranked = head_per_group(
         found, ["query_id"], k, [F.desc_nulls_last("vector_score"), F.asc("id")], "vector_rank"
