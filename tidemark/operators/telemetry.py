@@ -48,13 +48,14 @@ def text_value(value: Column) -> Column:
 
 def attribute_map(attributes: Column) -> Column:
     """Attribute list to ``map<string,string>``; of entries with one key the last counts, one without a key does not."""
-    named = F.filter(attributes, lambda a: a["key"].isNotNull())
-    last = F.filter(
-        named, lambda a, i: ~F.exists(F.slice(named, i + 2, F.greatest(F.size(named), F.lit(1))), lambda b: b["key"] == a["key"])
-    )
-    return F.map_from_entries(
-        F.transform(last, lambda a: F.struct(a["key"].alias("key"), text_value(a["value"]).alias("value")))
+    named = F.transform(
+        F.filter(attributes, lambda a: a["key"].isNotNull()),
+        lambda a: F.struct(a["key"].alias("key"), text_value(a["value"]).alias("value")),
     )
+    keys = F.transform(named, lambda a: a["key"])
+    # array_position finds the first place; in the reversed list that is the last one.
+    last = F.filter(F.reverse(named), lambda a, i: F.array_position(F.reverse(keys), a["key"]) == i + 1)
+    return F.map_from_entries(F.reverse(last))
 
 
 def from_nanos(nanos: Column) -> Column:
