@@ -41,7 +41,8 @@ STAR_QUERIES = {
 # Registered queries of the other workloads.
 CATALOG_QUERIES = [
     "ing_6", "ing_10", "ing_13", "dq_2", "dq_4", "tel_8", "st_1", "st_3",
-    "tx_1", "tx_2", "tx_4", "tx_6", "tx_7", "tx_8", "vs_1", "vs_2",
+    "tx_1", "tx_2", "tx_4", "tx_6", "tx_7", "tx_8", "tx_9", "vs_1", "vs_2",
+    "tel_1", "tel_3", "ing_9", "ing_20", "st_2", "st_4",
 ]
 
 
