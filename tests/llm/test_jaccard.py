@@ -116,4 +116,4 @@ def test_components_of_a_long_chain(spark):
 def test_keep_one(frame):
     docs = frame([(5, "a b c"), (2, "A b C"), (9, "z"), (None, "z")])
     kept = jaccard.keep_one(docs)
-    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["2", "9", "None"] or True
+    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["2", "9", "None"]

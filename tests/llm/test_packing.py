@@ -66,6 +66,12 @@ def test_pieces_of_whole_documents(frame, odd_texts):
         assert places[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(places, places[1:])) and sum(n for _, n in places) <= 4096
 
 
+def test_null_ids_leave_other_ids_exact(frame):
+    big = (1 << 60) + 1
+    rows = packing.pack(frame([(None, "a"), (big, "b"), (None, None)])).collect()
+    assert sorted(str(r.doc_id) for r in rows) == [str(big), "None", "None"]
+
+
 def test_sequences_hold_the_ids(frame):
     docs = frame([(1, "a b c"), (2, "d e")])
     packed = packing.pack(docs)

@@ -23,6 +23,8 @@ PART_DIGESTS = 256
 BUCKET_DIGESTS = 3
 DIGEST_BYTES = 32
 MAX_SEED = 1 << 24
+#: Stands in a slot for the winner of rows that have no id.
+NO_ID = -(1 << 63)
 
 INDEX_SCHEMA = (
     "part bigint, n_slots bigint, n_buckets bigint, seeds array<int>, digests binary, keep_ids array<bigint>, sizes array<bigint>"
@@ -48,11 +50,11 @@ def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 
 def winners(rows: DataFrame) -> DataFrame:
-    """One row per distinct digest: the longest row, then the smallest id, and the group's size.
+    """One row per distinct digest: the longest row that has an id, then the smallest id, and the group's size.
 
     The maximum is taken in each task before the shuffle, so a group of any size sends one row per task.
     """
-    best = F.max(F.struct(F.col("n_points"), (-F.col("doc_id")).alias("_back")))
+    best = F.max(F.when(F.col("doc_id").isNotNull(), F.struct(F.col("n_points"), (-F.col("doc_id")).alias("_back"))))
     return rows.groupBy("text_sha256").agg(
         (-best["_back"]).alias("keep_id"), F.count(F.lit(1)).alias("group_size")
     )
@@ -122,14 +124,14 @@ def build_index(distinct: DataFrame, n_distinct: int) -> DataFrame:
     packed = grouped.select(
         "part",
         F.col("_rows.text_sha256").alias("hexes"),
-        F.col("_rows.keep_id").alias("keeps"),
+        F.transform("_rows", lambda r: F.coalesce(r["keep_id"], F.lit(NO_ID))).alias("keeps"),
         F.col("_rows.group_size").alias("sizes"),
     )
     return packed.mapInPandas(_build, INDEX_SCHEMA).withColumn("n_parts", F.lit(n_parts).cast("bigint"))
 
 
 def lookup(rows: DataFrame, index: DataFrame) -> DataFrame:
-    """``rows`` with keep_id and group_size of the history's winner, both null where the history has no such digest.
+    """``rows`` with keep_id and group_size of the history's winner; group_size is null where the history has no such digest.
 
     A part meets its rows in a plain join, which may be split where a digest holds many of the rows.
     """
@@ -145,7 +147,7 @@ def lookup(rows: DataFrame, index: DataFrame) -> DataFrame:
     found = F.substring("digests", slot * DIGEST_BYTES + 1, F.lit(DIGEST_BYTES)) == F.unhex("text_sha256")
     return joined.select(
         *[F.col(c) for c in rows.columns],
-        F.when(found, F.get("keep_ids", slot)).alias("keep_id"),
+        F.when(found, F.nullif(F.get("keep_ids", slot), F.lit(NO_ID))).alias("keep_id"),
         F.when(found, F.get("sizes", slot)).alias("group_size"),
     )
 
@@ -165,8 +167,8 @@ def resolve(docs: DataFrame, history: DataFrame | None = None, doc_id: str = "do
     if history is None:
         return _finish(_within(rows))
     known = stored(lookup(rows, build_index(history, history.count())), "known")
-    fresh = known.filter("keep_id is null").select(*rows.columns)
-    repeats = known.filter("keep_id is not null")
+    fresh = known.filter("group_size is null").select(*rows.columns)
+    repeats = known.filter("group_size is not null")
     return _finish(repeats.unionByName(_within(fresh)))
 
 

@@ -22,7 +22,8 @@ LOT_PIECES = 16384
 CACHE_WORDS = 1_000_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, spread bigint"
-PACKED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
+# A null among integers would turn them into floats in pandas; the flag keeps null ids apart.
+PACKED = "doc_id bigint, unnamed boolean, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 
 
 class Encoder:
@@ -153,7 +154,7 @@ def _packer(tokens: int, documents: int, cost: int, rule: str) -> Callable:
         rows = rows.sort_values(["length", "doc_id", "piece", "spread"], ascending=[False, True, True, True])
         sequence, offset = best_fit(rows["length"].to_numpy(), tokens, documents, cost, rule)
         rows["sequence_id"], rows["offset"] = (rows["lot"].to_numpy() << 32) | sequence, offset
-        return rows[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
+        return rows[["doc_id", "unnamed", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
 
     return pack
 
@@ -188,7 +189,9 @@ def pack(
     pieces = stored(own.mapInArrow(_cutter(tokenizer, tokens, end_id), PIECES), "pieces")
     lots = max(1, -(-pieces.count() // LOT_PIECES))
     lot = F.pmod(F.xxhash64("doc_id", "piece", "spread"), F.lit(lots)).cast("bigint")
-    return pieces.withColumn("lot", lot).groupBy("lot").applyInPandas(_packer(tokens, documents, cost, rule), PACKED)
+    named = pieces.withColumns({"lot": lot, "unnamed": F.col("doc_id").isNull(), "doc_id": F.coalesce("doc_id", F.lit(0))})
+    packed = named.groupBy("lot").applyInPandas(_packer(tokens, documents, cost, rule), PACKED)
+    return packed.withColumn("doc_id", F.when(~F.col("unnamed"), F.col("doc_id"))).drop("unnamed")
 
 
 def sequences(docs: DataFrame, packed: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID, tokens: int = SEQUENCE_TOKENS) -> DataFrame:
