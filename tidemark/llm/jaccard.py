@@ -30,13 +30,13 @@ WORDS = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Shingles that are counted together before their counts are shuffled; bounds a task's memory.
-COUNT_BLOCK = 2_000_000
+COUNT_BLOCK = 4_000_000
 #: A shingle is common when this many distinct sets of the counted blocks repeat it. It only orders shingles.
-COMMON_SETS = 16
+COMMON_SETS = 4
 #: Common shingles that tasks are sent at most (16 bytes each). Others keep their place among the rare ones.
 COMMON_LIMIT = 1 << 18
 #: Longer lists of rare shingles are handled as families.
-LIST_LIMIT = 256
+LIST_LIMIT = 128
 #: Shingles in one block of a family.
 BLOCK_SHINGLES = 1 << 18
 #: Bits of the filter that tells which documents' sets are needed; a full filter only lets more through.
