@@ -92,7 +92,15 @@ RULES = [
     ("Public-Domain", ["public-domain"]),
     ("All-Rights-Reserved", ["reserved"]),
 ]
-#: Words without one of which no sentence is known.
+#: Words that one alternative of every pattern above needs, as they stand in a normalised sentence. In a raw text a space is any
+#: run of characters that become one.
+NEEDED = (
+    r"licens|copyright|permission|redistribution|software is provided|distributed in the hope|neither the name of|as is|"
+    r"(?:under|of|a|the) (?:cc|creative commons) |cc0|creative commons zero|(?:under|the|of) (?:mit|isc)(?![a-z])|bsd|"
+    r"the public domain|all rights reserved"
+)
+RAW_NEEDED = NEEDED.replace("licens", "licen[cs]").replace(" ", "[^a-z0-9+]+")
+#: The filter of the checking SQL. It is narrower than the patterns: the SQL misses short references without these words.
 CLUE = r"(?i)licen[cs]e|copyright|permi(?:ssion|tted)|redistribut|warrant|as is|public domain|rights reserved|cc0|creative commons|endorse|you may not use this"
 #: Licences that allow use in training without further terms.
 OPEN = ["MIT", "ISC", "Zlib", "Apache-2.0", "BSD", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "CC-BY", "Public-Domain"]
@@ -116,7 +124,7 @@ def identifier(sentence: Column) -> Column:
     known = F.lit(None).cast("string")
     for name, pattern in reversed(SENTENCES):
         known = F.when(sentence.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(known)
-    return F.when(sentence.rlike(CLUE), known)
+    return F.when(sentence.rlike(NEEDED), known)
 
 
 def matched(sequence: Column) -> Column:
@@ -146,7 +154,7 @@ def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """
     own = columns_of(docs, doc_id=doc_id, text=text).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ids = F.filter(F.transform(sentences(F.col("text")), identifier), lambda i: i.isNotNull())
-    said = own.select("doc_id", F.when(F.col("text").rlike(CLUE), ids).otherwise(F.array().cast("array<string>")).alias("ids"))
+    said = own.select("doc_id", F.when(F.lower("text").rlike(RAW_NEEDED), ids).otherwise(F.array().cast("array<string>")).alias("ids"))
     line = F.array_join(F.transform("ids", lambda i: F.concat(F.lit("|"), i, F.lit("|"))), "")
     made = said.select("doc_id", "ids", matched(line).alias("m"))
     names = F.array_sort("m.found")
