@@ -78,3 +78,10 @@ def test_redaction(frame):
 
 def test_no_rows(frame):
     assert pii.personal_data(frame([])).count() == 0
+
+
+def test_kinds_with_one_start_come_as_listed(frame):
+    texts = ["10.0.0.1@host.org", "4111111111111111@mail.com"]
+    rows = pii.personal_data(frame(list(enumerate(texts)))).orderBy("doc_id").collect()
+    assert [r.spans.split(",")[:2] for r in rows] == [["email:0:17", "ip:0:8"], ["email:0:25", "card:0:16"]]
+    assert [r.base_sha256 for r in rows] == [expect(t)[4] for t in texts]

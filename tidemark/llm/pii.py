@@ -79,7 +79,7 @@ def confirmed(kind: str, match: Column) -> Column:
 
 
 def _spans(kind: Kind, order: int) -> Column:
-    """Confirmed spans of one kind: array of (start, end, order, kind, score)."""
+    """Confirmed spans of one kind: array of (start, order, end, kind, score)."""
     text = F.col("text")
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     between = F.split(text, kind.pattern, -1)
@@ -102,7 +102,7 @@ def _spans(kind: Kind, order: int) -> Column:
         near = F.concat_ws(" ", F.substring(text, begin + 1, m["start"] - begin), F.substring(text, m["end"] + 1, F.lit(CONTEXT)))
         bonus = F.when(F.lower(near).rlike(kind.words), 1.0 - kind.score).otherwise(0.0) * 0.75
         return F.struct(
-            m["start"].alias("start"), m["end"].alias("end"), F.lit(order).alias("rank"), F.lit(kind.name).alias("kind"),
+            m["start"].alias("start"), F.lit(order).alias("rank"), m["end"].alias("end"), F.lit(kind.name).alias("kind"),
             F.round(F.lit(kind.score) + bonus, 3).alias("score"),
         )
 
@@ -110,7 +110,7 @@ def _spans(kind: Kind, order: int) -> Column:
     if not kind.base:
         spans = F.filter(spans, lambda m: m["score"] >= LEAST_SCORE)
     possible = text.rlike(kind.needed) if kind.needed.startswith("[") else F.contains(text, F.lit(kind.needed))
-    return F.when(possible, spans).otherwise(F.array().cast("array<struct<start:int,end:int,rank:int,kind:string,score:double>>"))
+    return F.when(possible, spans).otherwise(F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,score:double>>"))
 
 
 def _digest_line(spans: Column) -> Column:
