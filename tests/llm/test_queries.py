@@ -18,5 +18,5 @@ def test_matches_sql(spark, duck, name):
     assert difference(df, df.collect(), duck, ORACLES[name]) is None
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, jaccard, langid, licenses, mixing, packing, pages, pii, quality
+from . import codes, decontamination, exact_dedup, jaccard, langid, licenses, mixing, packing, pages, pii, quality, spelling, wordids
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,18 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_language_id")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identified(table(spark, folder, "documents"))
+
+
+@query("op11_word_bpe")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return wordids.digests(table(spark, folder, "documents"))
+
+
+@query("op12_vector_codes", codes.check_sql())
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.compressed(table(spark, folder, "embeddings"))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))

@@ -27,11 +27,11 @@ def crc_mod(key: str, n: int) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % n, F.lit(0))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` into the shared folder and read it back: later steps neither repeat nor lose the work."""
     spark = df.sparkSession
     path = work_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
