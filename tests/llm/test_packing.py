@@ -21,11 +21,12 @@ def test_encoder_equals_the_tokenizer(spark):
     assert [x.tolist() for x in packing.Encoder(PATH).encode(texts)] == [x.ids for x in plain]
 
 
-def test_encoder_forgets_and_stays_right(monkeypatch):
-    monkeypatch.setattr(packing, "CACHE_WORDS", 3)
-    made = packing.Encoder(PATH)
-    for text in ("one two three", "four five six seven", "one two"):
+def test_encoder_forgets_and_stays_right():
+    made = packing.Encoder(PATH, part_bytes=300)
+    for text in ("one two three", "four five six seven", "one two", "", "seven"):
         assert list(made.encode([text]))[0].tolist() == ids_of(text)[:-1]
+        assert len(made.parts) <= 7
+    assert list(made.encode([])) == []
 
 
 @pytest.mark.parametrize("rule", ["norm", "dot"])

@@ -71,3 +71,39 @@ def test_no_documents(spark):
     for _, stage in STAGES:
         docs = stage(spark, docs, FOLDER)
     assert docs.count() == 0
+
+
+#: Rows with columns whose names clash with those that stages make. Words are common ones of one language in the given tables.
+def odd_documents(spark):
+    given = [r for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect() if r.lang and r.text and 300 < len(r.text) < 3000][:12]
+    text = [r.text for r in given]
+    rows = [(100 + k, t, r.lang) for k, (t, r) in enumerate(zip(text, given))]
+    rows += [(100, text[0], given[0].lang)] * 2  # a row read three times
+    rows += [(101, text[2] + " extra", given[2].lang)]  # one id, another text: a near copy of 102
+    rows += [(None, text[3], given[3].lang), (None, text[4][::-1], given[4].lang), (None, text[4][::-1], given[4].lang)]  # without an id
+    rows += [(7, "", None), (8, None, None), (9, "12 34 !", None)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, row bigint, _row string, keep_id int, component_id int, `a.b` int"
+    return text, spark.createDataFrame([(i, t, x, "web", len(t or ""), 1, "r", 2, 3, 4) for i, t, x in rows], schema)
+
+
+def test_rows_not_ids_are_decided_on(spark, tmp_path):
+    text, docs = odd_documents(spark)
+    folder = str(tmp_path)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, "\u0001".join(text[5].split()[:12])), (2, None)], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    columns, docs = docs.columns, spark.read.parquet(f"{folder}/documents.parquet")
+    seen = []
+    for _, stage in STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == columns
+        seen.append(sorted(((r.doc_id, r.text) for r in docs.collect()), key=str))
+    known, first, apart, clean = seen
+    assert sum(i == 100 for i, _ in known) == 3 and sum(i is None for i, _ in known) == 3 and not {i for i, _ in known} & {7, 8, 9}
+    assert [t for i, t in first if i == 100] == [text[0]]
+    assert sorted(t for i, t in first if i == 101) == sorted([text[1], text[2] + " extra"])
+    assert [t for i, t in first if i is None] == [text[4][::-1]] and (103, text[3]) in first
+    assert [(i, t) for i, t in apart if t.startswith(text[2])] == [(101, text[2] + " extra")] and (101, text[1]) in apart
+    assert (None, text[4][::-1]) in apart
+    assert set(apart) - set(clean) == {(105, text[5])} and (None, text[4][::-1]) in clean
+    pieces = run(spark, folder).collect()
+    assert sorted(str(p.doc_id) for p in pieces if p.piece == 0) == sorted(str(i) for i, _ in clean)

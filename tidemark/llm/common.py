@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import checkpointed, work_path
 
-__all__ = ["checkpointed", "columns_of", "crc_mod", "slices", "stored", "table", "text_blob", "work_path"]
+__all__ = ["checkpointed", "columns_of", "crc_mod", "kept_rows", "numbered", "slices", "stored", "table", "text_blob", "work_path"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +35,30 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` as a stored table with a number of its own for every row, and the name of that column.
+
+    Stages that keep some rows decide by it: ids may repeat or be null, and a row read twice is two rows.
+    """
+    row = "_row"
+    while row in docs.columns:
+        row = f"_{row}"
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+
+
+def kept_rows(docs: DataFrame, text: str, judge: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
+    """Whole rows of ``docs``, all columns as they are, where a judge of their texts says so; each task makes a judge of its own."""
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    at = f"c{docs.columns.index(text)}"
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        good = judge()
+        for batch in slices(batches, at, 2 << 20):
+            yield batch.filter(pa.array(good(batch.column(at).to_pylist()), pa.bool_()))
+
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the texts of ``column`` in each take about ``size`` bytes; a longer text comes alone."""
     for batch in batches:

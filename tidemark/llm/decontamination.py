@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import columns_of, slices, stored
+from .common import columns_of, kept_rows, slices, stored
 
 WINDOW_WORDS = 10
 #: Bytes of windows and item ids that one automaton holds. A larger benchmark is dealt over several automata, by window, and
@@ -161,7 +161,20 @@ def contamination(
     return own.mapInArrow(_scanner(lot, first, True), RESULT)
 
 
+def _cleaner(patterns: list[tuple[str, list[int]]]) -> Callable:
+    def judge() -> Callable[[list], list[bool]]:
+        made = _automaton(patterns)
+        return lambda texts: [not find(made, t or "")[1] for t in texts]
+
+    return judge
+
+
 def keep_clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """The documents without any test window, with all their columns."""
-    marked = contamination(docs, bench).filter("contaminated").select(F.col("doc_id").alias("_hit"))
-    return docs.join(marked, docs["doc_id"] == marked["_hit"], "left_anti")
+    """The documents without any test window, with all their columns.
+
+    Each row is judged by its own text and passed on as it is, so repeated rows, repeated ids and null ids need no care; a
+    null or empty text has no windows and stays. A benchmark of several automata drops what each finds, one after another.
+    """
+    for lot in automata(bench, "item_id", "text"):
+        docs = kept_rows(docs, "text", _cleaner(lot))
+    return docs

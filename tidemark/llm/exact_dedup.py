@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import columns_of, stored
+from .common import columns_of, numbered, stored
 
 #: Digests in a part of the index on average. A part is one row of about 50 bytes a digest, so this bounds the row.
 PART_DIGESTS = 256
@@ -39,11 +39,12 @@ def normalised(text: Column) -> Column:
     return text
 
 
-def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, the sha-256 of the normalised text in hex, and the code points of the original."""
-    own = columns_of(docs, doc_id=doc_id, text=text)
-    return own.select(
+def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **more: str) -> DataFrame:
+    """doc_id, the sha-256 of the normalised text in hex, and the code points of the original; and ``more`` columns as they are."""
+    rows = columns_of(docs, doc_id=doc_id, text=text, **more)
+    return rows.select(
         "doc_id",
+        *more,
         F.sha2(normalised(F.col("text")), 256).alias("text_sha256"),
         F.coalesce(F.length("text"), F.lit(0)).alias("n_points"),
     )
@@ -184,6 +185,16 @@ def _finish(rows: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    kept = resolve(docs).filter("kept").select(F.col("doc_id").alias("_keep"))
-    return docs.join(kept.distinct(), docs["doc_id"] == kept["_keep"], "left_semi")
+    """One document of each group of equal texts, with all its columns: the longest, then the smallest id, then the first row.
+
+    Rows are told apart by a number of their own. Of a row that is there twice one stays; rows of one id with different texts
+    are judged each by its text; a null id comes after all others, and stays where its group has no other. A null text is
+    empty, and empty texts are one group. Columns of any name pass through. No rows give no rows.
+    """
+    own, row = numbered(docs)
+    rows = stored(digests(own, row, own="doc_id"), "digests")
+    first = F.min(F.struct(-F.col("n_points"), F.col("own").isNull(), "own", "doc_id"))["doc_id"]
+    distinct = stored(rows.groupBy("text_sha256").agg(first.alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "winners")
+    found = lookup(rows, stored(build_index(distinct, distinct.count()), "index"))
+    kept = found.filter("keep_id = doc_id").select(F.col("doc_id").alias(row))
+    return own.join(kept, row, "left_semi").drop(row)

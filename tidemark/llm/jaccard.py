@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import columns_of, slices, stored, text_blob
+from .common import columns_of, numbered, slices, stored, text_blob
 from .components import components
 
 WORDS = 5
@@ -494,6 +494,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group, the one with the smallest id, with all its columns. A null id stays."""
-    gone = near_duplicates(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """One document of each group that links join, with all its columns: the one with the smallest id, then the first row.
+
+    Rows are told apart by a number of their own. Of a row that is there twice one stays, unless its text has no words, since
+    such texts link with nothing; rows of one id with different texts are in the groups of their texts; a null id comes after
+    all others, and stays where its group has no other. Columns of any name pass through. No rows give no rows.
+    """
+    own, row = numbered(docs)
+    placed = near_duplicates(own, doc_id=row).select(F.col("doc_id").alias("row"), "component_id")
+    rows = placed.join(columns_of(own, row=row, own="doc_id"), "row")
+    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("own").isNull(), "own", "row"))["row"].alias(row))
+    return own.join(stored(first.select(row), "standing"), row, "left_semi").drop(row)

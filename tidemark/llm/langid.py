@@ -1,7 +1,8 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
 The network reads a word forwards and backwards and labels every byte; the labels of a text are pooled over all its words.
-States begin anew at each word, so a word has the same labels wherever it stands, and a worker reads each distinct word once.
+States begin anew at each word, so a word has the same labels wherever it stands, and a task reads a word again only when it was
+put out of a memory of fixed size.
 The network is trained in the driver by backpropagation through time, in numpy, on a bounded sample of labelled words.
 """
 
@@ -15,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import columns_of, crc_mod, slices
+from .common import columns_of, crc_mod, kept_rows, slices
 
 FOLDS, HELD_OUT = 4, 2
 #: Labelled documents that training words are drawn from at most, by a hash of the id, and words drawn from each.
@@ -27,8 +28,8 @@ STRETCH = 16
 EPOCHS = 3
 BATCH = 512
 RATE = 0.01
-#: Words whose pooled labels a worker keeps, about 150 bytes each; beyond it, it starts anew.
-CACHE_WORDS = 800_000
+#: Words whose pooled labels a task keeps, about 150 bytes each; beyond it, it starts anew.
+CACHE_WORDS = 200_000
 UNKNOWN = "und"
 #: Documents below this score are rejected by ``accepted``.
 LEAST_SCORE = 0.5
@@ -199,36 +200,41 @@ def _sampler(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(langs, pa.string())], ["word", "lang"])
 
 
-_KNOWN: dict[int, tuple[dict[bytes, int], np.ndarray]] = {}
-
-
-def _identifier(sent, token: int) -> Callable:
+class Reader:
+    """Predictions of one task. Words read before are kept in two arrays of fixed size, which go with the task."""
+
+    def __init__(self, net: Network):
+        self.net = net
+        self.place: dict[bytes, int] = {}
+        self.logs = np.zeros((CACHE_WORDS, len(net.langs)), np.float32)
+
+    def read(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        split = [words_of(t) for t in texts] if self.net.langs else []
+        unknown = list(set().union(*split) - self.place.keys())
+        if len(self.place) + len(unknown) > len(self.logs):
+            self.place = {}
+            unknown = list(set().union(*split))
+            # One text alone may have more words than are kept.
+            self.logs = np.zeros((max(CACHE_WORDS, len(unknown)), len(self.net.langs)), np.float32)
+        if unknown:
+            start = len(self.place)
+            self.logs[start : start + len(unknown)] = self.net.pooled(unknown)
+            self.place.update(zip(unknown, range(start, start + len(unknown))))
+        preds, scores = [], []
+        for k, text in enumerate(texts):
+            if text is None or not LETTER.search(text) or not self.net.langs:
+                preds.append(UNKNOWN), scores.append(0.0)
+                continue
+            p = _softmax(self.logs[list(map(self.place.__getitem__, split[k]))].sum(axis=0, dtype=np.float64))
+            preds.append(self.net.langs[int(np.argmax(p))]), scores.append(float(p.max()))
+        return preds, scores
+
+
+def _identifier(sent) -> Callable:
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net: Network = sent.value
-        if token not in _KNOWN:
-            _KNOWN.clear()
-            _KNOWN[token] = ({}, np.zeros((CACHE_WORDS, len(net.langs)), np.float32))
-        place, logs = _KNOWN[token]
+        reader = Reader(sent.value)
         for batch in slices(batches, "text", 2 << 20):
-            texts = batch.column("text").to_pylist()
-            split = [words_of(t) for t in texts]
-            unknown = list(set().union(*split) - place.keys()) if net.langs else []
-            if len(place) + len(unknown) > len(logs):
-                place.clear()
-                unknown = list(set().union(*split))
-                if len(unknown) > len(logs):
-                    logs = np.zeros((2 * len(unknown), len(net.langs)), np.float32)
-                    _KNOWN[token] = (place, logs)
-            if unknown:
-                logs[len(place) : len(place) + len(unknown)] = net.pooled(unknown)
-                place.update(zip(unknown, range(len(place), len(place) + len(unknown))))
-            preds, scores = [], []
-            for text, words in zip(texts, split):
-                if text is None or not LETTER.search(text) or not net.langs:
-                    preds.append(UNKNOWN), scores.append(0.0)
-                    continue
-                p = _softmax(logs[list(map(place.__getitem__, words))].sum(axis=0, dtype=np.float64))
-                preds.append(net.langs[int(np.argmax(p))]), scores.append(float(p.max()))
+            preds, scores = reader.read(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "held_out", "lang_pred", "score"],
@@ -259,11 +265,19 @@ def identified(docs: DataFrame, net: Network | None = None, doc_id: str = "doc_i
         F.col("doc_id").cast("bigint").alias("doc_id"), (crc_mod("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "text"
     )
     sent = own.sparkSession.sparkContext.broadcast(net)
-    token = hash((net.inputs.tobytes(), tuple(net.langs)))
-    return own.mapInArrow(_identifier(sent, token), "doc_id bigint, held_out boolean, lang_pred string, score double")
+    return own.mapInArrow(_identifier(sent), "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """The documents whose language is known with LEAST_SCORE or more, with all their columns."""
-    good = identified(docs).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(F.col("doc_id").alias("_good"))
-    return docs.join(good, docs["doc_id"] == good["_good"], "left_semi")
+    """The documents whose language is known with LEAST_SCORE or more, with all their columns.
+
+    Each row is judged by its own text and passed on as it is, so repeated rows, repeated ids and null ids need no care. Null
+    texts and those without a letter go.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs))
+
+    def judge() -> Callable[[list], list[bool]]:
+        reader = Reader(sent.value)
+        return lambda texts: [p != UNKNOWN and s >= LEAST_SCORE for p, s in zip(*reader.read(texts))]
+
+    return kept_rows(docs, "text", judge)

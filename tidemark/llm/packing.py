@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import columns_of, slices, stored
@@ -18,81 +19,84 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 #: Pieces that are packed together. More pieces fill sequences no better by more than one sequence a lot.
 LOT_PIECES = 16384
-#: Words whose ids a worker keeps, and as many parts of words; beyond it, it starts anew. A word takes about 200 bytes.
-CACHE_WORDS = 1_000_000
+#: Parts of words whose ids a task keeps, in bytes; beyond it, it starts anew.
+PART_BYTES = 24 << 20
+#: Texts that are encoded together, in bytes.
+TEXT_BYTES = 8 << 20
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, spread bigint"
 # A null among integers would turn them into floats in pandas; the flag keeps null ids apart.
 PACKED = "doc_id bigint, unnamed boolean, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 
 
+_TOKENIZERS: dict = {}
+
+
+def _tokenizer(path: str):
+    """One tokenizer per worker process; its size is that of the file."""
+    if path not in _TOKENIZERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        _TOKENIZERS[path] = Tokenizer.from_file(path)
+    return _TOKENIZERS[path]
+
+
 class Encoder:
     """Token ids of whole texts. The tokenizer never joins across white space, so the ids of a text are those of its words
-    one after another, and a word seen before is not encoded again. Nor does it join letters, digits and marks: a word of
-    plain characters is made of parts that are looked up in the same way, whatever its case and the marks around it."""
+    one after another, and the distinct words of a lot of texts are encoded once. Nor does it join letters, digits and marks:
+    a word of plain characters is made of parts that are looked up, whatever its case and the marks around it. The parts seen
+    are kept up to PART_BYTES and go with the encoder, which lives as long as its task."""
 
-    # What Python takes as white space and the tokenizer does not; characters that normalisation leaves alone
-    # but for their case; the parts that the tokenizer cuts such words into; the beginning of a special token.
-    UNLIKE = "\x1c\x1d\x1e\x1f"
+    # Characters that normalisation leaves alone but for their case; the parts that the tokenizer cuts such
+    # words into; the beginning of a special token.
     PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
     PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
     SPECIAL = "<|"
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.made = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+    def __init__(self, path: str, part_bytes: int = PART_BYTES):
+        self.made = _tokenizer(path)
         self.parts: dict[str, bytes] = {}
+        self.held, self.limit = 0, part_bytes
 
     def _raw(self, texts: list[str]) -> Iterator[bytes]:
         for k in range(0, len(texts), 4096):
             for x in self.made.encode_batch_fast(texts[k : k + 4096], add_special_tokens=False):
                 yield np.asarray(x.ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        plain, other = {}, []
-        for word in words:
-            if self.PLAIN.fullmatch(word) and self.SPECIAL not in word:
-                plain[word] = self.PART.findall(word.lower())
-            else:
-                other.append(word)
-        self.words.update(zip(other, self._raw(other)))
-        parts = list(set().union(*plain.values()) - self.parts.keys())
-        if len(self.parts) + len(parts) > CACHE_WORDS:
-            self.parts = {}
-            parts = list(set().union(*plain.values()))
-        self.parts.update(zip(parts, self._raw(parts)))
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, four bytes each."""
+        split = [self.PART.findall(w.lower()) if self.PLAIN.fullmatch(w) and self.SPECIAL not in w else None for w in words]
+        other = self._raw([w for w, p in zip(words, split) if p is None])
+        needed = set().union(*(p for p in split if p))
+        if self.held > self.limit:
+            self.parts, self.held = {}, 0
+        new = list(needed - self.parts.keys())
+        self.parts.update(zip(new, self._raw(new)))
+        # A part costs about 150 bytes besides its letters and ids.
+        self.held += sum(map(len, new)) + 170 * len(new)
         get = self.parts.__getitem__
-        self.words.update((word, get(p[0]) if len(p) == 1 else b"".join(map(get, p))) for word, p in plain.items())
+        return [next(other) if p is None else get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for p in split]
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        split = [None if any(c in (t or "") for c in self.UNLIKE) else (t or "").split() for t in texts]
-        unknown = set().union(*(w for w in split if w)) - self.words.keys()
-        if len(self.words) + len(unknown) > CACHE_WORDS:
-            self.words = {}
-            unknown = set().union(*(w for w in split if w))
-        self._learn(list(unknown))
-        for text, words in zip(texts, split):
-            raw = next(self._raw([text])) if words is None else b"".join(map(self.words.__getitem__, words))
-            yield np.frombuffer(raw, "<u4")
-
-
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        lists = pc.ascii_split_whitespace(pa.array([t or "" for t in texts], pa.large_string()))
+        coded = lists.flatten().dictionary_encode()
+        places = np.asarray(coded.indices, np.int64)
+        raw = self._words(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        ids = np.frombuffer(b"".join(raw), "<u4")
+        first, own = np.cumsum(sizes) - sizes, sizes[places]
+        ends = np.cumsum(own)
+        taken = ids[np.repeat(first[places] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
+        after = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths(), np.int64))])]
+        for a, b in zip(after[:-1], after[1:]):
+            yield taken[a:b]
 
 
 def _cutter(path: str, width: int, end_id: int) -> Callable:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen = encoder(path).encode, 0
-        for batch in slices(batches, "text", 2 << 20):
+        encode, seen = Encoder(path).encode, 0
+        for batch in slices(batches, "text", TEXT_BYTES):
             out = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
@@ -199,9 +203,10 @@ def sequences(docs: DataFrame, packed: DataFrame, tokenizer: str, doc_id: str =
     own = columns_of(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 << 20):
+        encode = Encoder(tokenizer).encode
+        for batch in slices(batches, "text", TEXT_BYTES):
             docs_, piece, parts = [], [], []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder(tokenizer).encode(batch.column("text").to_pylist())):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
                 ids = np.append(ids, np.uint32(end_id)).astype(np.int64)
                 for k, start in enumerate(range(0, len(ids), tokens)):
                     docs_.append(doc), piece.append(k), parts.append(ids[start : start + tokens])
