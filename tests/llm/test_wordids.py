@@ -45,8 +45,18 @@ def test_small_blocks_give_the_same(frame):
 
 
 def test_each_distinct_word_once(frame):
-    each = wordids.blocks(frame([(k, "same words again same") for k in range(30)])).selectExpr("explode(words) AS word")
-    assert sorted(r.word for r in wordids.word_table(each, PATH).collect()) == ["again", "same", "words"]
+    each = wordids.blocks(frame([(k, "Same words, again (same)! 你好,") for k in range(30)])).selectExpr("explode(words) AS word")
+    assert sorted(r.word for r in wordids.word_table(each, PATH).collect()) == ["(", ")!", ",", "again", "same", "words", "你好,"]
+
+
+def test_other_tokenizers_are_refused(frame, tmp_path):
+    import json
+
+    made = json.load(open(PATH, encoding="utf-8"))
+    made["normalizer"]["normalizers"].pop()
+    (tmp_path / "other.json").write_text(json.dumps(made))
+    with pytest.raises(ValueError, match="another way"):
+        wordids.digests(frame([(1, "a")]), str(tmp_path / "other.json"))
 
 
 def test_decode_through_pieces(spark):

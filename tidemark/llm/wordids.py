@@ -14,6 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import columns_of, slices, stored
+from .packing import Encoder
 
 #: Texts whose words are numbered together, in bytes; a longer text is numbered alone.
 BLOCK_BYTES = 16 << 20
@@ -27,30 +28,54 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# How the tokenizers meant here prepare a text and cut it into words.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def checked(tokenizer: str) -> dict:
+    """The tokenizer's file, if it cuts words in the way that ``words_of`` knows and joins pieces by spaces when decoding."""
+    with open(tokenizer, encoding="utf-8") as file:
+        made = json.load(file)
+    cuts = [t.get("pattern", {}).get("Regex") for t in (made["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    if [t["type"] for t in (made["normalizer"] or {}).get("normalizers", [])] != NORMALIZERS or cuts[:1] != [PATTERN] or made.get("decoder"):
+        raise ValueError(f"{tokenizer} cuts words or joins pieces in another way")
+    return made
+
+
+def words_of(run: str) -> list[str]:
+    """The words of a run without ASCII white space. Runs of plain characters are cut as the tokenizer cuts them, in lower
+    case; any other run stays whole, for the tokenizer to cut."""
+    return Encoder.PART.findall(run.lower()) if Encoder.PLAIN.fullmatch(run) and Encoder.SPECIAL not in run else [run]
+
+
 def _splitter(size: int) -> Callable:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Blocks: their distinct words in order of appearance, and each text as the places of its words in that order.
 
-        Words are cut at ASCII white space only. The tokenizer cuts there as well and joins nothing across it, so the ids of a
-        text are those of its words one after another.
+        Texts are cut at ASCII white space, and the distinct runs between into words. The tokenizer cuts at all these places
+        and joins nothing across them, so the ids of a text are those of its words one after another.
         """
         number = TaskContext.get().partitionId() << 32
         for part in slices(batches, "text", size):
             lists = pc.ascii_split_whitespace(part.column("text").fill_null("").cast(pa.large_string()))
-            coded = lists.flatten().dictionary_encode()
-            places = np.asarray(coded.indices, "<i4")
-            blank = pc.index(coded.dictionary, pa.scalar("", coded.dictionary.type)).as_py()
-            owner = np.repeat(np.arange(part.num_rows), np.asarray(lists.value_lengths(), np.int64))
-            kept = places != blank
-            counts = np.bincount(owner[kept], minlength=part.num_rows).astype(np.int64)
-            packed = pa.compress(places[kept].tobytes(), codec="zstd", asbytes=True)
+            runs = lists.flatten().dictionary_encode()
+            place: dict[str, int] = {}
+            cut = [[place.setdefault(w, len(place)) for w in words_of(r)] if r else [] for r in runs.dictionary.to_pylist()]
+            sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+            flat = np.fromiter((w for c in cut for w in c), np.int32, int(sizes.sum()))
+            at = np.asarray(runs.indices, np.int64)
+            own = sizes[at]
+            ends = np.cumsum(own)
+            places = flat[np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
+            ends = np.concatenate([[0], ends])[np.cumsum(np.asarray(lists.value_lengths(), np.int64))]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()),
                     pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                    pa.array([counts.tolist()], pa.list_(pa.int64())),
-                    pa.array([packed], pa.binary()),
-                    pa.array([coded.dictionary.to_pylist()], pa.list_(pa.string())),
+                    pa.array([np.diff(ends, prepend=0)], pa.list_(pa.int64())),
+                    pa.array([pa.compress(places.astype("<i4").tobytes(), codec="zstd", asbytes=True)], pa.binary()),
+                    pa.array([list(place)], pa.list_(pa.string())),
                 ],
                 ["block", "docs", "counts", "places", "words"],
             )
@@ -92,12 +117,9 @@ def word_table(words: DataFrame, tokenizer: str) -> DataFrame:
 
 def pieces(spark: SparkSession, tokenizer: str) -> DataFrame:
     """id, piece: the vocabulary with its added tokens. Its size is that of the tokenizer, whatever the input."""
-    with open(tokenizer, encoding="utf-8") as file:
-        made = json.load(file)
+    made = checked(tokenizer)
     table = dict((i, p) for p, i in made["model"]["vocab"].items())
     table.update((t["id"], t["content"]) for t in made["added_tokens"])
-    if made.get("decoder") is not None:
-        raise ValueError("only tokenizers without a decoder: their texts are the pieces joined by spaces")
     return spark.createDataFrame(sorted(table.items()), "id int, piece string")
 
 
@@ -171,6 +193,7 @@ def _texts(block: pa.RecordBatch, digests: bool) -> Iterator[pa.RecordBatch]:
 
 def _round_trip(docs: DataFrame, tokenizer: str | None, doc_id: str, text: str, size: int, digests: bool, schema: str) -> DataFrame:
     spark, tokenizer = docs.sparkSession, tokenizer or default_tokenizer()
+    checked(tokenizer)
     cut = blocks(docs, doc_id, text, size)
     each = cut.select("block", F.posexplode("words").alias("at", "word"))
     # Kept, since both the decoding and the join back start from it.
