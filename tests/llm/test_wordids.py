@@ -1,5 +1,7 @@
 import hashlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from tidemark.llm import wordids
 from tokenizers import Tokenizer
@@ -44,9 +46,28 @@ def test_small_blocks_give_the_same(frame):
     assert sorted(wordids.digests(docs, block_bytes=64).collect()) == whole
 
 
-def test_each_distinct_word_once(frame):
-    each = wordids.blocks(frame([(k, "Same words, again (same)! 你好,") for k in range(30)])).selectExpr("explode(words) AS word")
-    assert sorted(r.word for r in wordids.word_table(each, PATH).collect()) == ["(", ")!", ",", "again", "same", "words", "你好,"]
+def test_each_distinct_word_once(spark, frame):
+    cut = wordids.blocks(frame([(k, "Same words, again (same)! 你好," + " rare" * (k == 7)) for k in range(30)]), size=64)
+    common = wordids.common_words(cut)
+    assert {"(", ")!", ",", "again", "same", "words", "你好,"} <= set(common) <= {"(", ")!", ",", "again", "same", "words", "你好,", "rare"}
+    assert len(wordids.common_words(cut, 3)) == 3
+    kept = spark.createDataFrame([(w,) for w in ("same", ",")], "word string")
+    rows = wordids.rare_ids(cut, kept, PATH).collect()
+    places = {r.block: r.words for r in cut.collect()}
+    assert sorted((r.block, r.at) for r in rows) == sorted((b, k) for b, words in places.items() for k, w in enumerate(words) if w not in ("same", ","))
+    assert all(list(np.frombuffer(r.ids, "<u4")) == expected(places[r.block][r.at])[0] for r in rows)
+
+
+@pytest.mark.parametrize("common", [0, 1, 5])
+def test_what_is_common_changes_nothing(frame, odd_texts, common):
+    docs = frame(odd_texts + [(100 + k, t) for k, t in enumerate(MARKED)])
+    assert sorted(wordids.digests(docs, block_bytes=200, common=common).collect(), key=str) == sorted(wordids.digests(docs).collect(), key=str)
+
+
+def test_words_across_batches_are_encoded_once():
+    batches = [pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([0, 0, 0], pa.int32()), pa.array(w)], ["block", "at", "word"]) for w in (["a", "a", "bb"], ["bb", "bb", "c"], ["c", "c", "c"])]
+    out = [r for b in wordids._encoder(PATH)(iter(batches)) for r in b.to_pylist()]
+    assert [list(np.frombuffer(r["ids"], "<u4")) for r in out] == [expected(w)[0] for w in ["a", "a", "bb", "bb", "bb", "c", "c", "c", "c"]]
 
 
 def test_other_tokenizers_are_refused(frame, tmp_path):

@@ -1,4 +1,9 @@
-"""Token ids of whole texts by a table of distinct words, and texts of token ids by a table of pieces."""
+"""Token ids of whole texts by a table of distinct words, and texts of token ids by a table of pieces.
+
+The table has two parts. Words that most blocks share are encoded in the driver and sent to every task; their number has a
+fixed bound. All other words are dealt out by word with the places where they stand, encoded where equal ones lie together,
+and sent back to their blocks. Which words are common is read from a few blocks; it changes what travels, not what results.
+"""
 
 from __future__ import annotations
 
@@ -17,7 +22,10 @@ from .common import columns_of, slices, stored
 from .packing import Encoder
 
 #: Texts whose words are numbered together, in bytes; a longer text is numbered alone.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
+#: Words that are sent to every task at most, and blocks that they are read from.
+COMMON_WORDS = 131_072
+SAMPLE_BLOCKS = 16
 #: Words handed to the tokenizer at once.
 ENCODED_AT_ONCE = 4096
 
@@ -49,6 +57,17 @@ def words_of(run: str) -> list[str]:
     return Encoder.PART.findall(run.lower()) if Encoder.PLAIN.fullmatch(run) and Encoder.SPECIAL not in run else [run]
 
 
+def _packed(places: np.ndarray) -> bytes:
+    """Numbers as four planes of bytes, compressed: the higher planes are nearly empty."""
+    planes = places.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return pa.Codec("zstd", compression_level=5).compress(planes.tobytes(), asbytes=True)
+
+
+def _unpacked(packed: pa.Buffer, many: int) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(packed, decompressed_size=4 * many, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, many).T).view("<u4").reshape(-1).astype(np.int64)
+
+
 def _splitter(size: int) -> Callable:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Blocks: their distinct words in order of appearance, and each text as the places of its words in that order.
@@ -74,7 +93,7 @@ def _splitter(size: int) -> Callable:
                     pa.array([number], pa.int64()),
                     pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                     pa.array([np.diff(ends, prepend=0)], pa.list_(pa.int64())),
-                    pa.array([pa.compress(places.astype("<i4").tobytes(), codec="zstd", asbytes=True)], pa.binary()),
+                    pa.array([_packed(places)], pa.binary()),
                     pa.array([list(place)], pa.list_(pa.string())),
                 ],
                 ["block", "docs", "counts", "places", "words"],
@@ -93,26 +112,50 @@ def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: in
     return stored(own.mapInArrow(_splitter(size), BLOCKS), "blocks", compression="zstd")
 
 
+def _ids_of(path: str) -> Callable[[list[str]], list[bytes]]:
+    """A function from words to their ids, four bytes each."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(path)
+    made.no_truncation(), made.no_padding()
+
+    def ids(words: list[str]) -> list[bytes]:
+        parts = (words[k : k + ENCODED_AT_ONCE] for k in range(0, len(words), ENCODED_AT_ONCE))
+        return [np.asarray(x.ids, "<u4").tobytes() for p in parts for x in made.encode_batch_fast(p, add_special_tokens=False)]
+
+    return ids
+
+
+def common_words(cut: DataFrame, limit: int = COMMON_WORDS) -> list[str]:
+    """The words that most of SAMPLE_BLOCKS blocks have, ``limit`` at most."""
+    chosen = [r["block"] for r in cut.select("block").orderBy(F.xxhash64("block"), "block").limit(SAMPLE_BLOCKS).collect()]
+    seen = cut.where(F.col("block").isin(chosen)).select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return [r["word"] for r in seen.orderBy(F.desc("n"), "word").limit(limit).collect()]
+
+
 def _encoder(path: str) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        made = Tokenizer.from_file(path)
-        made.no_truncation(), made.no_padding()
-        for part in slices(batches, "word", 1 << 20):
-            words = part.column("word").to_pylist()
-            for k in range(0, len(words), ENCODED_AT_ONCE):
-                some = words[k : k + ENCODED_AT_ONCE]
-                ids = [x.ids for x in made.encode_batch_fast(some, add_special_tokens=False)]
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+        ids_of, before, kept = _ids_of(path), None, b""
+        for part in slices(batches, "word", 4 << 20):
+            # Equal words lie together, so each is encoded once; one that a batch began is carried into the next.
+            coded = part.column("word").dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            again = bool(words) and words[0] == before
+            ids = ([kept] if again else []) + ids_of(words[again:])
+            if words:
+                before, kept = words[-1], ids[-1]
+            found = pa.array(ids, pa.binary()).take(coded.indices)
+            yield pa.RecordBatch.from_arrays([part.column("block"), part.column("at"), found], ["block", "at", "ids"])
 
     return encode
 
 
-def word_table(words: DataFrame, tokenizer: str) -> DataFrame:
-    """word, ids: every distinct value of the column ``word``, encoded once. Equal words are counted out before the shuffle."""
-    return words.select("word").distinct().mapInArrow(_encoder(tokenizer), "word string, ids array<int>")
+def rare_ids(cut: DataFrame, common: DataFrame, tokenizer: str) -> DataFrame:
+    """block, at, ids: the words of the blocks that are not ``common`` (a table of COMMON_WORDS rows at most), each encoded once."""
+    each = cut.select("block", F.posexplode("words").alias("at", "word")).join(F.broadcast(common), "word", "left_anti")
+    together = each.repartition("word").sortWithinPartitions("word")
+    return together.mapInArrow(_encoder(tokenizer), "block bigint, at int, ids binary")
 
 
 def pieces(spark: SparkSession, tokenizer: str) -> DataFrame:
@@ -137,91 +180,91 @@ def decoded(table: DataFrame, key: str, vocabulary: DataFrame) -> DataFrame:
 TOKENS = "doc_id bigint, ids array<int>, text string"
 
 
-def _assembler(digests: bool) -> Callable:
+def _assembler(sent, digests: bool) -> Callable:
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                yield from _texts(batch.slice(row, 1), digests)
+                yield from _texts(batch.slice(row, 1), *sent.value, digests)
 
     return assemble
 
 
-def _texts(block: pa.RecordBatch, digests: bool) -> Iterator[pa.RecordBatch]:
-    """The documents of one block from the ids and texts of its words, taken by their places."""
+def _texts(block: pa.RecordBatch, common: dict[str, bytes], table: list[str], digests: bool) -> Iterator[pa.RecordBatch]:
+    """The documents of one block from the ids of its words, taken by their places, and the pieces of the ids."""
+    raw = list(map(common.get, block.column("words")[0].as_py()))
     found = block.column("found").flatten()
-    at = np.asarray(found.field("at"), np.int64)
-    many = len(at) and int(at.max()) + 1
-    ids: list = [()] * many
-    text: list = [""] * many
-    for k, i, t in zip(at.tolist(), found.field("ids").to_pylist(), found.field("text").to_pylist()):
-        ids[k], text[k] = i, t
-    spaced = [" ".join(map(str, i)) for i in ids] if digests else None
-    sizes = np.array([len(i) for i in ids], np.int64)
-    places = np.frombuffer(pa.decompress(block.column("places")[0].as_buffer(), decompressed_size=4 * sum(block.column("counts")[0].as_py()), codec="zstd"), "<i4") if many else np.zeros(0, "<i4")
-    out: dict[str, list] = {"doc_id": [], "n": [], "ids": [], "text": []}
-    start, held = 0, 0
-
-    def batch() -> pa.RecordBatch:
-        if digests:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(out["doc_id"], pa.int64()), pa.array(out["n"], pa.int64()), pa.array(out["ids"], pa.string()), pa.array(out["text"], pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-        return pa.RecordBatch.from_arrays(
-            [pa.array(out["doc_id"], pa.int64()), pa.array(out["ids"], pa.list_(pa.int32())), pa.array(out["text"], pa.string())], ["doc_id", "ids", "text"]
-        )
-
-    for doc, count in zip(block.column("docs")[0].as_py(), block.column("counts")[0].as_py()):
-        own = places[start : start + count].tolist()
+    for at, ids in zip(np.asarray(found.field("at")).tolist(), found.field("ids").to_pylist()):
+        raw[at] = ids
+    ids = [np.frombuffer(x, "<u4").tolist() for x in raw]
+    text = [" ".join(map(table.__getitem__, i)) for i in ids]
+    spaced = [" ".join(map(str, i)) for i in ids] if digests else []
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    counts = block.column("counts")[0].as_py()
+    places = _unpacked(block.column("places")[0].as_buffer(), sum(counts))
+    names = [("doc_id", pa.int64())] + (
+        [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] if digests else [("ids", pa.list_(pa.int32())), ("text", pa.string())]
+    )
+    rows: list[tuple] = []
+    start = held = 0
+    for doc, count in zip(block.column("docs")[0].as_py(), counts):
+        own = places[start : start + count]
         start += count
-        out["doc_id"].append(doc)
-        whole = " ".join([t for t in map(text.__getitem__, own) if t])
+        listed = own.tolist()
+        whole = " ".join([t for t in map(text.__getitem__, listed) if t])
         if digests:
-            out["n"].append(int(sizes[own].sum()) if own else 0)
-            out["ids"].append(hashlib.sha256(" ".join([s for s in map(spaced.__getitem__, own) if s]).encode()).hexdigest())
-            out["text"].append(hashlib.sha256(whole.encode()).hexdigest())
+            joined = " ".join([x for x in map(spaced.__getitem__, listed) if x])
+            rows.append((doc, int(sizes[own].sum()), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(whole.encode()).hexdigest()))
         else:
-            out["ids"].append([i for k in own for i in ids[k]])
-            out["text"].append(whole)
+            rows.append((doc, [i for k in listed for i in ids[k]], whole))
             held += len(whole)
-            if held > 4 << 20:
-                yield batch()
-                out, held = {name: [] for name in out}, 0
-    if out["doc_id"]:
-        yield batch()
+        if held > 4 << 20:
+            yield _batch(rows, names)
+            rows, held = [], 0
+    if rows:
+        yield _batch(rows, names)
+
+
+def _batch(rows: list[tuple], names: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(names)], [n for n, _ in names])
 
 
-def _round_trip(docs: DataFrame, tokenizer: str | None, doc_id: str, text: str, size: int, digests: bool, schema: str) -> DataFrame:
+def _round_trip(docs: DataFrame, tokenizer: str | None, doc_id: str, text: str, size: int, limit: int, digests: bool, schema: str) -> DataFrame:
     spark, tokenizer = docs.sparkSession, tokenizer or default_tokenizer()
-    checked(tokenizer)
+    table = pieces(spark, tokenizer)
     cut = blocks(docs, doc_id, text, size)
-    each = cut.select("block", F.posexplode("words").alias("at", "word"))
-    # Kept, since both the decoding and the join back start from it.
-    table = stored(word_table(each, tokenizer), "word-ids", compression="zstd")
-    texts = decoded(table, "word", pieces(spark, tokenizer))
-    known = table.join(texts, "word")
-    # A word comes once from each block that has it, however often it occurs, and a block gets back no more than it has.
-    back = each.join(known, "word").groupBy("block").agg(F.collect_list(F.struct("at", "ids", "text")).alias("found"))
-    none = F.array().cast("array<struct<at:int,ids:array<int>,text:string>>")
-    whole = cut.drop("words").join(back, "block", "left").withColumn("found", F.coalesce("found", none))
-    return whole.mapInArrow(_assembler(digests), schema)
-
-
-def tokens(docs: DataFrame, tokenizer: str | None = None, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    common = common_words(cut, limit)
+    rare = rare_ids(cut, spark.createDataFrame([(w,) for w in common], "word string"), tokenizer)
+    # A block gets back what it sent, so a group is no larger than its words.
+    back = rare.groupBy("block").agg(F.collect_list(F.struct("at", "ids")).alias("found"))
+    none = F.array().cast("array<struct<at:int,ids:binary>>")
+    whole = cut.join(back, "block", "left").withColumn("found", F.coalesce("found", none))
+    # The id-to-piece table goes to the tasks as a list that ids point into; it has the size of the vocabulary.
+    listed = [""] * (table.agg(F.max("id")).first()[0] + 1)
+    for r in table.collect():
+        listed[r["id"]] = r["piece"]
+    sent = spark.sparkContext.broadcast((dict(zip(common, _ids_of(tokenizer)(common))), listed))
+    return whole.mapInArrow(_assembler(sent, digests), schema)
+
+
+def tokens(
+    docs: DataFrame, tokenizer: str | None = None, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES, common: int = COMMON_WORDS
+) -> DataFrame:
     """doc_id, ids, text: the token ids of every whole text, and what they decode to.
 
     Texts are split into words in tasks, each distinct word of the corpus is encoded once, and the ids are joined back by the
-    words' places; the text comes from the ids by a join with the table of pieces. Ids equal those of the tokenizer without
+    words' places; the text comes from the ids by a look into the table of pieces. Ids equal those of the tokenizer without
     special tokens, truncation or padding; strings of special tokens in a text become those tokens, as there. A null, empty or
     blank text has no ids and decodes to an empty text. Rows without an id and repeated rows stay, each with its own result;
     no rows give no rows. Only ``doc_id`` and ``text`` are read.
     """
-    return _round_trip(docs, tokenizer, doc_id, text, block_bytes, False, TOKENS)
+    return _round_trip(docs, tokenizer, doc_id, text, block_bytes, common, False, TOKENS)
 
 
-def digests(docs: DataFrame, tokenizer: str | None = None, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def digests(
+    docs: DataFrame, tokenizer: str | None = None, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES, common: int = COMMON_WORDS
+) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of ``tokens``: of decimal ids joined by one space, and of the text."""
-    return _round_trip(docs, tokenizer, doc_id, text, block_bytes, True, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return _round_trip(docs, tokenizer, doc_id, text, block_bytes, common, True, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def decode(rows: DataFrame, tokenizer: str | None = None, key: str = "doc_id", ids: str = "ids") -> DataFrame:
