@@ -6,9 +6,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import checkpointed, work_path
+from ..session import broadcast_if_small, checkpointed, work_path
+
+#: Bits of a row's number that tell its place in a file.
+PLACE_BITS = 36
 
 __all__ = ["checkpointed", "columns_of", "crc_mod", "kept_rows", "numbered", "slices", "stored", "table", "text_blob", "work_path"]
 
@@ -36,14 +40,24 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` as a stored table with a number of its own for every row, and the name of that column.
+    """``docs`` with a number of its own for every row, and the name of that column.
 
-    Stages that keep some rows decide by it: ids may repeat or be null, and a row read twice is two rows.
+    Stages that keep some rows decide by it: ids may repeat or be null, and a row read twice is two rows. Rows of a table of
+    files are numbered by file and place, which any later read finds again; rows of any other plan are stored first.
     """
     row = "_row"
     while row in docs.columns:
         row = f"_{row}"
-    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias(f"{row}_file"), F.col("_metadata.row_index").alias(f"{row}_place"))
+        files = sorted(r[0] for r in placed.select(f"{row}_file").distinct().collect())
+    except AnalysisException:
+        return stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+    # One row per file, so its size is that of the layout.
+    numbers = docs.sparkSession.createDataFrame(list(zip(files, range(len(files)))), f"{row}_file string, {row} bigint")
+    met = placed.join(broadcast_if_small(numbers, len(files)), f"{row}_file")
+    whole = F.shiftleft(row, PLACE_BITS).bitwiseOR(F.col(f"{row}_place"))
+    return met.select(*[F.col(f"`{c}`") for c in docs.columns], whole.alias(row)), row
 
 
 def kept_rows(docs: DataFrame, text: str, judge: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:

@@ -196,5 +196,5 @@ def keep_first(docs: DataFrame) -> DataFrame:
     first = F.min(F.struct(-F.col("n_points"), F.col("own").isNull(), "own", "doc_id"))["doc_id"]
     distinct = stored(rows.groupBy("text_sha256").agg(first.alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "winners")
     found = lookup(rows, stored(build_index(distinct, distinct.count()), "index"))
-    kept = found.filter("keep_id = doc_id").select(F.col("doc_id").alias(row))
-    return own.join(kept, row, "left_semi").drop(row)
+    gone = stored(found.filter("keep_id <> doc_id").select(F.col("doc_id").alias(row)), "gone")
+    return own.join(gone, row, "left_anti").drop(row)

@@ -502,6 +502,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     own, row = numbered(docs)
     placed = near_duplicates(own, doc_id=row).select(F.col("doc_id").alias("row"), "component_id")
-    rows = placed.join(columns_of(own, row=row, own="doc_id"), "row")
-    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("own").isNull(), "own", "row"))["row"].alias(row))
-    return own.join(stored(first.select(row), "standing"), row, "left_semi").drop(row)
+    rows = stored(placed.join(columns_of(own, row=row, own="doc_id"), "row"), "placed")
+    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("own").isNull(), "own", "row"))["row"].alias("first"))
+    gone = stored(rows.join(first, "component_id").filter("row <> first").select(F.col("row").alias(row)), "gone")
+    return own.join(gone, row, "left_anti").drop(row)

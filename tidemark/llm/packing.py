@@ -32,16 +32,46 @@ PACKED = "doc_id bigint, unnamed boolean, piece int, start bigint, length bigint
 _TOKENIZERS: dict = {}
 
 
-def _tokenizer(path: str):
-    """One tokenizer per worker process; its size is that of the file."""
+def tokenizer_of(path: str) -> tuple:
+    """One tokenizer per worker process, and its reader of parts; their size is that of the file."""
     if path not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _TOKENIZERS[path] = Tokenizer.from_file(path)
+        made = Tokenizer.from_file(path)
+        made.no_truncation(), made.no_padding()
+        _TOKENIZERS[path] = made, Parts(made)
     return _TOKENIZERS[path]
 
 
+class Parts:
+    """Ids of many parts of words at once. A part is one word to the tokenizer, so it ends with the only piece that closes a
+    word: parts are encoded as lines of JOINED parts between spaces, and the ids are cut behind those pieces."""
+
+    JOINED = 256
+
+    def __init__(self, made):
+        self.made = made
+        vocabulary = made.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+
+    def ids(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part, four bytes each."""
+        groups = [parts[k : k + self.JOINED] for k in range(0, len(parts), self.JOINED)]
+        out: list[bytes] = []
+        for k in range(0, len(groups), 64):
+            some = groups[k : k + 64]
+            for group, made in zip(some, self.made.encode_batch_fast([" ".join(g) for g in some], add_special_tokens=False)):
+                ids = np.asarray(made.ids, "<u4")
+                ends = ((np.flatnonzero(self.closes[ids]) + 1) * 4).tolist()
+                if len(ends) != len(group):
+                    raise ValueError("a part is more than one word to the tokenizer")
+                raw = ids.tobytes()
+                out += [raw[a:b] for a, b in zip([0] + ends[:-1], ends)]
+        return out
+
+
 class Encoder:
     """Token ids of whole texts. The tokenizer never joins across white space, so the ids of a text are those of its words
     one after another, and the distinct words of a lot of texts are encoded once. Nor does it join letters, digits and marks:
@@ -55,7 +85,7 @@ class Encoder:
     SPECIAL = "<|"
 
     def __init__(self, path: str, part_bytes: int = PART_BYTES):
-        self.made = _tokenizer(path)
+        self.made, self.closed = tokenizer_of(path)
         self.parts: dict[str, bytes] = {}
         self.held, self.limit = 0, part_bytes
 
@@ -72,7 +102,7 @@ class Encoder:
         if self.held > self.limit:
             self.parts, self.held = {}, 0
         new = list(needed - self.parts.keys())
-        self.parts.update(zip(new, self._raw(new)))
+        self.parts.update(zip(new, self.closed.ids(new)))
         # A part costs about 150 bytes besides its letters and ids.
         self.held += sum(map(len, new)) + 170 * len(new)
         get = self.parts.__getitem__
@@ -81,16 +111,12 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         lists = pc.ascii_split_whitespace(pa.array([t or "" for t in texts], pa.large_string()))
         coded = lists.flatten().dictionary_encode()
-        places = np.asarray(coded.indices, np.int64)
-        raw = self._words(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
-        ids = np.frombuffer(b"".join(raw), "<u4")
-        first, own = np.cumsum(sizes) - sizes, sizes[places]
-        ends = np.cumsum(own)
-        taken = ids[np.repeat(first[places] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
-        after = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths(), np.int64))])]
-        for a, b in zip(after[:-1], after[1:]):
-            yield taken[a:b]
+        places = np.asarray(coded.indices)
+        words = coded.dictionary.to_pylist()
+        raw = [x for k in range(0, len(words), 1 << 16) for x in self._words(words[k : k + (1 << 16)])]
+        ends = np.cumsum(np.asarray(lists.value_lengths(), np.int64)).tolist()
+        for a, b in zip([0] + ends[:-1], ends):
+            yield np.frombuffer(b"".join(map(raw.__getitem__, places[a:b].tolist())), "<u4")
 
 
 def _cutter(path: str, width: int, end_id: int) -> Callable:

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import columns_of, slices, stored
-from .packing import Encoder
+from .packing import Encoder, tokenizer_of
 
 #: Texts whose words are numbered together, in bytes; a longer text is numbered alone.
 BLOCK_BYTES = 32 << 20
@@ -113,16 +112,16 @@ def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: in
 
 
 def _ids_of(path: str) -> Callable[[list[str]], list[bytes]]:
-    """A function from words to their ids, four bytes each."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    made = Tokenizer.from_file(path)
-    made.no_truncation(), made.no_padding()
+    """A function from words to their ids, four bytes each. Plain words are parts of runs, which are encoded many at a time."""
+    made, closed = tokenizer_of(path)
 
     def ids(words: list[str]) -> list[bytes]:
-        parts = (words[k : k + ENCODED_AT_ONCE] for k in range(0, len(words), ENCODED_AT_ONCE))
-        return [np.asarray(x.ids, "<u4").tobytes() for p in parts for x in made.encode_batch_fast(p, add_special_tokens=False)]
+        plain = [bool(Encoder.PLAIN.fullmatch(w)) and Encoder.SPECIAL not in w for w in words]
+        other = [w for w, p in zip(words, plain) if not p]
+        parts = (other[k : k + ENCODED_AT_ONCE] for k in range(0, len(other), ENCODED_AT_ONCE))
+        whole = (np.asarray(x.ids, "<u4").tobytes() for p in parts for x in made.encode_batch_fast(p, add_special_tokens=False))
+        cut = iter(closed.ids([w for w, p in zip(words, plain) if p]))
+        return [next(cut) if p else next(whole) for p in plain]
 
     return ids
 
