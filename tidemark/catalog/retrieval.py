@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import retrieval as r
+from ..operators.keywords import KeywordIndex, single
+from ..session import work_path
 from ..sources.readers import spread
 from ..sources.star import raw
 from .base import query
@@ -32,7 +34,7 @@ QV_SQL = f"qv AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE
 
 
 def documents_with_vectors(spark: SparkSession, directory: str) -> DataFrame:
-    texts = raw(spark, directory, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    texts = documents(spark, directory)
     vectors = raw(spark, directory, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
     return texts.join(vectors, "id", "left")
 
@@ -45,6 +47,32 @@ def texts_only(spark: SparkSession, directory: str) -> DataFrame:
     return all_texts(spark, directory).select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
 
 
+def documents(spark: SparkSession, directory: str) -> DataFrame:
+    return raw(spark, directory, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+
+
+_STORES: dict[tuple[str, str], tuple[KeywordIndex, str]] = {}
+
+
+def search_store(spark: SparkSession, directory: str) -> tuple[KeywordIndex, DataFrame]:
+    """The keyword index over ``documents``, and a table of ``id, embedding`` with a row for every document.
+
+    Both are stored once per application and folder, as an ingest job does; the queries read them. The documents come in two
+    ingests, one per kind of language, so that answers are put together from several segments.
+    """
+    key = (spark.sparkContext.applicationId, directory)
+    if key not in _STORES:
+        docs = raw(spark, directory, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"), "lang")
+        index, vectors = KeywordIndex(spark, work_path(spark, "keywords")), work_path(spark, "vectors")
+        english = F.col("lang").eqNullSafe("en")
+        for name, part in (("english", english), ("other", ~english)):
+            index.add(spread(docs.where(part)), name)
+        documents_with_vectors(spark, directory).select("id", "embedding").write.parquet(vectors)
+        _STORES[key] = index, vectors
+    index, vectors = _STORES[key]
+    return index, spark.read.parquet(vectors)
+
+
 def query_vector(spark: SparkSession, directory: str) -> list[float]:
     row = raw(spark, directory, "embeddings").where(F.col("vec_id") == QUERY_VECTOR_ID).select("embedding").first()
     return list(row[0])
@@ -107,12 +135,12 @@ def tx_1(spark, directory):
     GROUP BY 1, 2""",
 )
 def tx_2(spark, directory):
-    return r.inverted_index(all_texts(spark, directory), "doc_id", "text")
+    return search_store(spark, directory)[0].postings()
 
 
 @query("tx_3", f"WITH {DOCS_SQL}, {text_list_sql(15)} SELECT id, CAST(text_score AS DOUBLE) AS text_score, text_rank FROM t")
 def tx_3(spark, directory):
-    return r.keyword_candidates(documents_with_vectors(spark, directory), QUERY_WORDS, 15)
+    return search_store(spark, directory)[0].first_matches(QUERY_WORDS, 15)
 
 
 @query(
@@ -127,7 +155,40 @@ def tx_3(spark, directory):
     FROM l, s WHERE tf0 > 0 OR tf1 > 0""",
 )
 def tx_4(spark, directory):
-    return r.bm25(texts_only(spark, directory), QUERY_WORDS).withColumn("score", F.round("score", 6))
+    found = search_store(spark, directory)[0].bm25(single(spark, QUERY_WORDS))
+    return found.select("id", F.round("score", 6).alias("score"))
+
+
+BM25_SQL = f"""d AS (SELECT doc_id AS id, {tokens_sql("text")} AS t FROM documents),
+    s AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM d),
+    terms AS (SELECT DISTINCT query_id, unnest({tokens_sql("query")}) AS token FROM queries),
+    tf AS (SELECT id, token, count(*) AS tf, any_value(length) AS length FROM
+      (SELECT id, len(t) AS length, unnest(t) AS token FROM d) SEMI JOIN terms USING (token) GROUP BY id, token),
+    df AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
+    scored AS (SELECT query_id, id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))), 9) AS score
+      FROM tf JOIN df USING (token) JOIN terms USING (token), s GROUP BY query_id, id)"""
+
+
+@query(
+    "tx_4_top",
+    f"""WITH queries AS (SELECT 0 AS query_id, '{QUERY_WORDS}' AS query), {BM25_SQL}
+    SELECT id, round(score, 6) AS score, row_number() OVER (ORDER BY score DESC, id) AS rank FROM scored
+    QUALIFY rank <= 10""",
+)
+def tx_4_top(spark, directory):
+    found = search_store(spark, directory)[0].top_bm25(single(spark, QUERY_WORDS), 10)
+    return found.select("id", F.round("score", 6).alias("score"), "rank")
+
+
+@query(
+    "tx_4_batch",
+    f"""WITH {LABEL_QUERIES_SQL}, {BM25_SQL}
+    SELECT query_id, id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank
+    FROM scored QUALIFY rank <= 10""",
+)
+def tx_4_batch(spark, directory):
+    found = search_store(spark, directory)[0].top_bm25(label_queries(spark, directory), 10)
+    return found.withColumn("score", F.round("score", 6))
 
 
 @query(
@@ -135,7 +196,7 @@ def tx_4(spark, directory):
     f"""SELECT count(*) AS total_docs, count(*) FILTER ({any_term_sql("text", QUERY_WORDS)}) AS matches FROM documents""",
 )
 def tx_5(spark, directory):
-    return r.search_counts(texts_only(spark, directory), QUERY_WORDS)
+    return search_store(spark, directory)[0].search_counts(QUERY_WORDS)
 
 
 @query(
@@ -178,10 +239,11 @@ FUSED = "0.5 / (60 + coalesce(vector_rank, 999)) + 0.5 / (60 + coalesce(text_ran
     FROM fused JOIN docs USING (id) QUALIFY row_number() OVER (ORDER BY total DESC, id) <= 5""",
 )
 def tx_6(spark, directory):
-    docs = documents_with_vectors(spark, directory)
-    found = r.hybrid_search(docs, query_vector(spark, directory), QUERY_WORDS, 5)
-    return found.withColumns(
-        {"vector_score": F.round("vector_score", 6), "hybrid_score": F.round("hybrid_score", 8)}
+    index, vectors = search_store(spark, directory)
+    one = single(spark, QUERY_WORDS).withColumn("vector", F.array(*[F.lit(float(x)) for x in query_vector(spark, directory)]))
+    found = r.indexed_search(vectors, index, documents(spark, directory), one, 5)
+    return found.select(
+        "id", "content", F.round("vector_score", 6).alias("vector_score"), "text_score", F.round("hybrid_score", 8).alias("hybrid_score")
     )
 
 
@@ -211,7 +273,8 @@ tb AS (SELECT * FROM (SELECT query_id, id, 1.0 AS text_score,
       body AS context FROM m JOIN p ON p.query_id = m.query_id""",
 )
 def tx_7(spark, directory):
-    return r.answer_context(documents_with_vectors(spark, directory), label_queries(spark, directory), 3)
+    index, vectors = search_store(spark, directory)
+    return r.indexed_context(vectors, index, documents(spark, directory), label_queries(spark, directory), 3)
 
 
 @query(
@@ -222,7 +285,7 @@ def tx_7(spark, directory):
     FROM vb v FULL JOIN tb t ON v.query_id = t.query_id AND v.id = t.id""",
 )
 def wn_3(spark, directory):
-    docs, queries = documents_with_vectors(spark, directory), label_queries(spark, directory)
-    vectors = r.nearest_batch(docs, queries, 9).select("query_id", "id", "vector_rank")
-    words = r.keyword_candidates_batch(docs, queries, 9).select("query_id", "id", "text_rank")
+    (index, stored), queries = search_store(spark, directory), label_queries(spark, directory)
+    vectors = r.nearest_batch(stored, queries, 9).select("query_id", "id", "vector_rank")
+    words = index.first_matches_batch(queries, 9).select("query_id", "id", "text_rank")
     return vectors.join(words, ["query_id", "id"], "full")

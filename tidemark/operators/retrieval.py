@@ -40,6 +40,9 @@ QUERY_BYTES_PER_PASS = 32 * 1024 * 1024
 # Queries whose scores against one Arrow batch are held at once.
 QUERY_TILE = 512
 
+# Winners up to which their ids are named when texts are fetched.
+NAMED_IDS = 2000
+
 
 # -- chunking and embedding -------------------------------------------------------------------------------
 
@@ -354,11 +357,37 @@ def hybrid_search_batch(docs: DataFrame, queries: DataFrame, k: int = 5) -> Data
     return _hybrid_batch(docs, checkpointed(docs.sparkSession, queries), k)
 
 
-def _hybrid_batch(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    fused = _fused(
-        nearest_batch(docs, queries, POOL * k), keyword_candidates_batch(docs, queries, POOL * k), ["query_id", "id"]
+def texts_of(texts: DataFrame, winners: DataFrame, many: int) -> DataFrame:
+    """``winners`` with their ``content``. A few ids are named in the filter, so that row groups without them stay unread."""
+    rows = texts.select("id", "content")
+    if many <= NAMED_IDS:
+        rows = rows.where(F.col("id").isin([r[0] for r in winners.select("id").distinct().collect()]))
+    return rows.join(broadcast_if_small(winners, many), "id")
+
+
+def indexed_search(vectors: DataFrame, index, texts: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
+    """``hybrid_search_batch`` from a keyword index and a table of ``id, embedding``; only the winners' texts are read."""
+    queries = checkpointed(vectors.sparkSession, queries)
+    winners = checkpointed(vectors.sparkSession, _winners(vectors, queries, index.first_matches_batch(queries, POOL * k), k))
+    return texts_of(texts, winners, k * queries.count()).select(
+        "query_id", "rank", "id", "content", "vector_score", "text_score", "hybrid_score"
     )
-    winners = head_per_group(fused, ["query_id"], k, [F.desc("hybrid_score"), F.asc("id")], "rank")
+
+
+def indexed_context(vectors: DataFrame, index, texts: DataFrame, queries: DataFrame, k: int = 3) -> DataFrame:
+    """``answer_context`` from the same; documents and matches are counted from the index."""
+    queries = checkpointed(vectors.sparkSession, queries)
+    hits = indexed_search(vectors, index, texts, queries, k)
+    return _context(hits, index.match_counts(queries), F.lit(index.counts()[0]).cast("bigint"))
+
+
+def _winners(vectors: DataFrame, queries: DataFrame, words: DataFrame, k: int) -> DataFrame:
+    fused = _fused(nearest_batch(vectors, queries, POOL * k), words, ["query_id", "id"])
+    return head_per_group(fused, ["query_id"], k, [F.desc("hybrid_score"), F.asc("id")], "rank")
+
+
+def _hybrid_batch(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    winners = _winners(docs, queries, keyword_candidates_batch(docs, queries, POOL * k), k)
     # At most k winners per query.
     return docs.select("id", "content").join(broadcast_if_small(winners, k * queries.count()), "id").select(
         "query_id", "rank", "id", "content", "vector_score", "text_score", "hybrid_score"
@@ -368,14 +397,17 @@ def _hybrid_batch(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 def answer_context(docs: DataFrame, queries: DataFrame, k: int = 3) -> DataFrame:
     """The text handed to an answering step, per query: statistics, then numbered passages."""
     queries = checkpointed(docs.sparkSession, queries)
-    hits = _hybrid_batch(docs, queries, k)
+    total = docs.agg(F.count(F.lit(1)).alias("total")).scalar()
+    return _context(_hybrid_batch(docs, queries, k), match_counts(docs, queries), total)
+
+
+def _context(hits: DataFrame, counts: DataFrame, total: Column) -> DataFrame:
     passage = F.format_string(PASSAGE_TEXT, "rank", "hybrid_score", "vector_score", "text_score", "content")
     passages = hits.groupBy("query_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", passage.alias("text")))).alias("parts"),
         F.count(F.lit(1)).alias("results"),
     )
-    total = docs.agg(F.count(F.lit(1)).alias("total")).scalar()
-    found = match_counts(docs, queries).join(passages, "query_id", "left").withColumn("total", total)
+    found = counts.join(passages, "query_id", "left").withColumn("total", total)
     header = F.format_string(STATISTICS_TEXT, "total", "matches", "results")
     empty = F.format_string(NOTHING_FOUND_TEXT, "total", "matches")
     body = F.array_join(F.transform("parts", lambda p: p["text"]), "")
