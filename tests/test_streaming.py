@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import changes as ch
 from tidemark.sources.readers import read_json_stream, read_table_stream
+from tidemark.sources.writers import latest_version, materialize, materialized
 from tidemark.streaming import live, sync
 from tidemark.streaming.tables import ChangeTable
 
@@ -114,7 +115,20 @@ def test_refresh_rewrites_results_per_trigger(spark, work):
     arrivals = read_json_stream(spark, f"{work}/in", ROW, (), 1)
     sync.wait([live.refresh_queries(arrivals, store, results, f"{work}/out", f"{work}/c", every=None)])
     assert seen == [1, 2]
-    assert spark.read.parquet(f"{work}/out/by_value").first()["count"] == 2
+    assert materialized(spark, f"{work}/out", "by_value").first()["count"] == 2
+    assert spark.read.parquet(f"{work}/out/version=0/by_value").first()["count"] == 1  # for readers that opened it
+
+
+def test_a_version_counts_when_it_is_whole(spark, work):
+    one, two = spark.range(1), spark.range(2)
+    assert latest_version(spark, f"{work}/m") == -1
+    materialize({"a": one, "b": one}, f"{work}/m")
+    broken = two.select(F.raise_error(F.lit("stop")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        materialize({"a": two, "b": broken}, f"{work}/m")
+    assert latest_version(spark, f"{work}/m") == 0 and materialized(spark, f"{work}/m", "a").count() == 1
+    materialize({"a": two, "b": two}, f"{work}/m")
+    assert latest_version(spark, f"{work}/m") == 1 and materialized(spark, f"{work}/m", "a").count() == 2
 
 
 def test_table_stream_takes_a_file_or_a_folder(spark, work):

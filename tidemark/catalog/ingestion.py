@@ -11,7 +11,7 @@ from ..operators import changes as ch, quality as q, telemetry as t
 from ..operators.activity import count_by, high_water_mark
 from ..operators.filters import Clock, retain
 from ..operators.ids import assign_ids
-from ..operators.retrieval import bucket_counts, chunked, hashed_vector
+from ..operators.retrieval import bucket_counts, chunked, hashed_vector, unit_vector
 from ..plans import analytics as a
 from ..session import work_path
 from ..sources import writers as w
@@ -522,14 +522,15 @@ def text_chunks(spark: SparkSession, directory: str) -> DataFrame:
     FROM counted""",
 )
 def tx_8(spark, directory):
-    pieces = text_chunks(spark, directory).withColumn("embedding", hashed_vector(F.col("content")))
+    counted = text_chunks(spark, directory).withColumn("counts", bucket_counts(F.col("content"))).drop("content")
+    pieces = counted.withColumn("embedding", unit_vector(F.col("counts")))
     length = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     return pieces.select(
         "doc_id",
         F.col("chunk_no").cast("bigint").alias("chunk_no"),
         F.size("embedding").alias("dims"),
         (F.round(length, 5) == 1.0).alias("has_direction"),
-        F.array_join(F.transform(bucket_counts(F.col("content")), lambda n: n.cast("string")), " ").alias("counts"),
+        F.array_join(F.transform("counts", lambda n: n.cast("string")), " ").alias("counts"),
         F.array_join(F.transform("embedding", lambda x: F.round(x.cast("double") * 1000).cast("bigint").cast("string")), " ").alias("thousandths"),
     )
 

@@ -14,6 +14,7 @@ from ..sources.readers import read_json_stream, read_table_stream
 from ..sources.schemas import EVENT_MESSAGE, conform
 from ..sources.star import raw, star_from_shop
 from ..streaming import live, sync
+from ..streaming.states import ActivityStates, track_activity
 from ..streaming.tables import ChangeTable
 from ..streaming.telemetry import ingest_signals
 from .base import STAR, query, stamp
@@ -270,19 +271,24 @@ def st_1(spark, directory):
 def st_2(spark, directory):
     root = work_path(spark, "live")
     star = star_from_shop(spark, directory)
+    states = ActivityStates(spark, f"{root}/states", roll_every=2)
 
     def results(session: SparkSession):
+        # Counts by type come from the states; the last seven days from the day folders of all batches.
         now = star.replace(fact_events=session.read.parquet(f"{root}/events"))
-        return {"event_types": a.event_types(now), "activity_per_plan": a.activity_per_plan(now)}
+        return {"event_types": states.by_type(), "activity_per_plan": a.activity_per_plan(now)}
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/events/batch={batch_id}")
+        dated = batch.withColumn("event_date", F.to_date("event_time"))
+        dated.write.mode("overwrite").partitionBy("event_date").parquet(f"{root}/events/batch={batch_id}")
+        states.append_batch(batch, batch_id)
 
     messages = send(event_messages(spark, directory), f"{root}/in")
     arrivals = read_json_stream(spark, messages, EVENT_MESSAGE, ["event_time"], 4)
     sync.wait([live.refresh_queries(arrivals, store, results, f"{root}/results", f"{root}/checkpoint", every=None)])
-    types = spark.read.parquet(f"{root}/results/event_types").select(F.col("event_type").alias("name"), F.col("count").alias("value"))
-    plans = spark.read.parquet(f"{root}/results/activity_per_plan").select(F.col("plan").alias("name"), F.col("events").alias("value"))
+    found = lambda name: w.materialized(spark, f"{root}/results", name)
+    types = found("event_types").select(F.col("event_type").alias("name"), F.col("count").alias("value"))
+    plans = found("activity_per_plan").select(F.col("plan").alias("name"), F.col("events").alias("value"))
     return types.unionByName(plans)
 
 
@@ -297,9 +303,9 @@ def st_3(spark, directory):
     events = conform(star_from_shop(spark, directory).fact_events, "fact_events")
     events.repartition(3, "event_id").write.parquet(f"{root}/in")
     stream = read_table_stream(spark, f"{root}/in", spark.read.parquet(f"{root}/in").schema, 1)
-    counts = live.HourCounts(spark, f"{root}/counts")
-    sync.wait([live.track_hours(stream, counts, f"{root}/checkpoint")])
-    return live.hourly_activity(counts)
+    states = ActivityStates(spark, f"{root}/states", roll_every=2)
+    sync.wait([track_activity(stream, states, f"{root}/checkpoint")])
+    return states.counts(states.window(), F.col("hour"))
 
 
 @query("st_4", STAR + _EVENTS)

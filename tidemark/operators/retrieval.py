@@ -5,6 +5,8 @@ Frames follow one shape: documents are ``id, content, embedding``; query batches
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,6 +33,9 @@ NOTHING_FOUND_TEXT = (
     "No relevant information found.\n\nSearch Statistics:\n- Total documents: %d\n- BM25 matches: %d"
 )
 
+# A term, as functions.texts.tokens finds it.
+TERM = re.compile("[a-z0-9]+")
+
 # Okapi BM25 parameters.
 BM25_K1 = 1.2
 BM25_B = 0.75
@@ -60,12 +65,28 @@ def embedded(df: DataFrame, content: str, embed: Callable[[pd.Series], pd.Series
 
 
 def bucket_counts(content: Column, dims: int = 64) -> Column:
-    """How many terms of a text fall into each of ``dims`` buckets, by the first 32 bits of their md5."""
-    buckets = F.transform(tokens(content), lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("bigint") % dims)
-    counts = lambda found: F.transform(
-        F.sequence(F.lit(0), F.lit(dims - 1)), lambda b: F.size(F.filter(found, lambda x: x == b))
-    )
-    return _once(buckets, counts)
+    """How many terms of a text fall into each of ``dims`` buckets, by the first 32 bits of their md5; null for a null text.
+
+    One pass over an Arrow batch of texts; a term that the batch repeats is hashed once.
+    """
+
+    @F.pandas_udf("array<int>")
+    def counted(texts: pd.Series) -> pd.Series:
+        known: dict[str, int] = {}
+
+        def bucket(term: str) -> int:
+            known[term] = found = int.from_bytes(hashlib.md5(term.encode()).digest()[:4], "big") % dims
+            return found
+
+        def counts(text: str | None) -> np.ndarray | None:
+            if text is None:
+                return None
+            at = [known[t] if t in known else bucket(t) for t in TERM.findall(text.lower())]
+            return np.bincount(np.array(at, np.int64), minlength=dims).astype(np.int32)
+
+        return pd.Series([counts(t) for t in texts], dtype=object)
+
+    return counted(content)
 
 
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -73,11 +94,16 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def unit_vector(counts: Column) -> Column:
+    """Counts scaled to length 1; all zero where every count is."""
+    square = lambda every: F.aggregate(every, F.lit(0).cast("bigint"), lambda acc, x: acc + x.cast("bigint") * x)
+    scaled = lambda every, length: F.transform(every, lambda x: F.when(length > 0, x / length).otherwise(0.0).cast("float"))
+    return _once(counts, lambda every: _once(F.sqrt(square(every)), lambda length: scaled(every, length)))
+
+
 def hashed_vector(content: Column, dims: int = 64) -> Column:
     """A vector without a model: term counts by bucket, scaled to length 1; all zero for a text without terms."""
-    square = lambda counts: F.aggregate(counts, F.lit(0).cast("bigint"), lambda acc, x: acc + x * x)
-    scaled = lambda counts, length: F.transform(counts, lambda x: F.when(length > 0, x / length).otherwise(0.0).cast("float"))
-    return _once(bucket_counts(content, dims), lambda counts: _once(F.sqrt(square(counts)), lambda length: scaled(counts, length)))
+    return unit_vector(bucket_counts(content, dims))
 
 
 # -- keyword index and matching ---------------------------------------------------------------------------

@@ -15,6 +15,7 @@ from ..operators.activity import count_by, tally
 from ..operators.filters import Clock, since
 from ..operators.ranking import top_k
 from ..sources.star import Star
+from ..streaming.states import ActivityStates
 
 USE = "feature_use"
 
@@ -71,6 +72,31 @@ def hourly_activity(star: Star, window: str = "24 HOURS", clock: Clock | None =
     )
 
 
+def kpis_from(states: ActivityStates, star: Star, window: str = "30 DAYS", clock: Clock | None = None) -> DataFrame:
+    """``kpis`` with the activity merged from stored states."""
+    clock = clock or clock_of(star)
+    merged = states.counts(states.window(star.fact_events, window, clock))
+    activity = merged.select(
+        F.struct(F.col("users").alias("active_users"), F.col("events").alias("total_events"), F.col("sessions").alias("total_sessions")).alias("activity")
+    ).scalar()
+    conversions = _conversions(star, window, clock).agg(
+        F.count(F.lit(1)).alias("total_conversions"), rounded_sum("revenue", 0).alias("total_revenue")
+    )
+    return conversions.withColumn("activity", activity).select("activity.*", "total_conversions", "total_revenue")
+
+
+def hourly_from(states: ActivityStates, star: Star, window: str = "24 HOURS", clock: Clock | None = None) -> DataFrame:
+    """``hourly_activity`` from stored states."""
+    states_in = states.window(star.fact_events, window, clock or clock_of(star))
+    return states.counts(states_in, F.col("hour"), "hour").orderBy("hour")
+
+
+def daily_all_from(states: ActivityStates, star: Star, window: str = "30 DAYS", clock: Clock | None = None) -> DataFrame:
+    """``daily_activity_all`` from stored states."""
+    states_in = states.window(star.fact_events, window, clock or clock_of(star))
+    return states.counts(states_in, F.to_date(F.substring("hour", 1, 10)), "activity_date").orderBy("activity_date")
+
+
 def daily_activity(star: Star, window: str = "30 DAYS", clock: Clock | None = None) -> DataFrame:
     """Per day, over events whose user and campaign exist."""
     facts = tally(

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ..operators.filters import apply_filters
 from ..operators.ids import assign_ids
 from ..operators.ranking import top_k
+from ..session import checkpointed
 
 # The row limit that the dashboard's table view asks for, and time grains by their ISO names.
 TABLE_ROWS = 5000
@@ -165,7 +166,8 @@ def heatmap(dataset: Dataset, metric: Metric, x: str, y: str, limit: int | None
     cells; a limit then leaves out the smallest.
     """
     dataset.check_groupable([x, y])
-    cells = dataset.df.groupBy(x, y).agg(metric.column.alias(metric.label))
+    # Written once: the axes, their ranges and the cells themselves all come from it.
+    cells = checkpointed(dataset.df.sparkSession, dataset.df.groupBy(x, y).agg(metric.column.alias(metric.label)))
     value = F.col(metric.label)
     ranges = cells.groupBy(y).agg(
         F.min(metric.label).alias("low"), F.max(metric.label).alias("high"), F.sum(metric.label).alias("total")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -72,10 +73,34 @@ def require_rows(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def materialize(results: Mapping[str, DataFrame], root: str) -> dict[str, str]:
-    """Write each named result as a dataset of its own and return the paths."""
-    paths = {}
+def materialize(results: Mapping[str, DataFrame], root: str, version: int | None = None) -> dict[str, str]:
+    """Write each named result as a dataset of its own, all in a new version folder, and return the paths.
+
+    The version counts once it is named in ``versions``, which is the last step: a reader sees the results of one version
+    whole, also while the next is written. A version that is written again, after a stop, replaces what was left of it.
+    """
+    spark = next(iter(results.values())).sparkSession
+    if version is None:
+        version = latest_version(spark, root) + 1
+    paths = {name: f"{root}/version={version}/{name}" for name in results}
     for name, df in results.items():
-        paths[name] = f"{root}/{name}"
         df.write.mode("overwrite").parquet(paths[name])
+    row = spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
+    row.coalesce(1).write.mode("append").parquet(f"{root}/versions")
     return paths
+
+
+def latest_version(spark: SparkSession, root: str) -> int:
+    """The newest complete version of materialised results, -1 for none."""
+    try:
+        versions = spark.read.schema("version bigint").parquet(f"{root}/versions")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
+    return versions.agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
+
+
+def materialized(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One result of the newest complete version."""
+    return spark.read.parquet(f"{root}/version={latest_version(spark, root)}/{name}")

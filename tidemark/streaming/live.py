@@ -24,11 +24,14 @@ def refresh_queries(
     checkpoint: str,
     every: str | None = REFRESH_EVERY,
 ) -> StreamingQuery:
-    """Per trigger: store the new rows, then write every named result anew."""
+    """Per trigger: store the new rows, then write every named result as a new version.
+
+    What ``results`` reads is its own affair: from partial states (:mod:`.states`) a trigger costs what it brought.
+    """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         store(batch, batch_id)
-        materialize(results(batch.sparkSession), out)
+        materialize(results(batch.sparkSession), out, batch_id)
 
     writer = arrivals.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
