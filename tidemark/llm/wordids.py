@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ from .common import columns_of, slices, stored
 from .packing import Encoder, tokenizer_of
 
 #: Texts whose words are numbered together, in bytes; a longer text is numbered alone.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 12 << 20
 #: Words that are sent to every task at most, and blocks that they are read from.
 COMMON_WORDS = 131_072
 SAMPLE_BLOCKS = 16
@@ -79,14 +80,18 @@ def _splitter(size: int) -> Callable:
             lists = pc.ascii_split_whitespace(part.column("text").fill_null("").cast(pa.large_string()))
             runs = lists.flatten().dictionary_encode()
             place: dict[str, int] = {}
-            cut = [[place.setdefault(w, len(place)) for w in words_of(r)] if r else [] for r in runs.dictionary.to_pylist()]
-            sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-            flat = np.fromiter((w for c in cut for w in c), np.int32, int(sizes.sum()))
-            at = np.asarray(runs.indices, np.int64)
-            own = sizes[at]
-            ends = np.cumsum(own)
-            places = flat[np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
-            ends = np.concatenate([[0], ends])[np.cumsum(np.asarray(lists.value_lengths(), np.int64))]
+            numbers, ends = array("i"), array("i", [0])  # the words of each run, one run behind the other
+            for k in range(0, len(runs.dictionary), 1 << 14):
+                for run in runs.dictionary.slice(k, 1 << 14).to_pylist():
+                    for w in words_of(run) if run else ():
+                        numbers.append(place.setdefault(w, len(place)))
+                    ends.append(len(numbers))
+            flat, first = np.frombuffer(numbers, np.int32), np.frombuffer(ends, np.int32)
+            at = np.asarray(runs.indices)
+            own = np.diff(first)[at]
+            upto = np.cumsum(own, dtype=np.int32)
+            places = flat[np.repeat(first[at] - (upto - own), own) + np.arange(upto[-1] if len(upto) else 0, dtype=np.int32)]
+            ends = np.concatenate([[0], upto])[np.cumsum(np.asarray(lists.value_lengths(), np.int64))]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()),
@@ -194,10 +199,9 @@ def _texts(block: pa.RecordBatch, common: dict[str, bytes], table: list[str], di
     found = block.column("found").flatten()
     for at, ids in zip(np.asarray(found.field("at")).tolist(), found.field("ids").to_pylist()):
         raw[at] = ids
-    ids = [np.frombuffer(x, "<u4").tolist() for x in raw]
-    text = [" ".join(map(table.__getitem__, i)) for i in ids]
-    spaced = [" ".join(map(str, i)) for i in ids] if digests else []
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+    text = [" ".join(map(table.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in raw]
+    spaced = [" ".join(map(str, np.frombuffer(x, "<u4").tolist())) for x in raw] if digests else []
     counts = block.column("counts")[0].as_py()
     places = _unpacked(block.column("places")[0].as_buffer(), sum(counts))
     names = [("doc_id", pa.int64())] + (
@@ -214,7 +218,7 @@ def _texts(block: pa.RecordBatch, common: dict[str, bytes], table: list[str], di
             joined = " ".join([x for x in map(spaced.__getitem__, listed) if x])
             rows.append((doc, int(sizes[own].sum()), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(whole.encode()).hexdigest()))
         else:
-            rows.append((doc, [i for k in listed for i in ids[k]], whole))
+            rows.append((doc, np.frombuffer(b"".join(map(raw.__getitem__, listed)), "<u4").astype(np.int32), whole))
             held += len(whole)
         if held > 4 << 20:
             yield _batch(rows, names)
