@@ -19,8 +19,8 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 #: Pieces that are packed together. More pieces fill sequences no better by more than one sequence a lot.
 LOT_PIECES = 16384
-#: Parts of words whose ids a task keeps, in bytes; beyond it, it starts anew.
-PART_BYTES = 24 << 20
+#: Parts of words whose ids a worker keeps, in bytes; beyond it, those not met of late are dropped.
+PART_BYTES = 32 << 20
 #: Texts that are encoded together, in bytes.
 TEXT_BYTES = 8 << 20
 
@@ -76,7 +76,8 @@ class Encoder:
     """Token ids of whole texts. The tokenizer never joins across white space, so the ids of a text are those of its words
     one after another, and the distinct words of a lot of texts are encoded once. Nor does it join letters, digits and marks:
     a word of plain characters is made of parts that are looked up, whatever its case and the marks around it. The parts seen
-    are kept up to PART_BYTES and go with the encoder, which lives as long as its task."""
+    are kept up to PART_BYTES: in two halves, of which the older is dropped when the younger is full, so that parts that keep
+    coming stay."""
 
     # Characters that normalisation leaves alone but for their case; the parts that the tokenizer cuts such
     # words into; the beginning of a special token.
@@ -87,7 +88,8 @@ class Encoder:
     def __init__(self, path: str, part_bytes: int = PART_BYTES):
         self.made, self.closed = tokenizer_of(path)
         self.parts: dict[str, bytes] = {}
-        self.held, self.limit = 0, part_bytes
+        self.older: dict[str, bytes] = {}
+        self.held, self.limit = 0, part_bytes // 2
 
     def _raw(self, texts: list[str]) -> Iterator[bytes]:
         for k in range(0, len(texts), 4096):
@@ -100,11 +102,14 @@ class Encoder:
         other = self._raw([w for w, p in zip(words, split) if p is None])
         needed = set().union(*(p for p in split if p))
         if self.held > self.limit:
-            self.parts, self.held = {}, 0
-        new = list(needed - self.parts.keys())
+            self.older, self.parts, self.held = self.parts, {}, 0
+        absent = needed - self.parts.keys()
+        again = absent & self.older.keys()
+        new = list(absent - again)
+        self.parts.update((part, self.older[part]) for part in again)
         self.parts.update(zip(new, self.closed.ids(new)))
         # A part costs about 150 bytes besides its letters and ids.
-        self.held += sum(map(len, new)) + 170 * len(new)
+        self.held += sum(map(len, absent)) + 170 * len(absent)
         get = self.parts.__getitem__
         return [next(other) if p is None else get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for p in split]
 
@@ -119,9 +124,19 @@ class Encoder:
             yield np.frombuffer(b"".join(map(raw.__getitem__, places[a:b].tolist())), "<u4")
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder per worker process, PART_BYTES and a tokenizer in size."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def _cutter(path: str, width: int, end_id: int) -> Callable:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen = Encoder(path).encode, 0
+        encode, seen = encoder(path).encode, 0
         for batch in slices(batches, "text", TEXT_BYTES):
             out = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
@@ -229,7 +244,7 @@ def sequences(docs: DataFrame, packed: DataFrame, tokenizer: str, doc_id: str =
     own = columns_of(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode
         for batch in slices(batches, "text", TEXT_BYTES):
             docs_, piece, parts = [], [], []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
