@@ -49,6 +49,44 @@ def test_keyed_sync_over_batches_and_restarts(spark, work):
     assert run() == {1: "back", 2: "B"}
 
 
+def test_one_source_for_several_tables_goes_on_after_a_stop(spark, work):
+    """The first run stops between two tables; the batch comes again, and no table has it twice or not at all."""
+    message = lambda table, *a: {"table": table, "value": json.dumps(change(*a))}
+    drop_file(f"{work}/in", 1, [message("dim_a", "c", 1, 1, "a"), message("dim_b", "c", 1, 7, "b"), message("fact_c", "c", 1, 9, "c"), message("other", "c", 1, 1, "x")])
+    drop_file(f"{work}/in", 2, [message("dim_a", "u", 2, 1, "A"), message("dim_b", "d", 2, 7, "b"), message("fact_c", "c", 2, 10, "d")])
+    tables = {n: ChangeTable(spark, f"{work}/{n}", ROW, ["id"]) for n in ("dim_a", "dim_b", "fact_c")}
+
+    def run(targets=tables, pattern="(dim|fact)_.*"):
+        lines = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{work}/in")
+        source = lines.select(F.from_json("value", "table string, value string").alias("m")).select("m.*")
+        sync.wait([sync.fan_out(source, targets, f"{work}/c", pattern)])
+
+    class Stopping(ChangeTable):
+        def append_batch(self, changes, batch_id):
+            if batch_id == 1:
+                raise RuntimeError("stopped here")
+            super().append_batch(changes, batch_id)
+
+    stopping = {**tables, "dim_b": Stopping(spark, f"{work}/dim_b", ROW, ["id"])}
+    with pytest.raises(Exception, match="stopped here"):
+        run(stopping)
+    assert tables["dim_a"].pending().count() == 2 and tables["fact_c"].pending().count() == 1
+    run()
+    found = {n: {r["id"]: r["v"] for r in t.current().collect()} for n, t in tables.items()}
+    assert found == {"dim_a": {1: "A"}, "dim_b": {}, "fact_c": {9: "c", 10: "d"}}
+    assert [t.pending().count() for t in tables.values()] == [2, 2, 2]
+
+
+def test_tables_by_list_and_by_pattern(spark, work):
+    assert sync.chosen(["a1", "a2", "b"], "a.") == ["a1", "a2"] and sync.chosen(["a1", "b"], ["b"]) == ["b"]
+    with pytest.raises(ValueError, match="no target table"):
+        sync.chosen(["a1"], ["zz"])
+    drop_file(f"{work}/in", 1, [{"table": "dim_z", "value": "{}"}])
+    source = spark.readStream.format("text").load(f"{work}/in").select(F.from_json("value", "table string, value string").alias("m")).select("m.*")
+    with pytest.raises(Exception, match="no target table"):
+        sync.wait([sync.fan_out(source, {"dim_a": ChangeTable(spark, f"{work}/a", ROW, ["id"])}, f"{work}/c", "dim_.*")])
+
+
 def test_sync_fails_alone(spark, work):
     drop_file(f"{work}/a", 1, [change("c", 1, 1, "a")])
     drop_file(f"{work}/b", 1, [{"topic": "unknown"}])

@@ -11,7 +11,7 @@ from ..plans import analytics as a
 from ..session import work_path
 from ..sources import writers as w
 from ..sources.readers import read_json_stream, read_table_stream
-from ..sources.schemas import EVENT_MESSAGE, conform
+from ..sources.schemas import EVENT_MESSAGE, STAR_KEYS, STAR_SCHEMAS, conform
 from ..sources.star import raw, star_from_shop
 from ..streaming import live, sync
 from ..streaming.states import ActivityStates, track_activity
@@ -73,12 +73,57 @@ def src_3(spark, directory):
 ORDER_ROW = "order_id bigint, user_id bigint, total double"
 
 
+#: What each of the five tables is checked by.
+CHECKED = {
+    "dim_users": "user_id", "dim_features": "feature_id", "dim_campaigns": "length(channel)", "fact_events": "event_id", "fact_conversions": "conversion_id",
+}
+
+
 @query(
     "ing_9",
+    f"""{STAR} SELECT 'dim_users' AS tbl, count(*) AS rows, CAST(sum(user_id) AS BIGINT) AS check_sum FROM dim_users WHERE plan <> 'MACHINERY'
+    UNION ALL SELECT 'dim_features', count(*), CAST(sum(feature_id) AS BIGINT) FROM dim_features
+    UNION ALL SELECT 'dim_campaigns', count(*), CAST(sum(length(channel) + 1) AS BIGINT) FROM dim_campaigns
+    UNION ALL SELECT 'fact_events', count(*), CAST(sum(event_id) AS BIGINT) FROM fact_events
+    UNION ALL SELECT 'fact_conversions', count(*), CAST(sum(conversion_id) AS BIGINT) FROM fact_conversions""",
+)
+def ing_9(spark, directory):
+    # One source for five tables: all rows created, then users of one plan deleted and every campaign renamed.
+    root, star = work_path(spark, "five"), star_from_shop(spark, directory)
+    messages = None
+    for name in STAR_SCHEMAS:
+        rows = conform(getattr(star, name), name)
+        row = F.struct("*")
+        steps = [(rows, "c", 1, F.when(F.lit(False), row), row)]
+        if name == "dim_users":
+            steps.append((rows.where("plan = 'MACHINERY'"), "d", 2, row, F.when(F.lit(False), row)))
+        if name == "dim_campaigns":
+            steps.append((rows.withColumn("channel", F.concat("channel", F.lit("!"))), "u", 2, row, row))
+        for part, op, seq, before, after in steps:
+            change = ch.encode_changes(part, F.lit(op), F.lit(seq).cast("bigint"), before, after)
+            line = change.select(F.to_json(F.struct(F.lit(name).alias("table"), F.col("value"))).alias("value"))
+            messages = line if messages is None else messages.unionByName(line)
+    send(messages, f"{root}/in")
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", MESSAGE_FILES // 2).load(f"{root}/in")
+    source = lines.select(F.from_json("value", "table string, value string").alias("m")).select("m.*")
+    tables = {n: ChangeTable(spark, f"{root}/{n}", ddl, STAR_KEYS[n]) for n, ddl in STAR_SCHEMAS.items()}
+    sync.wait([sync.fan_out(source, tables, f"{root}/checkpoint", "(dim|fact)_.*")])
+    return q.stacked(
+        [
+            t.current().agg(F.count(F.lit(1)).alias("rows"), F.sum(F.expr(CHECKED[n])).cast("bigint").alias("check_sum")).select(
+                F.lit(n).alias("tbl"), "rows", "check_sum"
+            )
+            for n, t in tables.items()
+        ]
+    )
+
+
+@query(
+    "ing_9_separate",
     f"""{CHANGES_SQL}, users AS ({applied_sql()}) SELECT 'users' AS tbl, count(*) AS rows, CAST(sum(position) AS BIGINT) AS check_sum FROM users
     UNION ALL SELECT 'orders', count(*), CAST(sum(o_custkey) AS BIGINT) FROM orders WHERE o_orderstatus <> 'F'""",
 )
-def ing_9(spark, directory):
+def ing_9_separate(spark, directory):
     orders = raw(spark, directory, "orders")
     row = F.struct(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), F.col("o_totalprice").alias("total")

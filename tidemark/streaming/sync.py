@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.changes import decode_changes
 from .tables import ChangeTable
 
 # Fixed values of the ingestion jobs: checkpoint interval, record, time and byte limits of a flush.
@@ -46,6 +49,48 @@ def sync_tables(specs: list[TableSync], checkpoint_root: str, every: str | None
     return {s.name: sync_table(s, f"{checkpoint_root}/{s.name}", every) for s in specs}
 
 
+def chosen(names, tables: list[str] | str) -> list[str]:
+    """The names that a list of tables or a name pattern covers; a listed table that is not there is an error."""
+    if isinstance(tables, str):
+        return sorted(n for n in names if re.fullmatch(tables, n))
+    missing = sorted(set(tables) - set(names))
+    if missing:
+        raise ValueError(f"no target table for {missing}")
+    return sorted(tables)
+
+
+def fan_out(
+    source: DataFrame,
+    targets: dict[str, ChangeTable],
+    checkpoint: str,
+    tables: list[str] | str = ".*",
+    every: str | None = None,
+) -> StreamingQuery:
+    """One stream of ``table, value`` change envelopes into the tables that a list or a name pattern covers.
+
+    A batch is read once and stored in each table under the same id. After a stop between two tables the batch comes
+    again from the checkpoint, and tables that had it replace it by the same rows. An envelope of a table that the pattern
+    covers, but that has no target, stops the job; tables outside the list or pattern are passed over.
+    """
+    names = chosen(targets, tables)
+    covered = F.col("table").rlike(f"^(?:{tables})$") if isinstance(tables, str) else F.col("table").isin(tables)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        held = batch.where(covered).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            stray = held.where(~F.col("table").isin(names)).select("table").first()
+            if stray:
+                raise ValueError(f"no target table for {stray['table']!r}")
+            for name in names:
+                target = targets[name]
+                changes = decode_changes(held.where(F.col("table") == name), "value", target.row_schema, target.keys)
+                target.append_batch(changes, batch_id)
+        finally:
+            held.unpersist()
+
+    return _trigger(source.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint), every).start()
+
+
 def append_stream(
     df: DataFrame, path: str, checkpoint: str, every: str | None = None, records_per_file: int | None = None
 ) -> StreamingQuery:

@@ -25,6 +25,7 @@ class ChangeTable:
     def __init__(self, spark: SparkSession, root: str, row_schema: str, keys: list[str], compact_every: int = COMPACT_EVERY):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.row_schema = row_schema
         self.rows = T.StructType.fromDDL(row_schema)
         self.keys = keys
         self.compact_every = compact_every
