@@ -14,6 +14,7 @@ from ..functions.values import rounded_sum
 from ..operators.activity import count_by, tally
 from ..operators.filters import Clock, since
 from ..operators.ranking import top_k
+from ..session import checkpointed
 from ..sources.star import Star
 from ..streaming.states import ActivityStates
 
@@ -235,6 +236,7 @@ def attribution(star: Star, window: str = "30 DAYS", clock: Clock | None = None,
 
 # Windows tried for a feed over a dated table, where a window opens few day folders.
 FEED_WINDOWS = ("1 DAY", "7 DAYS")
+FEED_HEADS = (4, 64)
 
 
 def _latest_matched(
@@ -242,15 +244,17 @@ def _latest_matched(
 ) -> DataFrame:
     """The latest ``k`` facts that survive ``join``.
 
-    With windows in ``widen``, growing spans behind the latest fact are tried: once one holds ``k`` matches, no older fact
-    can belong to the result. Otherwise, and when none does, the whole table is joined and cut. By default windows are tried
-    for a dated table only.
+    The facts are cut before they meet a dimension: to growing spans behind the latest fact (``widen``; by default for a
+    dated table, where they prune day folders), then to the latest few times ``k``. Once a part holds ``k`` matches, no older
+    fact can belong to the result; when none does, the whole table is joined. Each part is evaluated once, kept by a
+    checkpoint of at most ``k`` rows.
     """
     if widen is None:
         widen = FEED_WINDOWS if _day(facts) else ()
     order = [F.desc_nulls_last(ts), F.desc_nulls_last(key)]
-    for interval in widen:
-        head = top_k(join(since(facts, ts, interval, Clock.latest(facts, ts, _day(facts)), _day(facts))), k, *order)
+    spans = [since(facts, ts, interval, Clock.latest(facts, ts, _day(facts)), _day(facts)) for interval in widen]
+    for part in [*spans, *[top_k(facts, k * times, *order) for times in FEED_HEADS]]:
+        head = checkpointed(facts.sparkSession, top_k(join(part), k, *order))
         if head.count() == k:
             return head
     return top_k(join(facts), k, *order)
