@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,7 +16,7 @@ from ..session import broadcast_if_small, checkpointed, work_path
 #: Bits of a row's number that tell its place in a file.
 PLACE_BITS = 36
 
-__all__ = ["checkpointed", "columns_of", "crc_mod", "kept_rows", "numbered", "slices", "stored", "table", "text_blob", "work_path"]
+__all__ = ["checkpointed", "columns_of", "crc_mod", "kept_rows", "numbered", "slices", "stored", "table", "text_blob", "tidy", "work_path"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -70,7 +72,21 @@ def kept_rows(docs: DataFrame, text: str, judge: Callable[[], Callable[[list], l
         for batch in slices(batches, at, 2 << 20):
             yield batch.filter(pa.array(good(batch.column(at).to_pylist()), pa.bool_()))
 
-    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
+    return plain.mapInArrow(tidy(keep), plain.schema).toDF(*docs.columns)
+
+
+def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """The task, which gives the memory it has freed back to the system when it ends: workers live on, for tasks of any kind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call, nothing is lost
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import columns_of, kept_rows, slices, stored
+from .common import columns_of, kept_rows, slices, stored, tidy
 
 WINDOW_WORDS = 10
 #: Bytes of windows and item ids that one automaton holds. A larger benchmark is dealt over several automata, by window, and
@@ -156,9 +156,9 @@ def contamination(
     lots = automata(bench, item_id, item_text)
     lot, first = next(lots), True
     for following in lots:
-        own = stored(own.mapInArrow(_scanner(lot, first, False), f"doc_id bigint, text string, {STATE}"), "scanned")
+        own = stored(own.mapInArrow(tidy(_scanner(lot, first, False)), f"doc_id bigint, text string, {STATE}"), "scanned")
         lot, first = following, False
-    return own.mapInArrow(_scanner(lot, first, True), RESULT)
+    return own.mapInArrow(tidy(_scanner(lot, first, True)), RESULT)
 
 
 def _cleaner(patterns: list[tuple[str, list[int]]]) -> Callable:

@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import columns_of, numbered, slices, stored, text_blob
+from .common import columns_of, numbered, slices, stored, text_blob, tidy
 from .components import components
 
 WORDS = 5
@@ -388,7 +388,7 @@ def _family_links(family: DataFrame, sets: DataFrame) -> DataFrame:
         .join(sets.select(F.col("cls").alias("pivot"), F.col("members").alias("y")), "pivot")
         .select("fam", "cls", "n", "pivot", "x", "y")
     )
-    checked = stored(beside.mapInArrow(_verify, "fam bigint, cls bigint, n bigint, pivot bigint, linked boolean"), "pivots")
+    checked = stored(beside.mapInArrow(tidy(_verify), "fam bigint, cls bigint, n bigint, pivot bigint, linked boolean"), "pivots")
     to_pivot = checked.filter("linked and cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b"))
     sizes = checked.groupBy("fam").agg(
         F.greatest(F.ceil(F.sum(F.when(~F.col("linked"), F.col("n"))) / BLOCK_SHINGLES), F.lit(1)).cast("int").alias("opens"),
@@ -417,7 +417,7 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     The links join exactly the classes that reach each other over pairs of PERCENT and more.
     """
     own = columns_of(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    measured = stored(own.mapInArrow(_measure, "doc_id bigint, n bigint, cls bigint, shingle bigint, sets bigint"), "measured")
+    measured = stored(own.mapInArrow(tidy(_measure), "doc_id bigint, n bigint, cls bigint, shingle bigint, sets bigint"), "measured")
     members = measured.filter("shingle is null").select("doc_id", "n", "cls")
 
     often = measured.filter("shingle is not null").groupBy("shingle").agg(F.sum("sets").alias("sets"))
@@ -428,8 +428,8 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     rank[by_count] = np.arange(len(shingle))
     order = np.argsort(shingle)
 
-    entries = own.select("text").mapInArrow(_indexer(shingle[order], rank[order]), "key bigint, cls bigint, meta bigint, reach binary")
-    listed = entries.repartition("key").sortWithinPartitions("key", "meta", "cls").mapInArrow(_lister(LIST_LIMIT), LISTED)
+    entries = own.select("text").mapInArrow(tidy(_indexer(shingle[order], rank[order])), "key bigint, cls bigint, meta bigint, reach binary")
+    listed = entries.repartition("key").sortWithinPartitions("key", "meta", "cls").mapInArrow(tidy(_lister(LIST_LIMIT)), LISTED)
     listed = stored(listed, "lists")
     pairs = listed.filter("b is not null").select("a", "b").distinct()
     families = _families(listed)
@@ -437,17 +437,17 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(families.select("cls")).distinct()
     standing = members.groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
     bits = _filter_bits(standing.join(needed, "cls", "left_semi").select(_spot("doc_id").alias("spot")))
-    found = own.select(_spot("doc_id").alias("spot"), "text").mapInArrow(_wanted_sets(bits), "cls bigint, n bigint, sketch binary, members binary")
+    found = own.select(_spot("doc_id").alias("spot"), "text").mapInArrow(tidy(_wanted_sets(bits)), "cls bigint, n bigint, sketch binary, members binary")
     sets = stored(found.join(needed, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
 
     left = sets.select(F.col("cls").alias("a"), "n", F.col("sketch").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
-    possible = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(_sieve, "a bigint, b bigint")
+    possible = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(tidy(_sieve), "a bigint, b bigint")
     pairs = stored(possible, "pairs")
     beside = pairs.join(sets.select(F.col("cls").alias("b"), F.col("members").alias("y")), "b").join(
         sets.select(F.col("cls").alias("a"), F.col("members").alias("x")), "a"
     )
-    near = beside.select("a", "b", "x", "y").mapInArrow(_verify, "a bigint, b bigint, linked boolean").filter("linked")
+    near = beside.select("a", "b", "x", "y").mapInArrow(tidy(_verify), "a bigint, b bigint, linked boolean").filter("linked")
     return members, stored(near.select("a", "b").unionByName(_family_links(families, sets)), "links")
 
 
@@ -463,7 +463,7 @@ def _families(listed: DataFrame) -> DataFrame:
             links_ = np.unique(np.stack([a, np.concatenate(lead or [a])]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(links_[0]), pa.array(links_[1])], ["a", "b"])
 
-    joined = components(reached.select("reach").mapInArrow(chained, "a bigint, b bigint").distinct())
+    joined = components(reached.select("reach").mapInArrow(tidy(chained), "a bigint, b bigint").distinct())
     # Nodes are common shingles, COMMON_LIMIT at most.
     first = F.conv(F.hex(F.substring("reach", 1, 4)), 16, 10).cast("bigint")
     by_common = reached.withColumn("node", first).join(joined, "node").select(

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import columns_of, crc_mod, kept_rows, slices
+from .common import columns_of, crc_mod, kept_rows, slices, tidy
 
 FOLDS, HELD_OUT = 4, 2
 #: Labelled documents that training words are drawn from at most, by a hash of the id, and words drawn from each.
@@ -249,7 +249,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     known = own.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_mod("doc_id", FOLDS) != HELD_OUT))
     ids = known.select(F.xxhash64("doc_id").alias("seed"), "doc_id").orderBy("seed", "doc_id").limit(TRAIN_DOCS).agg(F.max("seed")).first()[0]
     chosen = known.select("text", "lang", F.xxhash64("doc_id").alias("seed")).filter(F.col("seed") <= (ids if ids is not None else 0))
-    sample = chosen.mapInArrow(_sampler, "word binary, lang string").limit(TRAIN_DOCS * DOC_WORDS).toArrow()
+    sample = chosen.mapInArrow(tidy(_sampler), "word binary, lang string").limit(TRAIN_DOCS * DOC_WORDS).toArrow()
     table = sorted(zip(sample.column("word").to_pylist(), sample.column("lang").to_pylist()))
     return train([w for w, _ in table], [x for _, x in table])
 
@@ -265,7 +265,7 @@ def identified(docs: DataFrame, net: Network | None = None, doc_id: str = "doc_i
         F.col("doc_id").cast("bigint").alias("doc_id"), (crc_mod("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "text"
     )
     sent = own.sparkSession.sparkContext.broadcast(net)
-    return own.mapInArrow(_identifier(sent), "doc_id bigint, held_out boolean, lang_pred string, score double")
+    return own.mapInArrow(tidy(_identifier(sent)), "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame) -> DataFrame:

@@ -13,14 +13,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import columns_of, slices, stored
+from .common import columns_of, slices, stored, tidy
 
 SEQUENCE_TOKENS = 4096
 END_ID = 1
 #: Pieces that are packed together. More pieces fill sequences no better by more than one sequence a lot.
 LOT_PIECES = 16384
 #: Parts of words whose ids a worker keeps, in bytes; beyond it, those not met of late are dropped.
-PART_BYTES = 32 << 20
+PART_BYTES = 20 << 20
 #: Texts that are encoded together, in bytes.
 TEXT_BYTES = 8 << 20
 
@@ -231,7 +231,7 @@ def pack(
     documents = tokens if documents is None else documents
     cost = max(tokens * tokens, cost or 0)
     own = columns_of(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    pieces = stored(own.mapInArrow(_cutter(tokenizer, tokens, end_id), PIECES), "pieces")
+    pieces = stored(own.mapInArrow(tidy(_cutter(tokenizer, tokens, end_id)), PIECES), "pieces")
     lots = max(1, -(-pieces.count() // LOT_PIECES))
     lot = F.pmod(F.xxhash64("doc_id", "piece", "spread"), F.lit(lots)).cast("bigint")
     named = pieces.withColumns({"lot": lot, "unnamed": F.col("doc_id").isNull(), "doc_id": F.coalesce("doc_id", F.lit(0))})
@@ -255,7 +255,7 @@ def sequences(docs: DataFrame, packed: DataFrame, tokenizer: str, doc_id: str =
                 [pa.array(docs_, pa.int64()), pa.array(piece, pa.int32()), pa.array(parts, pa.list_(pa.int64()))], ["doc_id", "piece", "ids"]
             )
 
-    ids = own.mapInArrow(cut, "doc_id bigint, piece int, ids array<bigint>")
+    ids = own.mapInArrow(tidy(cut), "doc_id bigint, piece int, ids array<bigint>")
     placed = packed.join(ids, ["doc_id", "piece"])
     # A sequence holds at most `tokens` ids, so collecting one is bounded.
     return placed.groupBy("sequence_id").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("offset", "ids"))), lambda p: p["ids"])).alias("ids"))

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import columns_of, slices, stored
+from .common import columns_of, slices, stored, tidy
 from .packing import Encoder, tokenizer_of
 
 #: Texts whose words are numbered together, in bytes; a longer text is numbered alone.
@@ -113,7 +113,7 @@ BLOCKS = "block bigint, docs array<bigint>, counts array<bigint>, places binary,
 def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = BLOCK_BYTES) -> DataFrame:
     """The documents as a stored table of blocks (see ``_splitter``); repeated rows and null ids keep a place of their own."""
     own = columns_of(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stored(own.mapInArrow(_splitter(size), BLOCKS), "blocks", compression="zstd")
+    return stored(own.mapInArrow(tidy(_splitter(size)), BLOCKS), "blocks", compression="zstd")
 
 
 def _ids_of(path: str) -> Callable[[list[str]], list[bytes]]:
@@ -159,7 +159,7 @@ def rare_ids(cut: DataFrame, common: DataFrame, tokenizer: str) -> DataFrame:
     """block, at, ids: the words of the blocks that are not ``common`` (a table of COMMON_WORDS rows at most), each encoded once."""
     each = cut.select("block", F.posexplode("words").alias("at", "word")).join(F.broadcast(common), "word", "left_anti")
     together = each.repartition("word").sortWithinPartitions("word")
-    return together.mapInArrow(_encoder(tokenizer), "block bigint, at int, ids binary")
+    return together.mapInArrow(tidy(_encoder(tokenizer)), "block bigint, at int, ids binary")
 
 
 def pieces(spark: SparkSession, tokenizer: str) -> DataFrame:
@@ -246,7 +246,7 @@ def _round_trip(docs: DataFrame, tokenizer: str | None, doc_id: str, text: str,
     for r in table.collect():
         listed[r["id"]] = r["piece"]
     sent = spark.sparkContext.broadcast((dict(zip(common, _ids_of(tokenizer)(common))), listed))
-    return whole.mapInArrow(_assembler(sent, digests), schema)
+    return whole.mapInArrow(tidy(_assembler(sent, digests)), schema)
 
 
 def tokens(
