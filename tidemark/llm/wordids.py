@@ -22,7 +22,7 @@ from .common import columns_of, slices, stored, tidy
 from .packing import Encoder, tokenizer_of
 
 #: Texts whose words are numbered together, in bytes; a longer text is numbered alone.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 20 << 20
 #: Words that are sent to every task at most, and blocks that they are read from.
 COMMON_WORDS = 131_072
 SAMPLE_BLOCKS = 16
@@ -57,20 +57,30 @@ def words_of(run: str) -> list[str]:
     return Encoder.PART.findall(run.lower()) if Encoder.PLAIN.fullmatch(run) and Encoder.SPECIAL not in run else [run]
 
 
+def _zipped(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=5).compress(raw, asbytes=True)
+
+
+def _unzipped(zipped: bytes) -> bytes:
+    size = int.from_bytes(zipped[:8], "little")
+    return pa.decompress(zipped[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+
+
 def _packed(places: np.ndarray) -> bytes:
     """Numbers as four planes of bytes, compressed: the higher planes are nearly empty."""
     planes = places.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return pa.Codec("zstd", compression_level=5).compress(planes.tobytes(), asbytes=True)
+    return _zipped(planes.tobytes())
 
 
-def _unpacked(packed: pa.Buffer, many: int) -> np.ndarray:
-    raw = np.frombuffer(pa.decompress(packed, decompressed_size=4 * many, codec="zstd"), np.uint8)
-    return np.ascontiguousarray(raw.reshape(4, many).T).view("<u4").reshape(-1).astype(np.int64)
+def _unpacked(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(_unzipped(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
 def _splitter(size: int) -> Callable:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Blocks: their distinct words in order of appearance, and each text as the places of its words in that order.
+        """Blocks: their distinct words, the most frequent first, and each text as the places of its words in that order. The
+        words are there twice: as rows to be dealt out, and listed in one compressed piece that travels with the block.
 
         Texts are cut at ASCII white space, and the distinct runs between into words. The tokenizer cuts at all these places
         and joins nothing across them, so the ids of a text are those of its words one after another.
@@ -92,22 +102,29 @@ def _splitter(size: int) -> Callable:
             upto = np.cumsum(own, dtype=np.int32)
             places = flat[np.repeat(first[at] - (upto - own), own) + np.arange(upto[-1] if len(upto) else 0, dtype=np.int32)]
             ends = np.concatenate([[0], upto])[np.cumsum(np.asarray(lists.value_lengths(), np.int64))]
+            # Frequent words get the small numbers, whose higher bytes are zero.
+            order = np.argsort(-np.bincount(places, minlength=len(place)), kind="stable")
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order), dtype=np.int32)
+            words = list(place)
+            words = [words[k] for k in order.tolist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()),
                     pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                     pa.array([np.diff(ends, prepend=0)], pa.list_(pa.int64())),
-                    pa.array([_packed(places)], pa.binary()),
-                    pa.array([list(place)], pa.list_(pa.string())),
+                    pa.array([_packed(rank[places])], pa.binary()),
+                    pa.array([_zipped("\n".join(words).encode())], pa.binary()),
+                    pa.array([words], pa.list_(pa.string())),
                 ],
-                ["block", "docs", "counts", "places", "words"],
+                ["block", "docs", "counts", "places", "listed", "words"],
             )
             number += 1
 
     return split
 
 
-BLOCKS = "block bigint, docs array<bigint>, counts array<bigint>, places binary, words array<string>"
+BLOCKS = "block bigint, docs array<bigint>, counts array<bigint>, places binary, listed binary, words array<string>"
 
 
 def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = BLOCK_BYTES) -> DataFrame:
@@ -195,7 +212,8 @@ def _assembler(sent, digests: bool) -> Callable:
 
 def _texts(block: pa.RecordBatch, common: dict[str, bytes], table: list[str], digests: bool) -> Iterator[pa.RecordBatch]:
     """The documents of one block from the ids of its words, taken by their places, and the pieces of the ids."""
-    raw = list(map(common.get, block.column("words")[0].as_py()))
+    listed = _unzipped(block.column("listed")[0].as_py()).decode()
+    raw = list(map(common.get, listed.split("\n"))) if listed else []
     found = block.column("found").flatten()
     for at, ids in zip(np.asarray(found.field("at")).tolist(), found.field("ids").to_pylist()):
         raw[at] = ids
@@ -203,7 +221,7 @@ def _texts(block: pa.RecordBatch, common: dict[str, bytes], table: list[str], di
     text = [" ".join(map(table.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in raw]
     spaced = [" ".join(map(str, np.frombuffer(x, "<u4").tolist())) for x in raw] if digests else []
     counts = block.column("counts")[0].as_py()
-    places = _unpacked(block.column("places")[0].as_buffer(), sum(counts))
+    places = _unpacked(block.column("places")[0].as_py())
     names = [("doc_id", pa.int64())] + (
         [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] if digests else [("ids", pa.list_(pa.int32())), ("text", pa.string())]
     )
@@ -240,7 +258,7 @@ def _round_trip(docs: DataFrame, tokenizer: str | None, doc_id: str, text: str,
     # A block gets back what it sent, so a group is no larger than its words.
     back = rare.groupBy("block").agg(F.collect_list(F.struct("at", "ids")).alias("found"))
     none = F.array().cast("array<struct<at:int,ids:binary>>")
-    whole = cut.join(back, "block", "left").withColumn("found", F.coalesce("found", none))
+    whole = cut.drop("words").join(back, "block", "left").withColumn("found", F.coalesce("found", none))
     # The id-to-piece table goes to the tasks as a list that ids point into; it has the size of the vocabulary.
     listed = [""] * (table.agg(F.max("id")).first()[0] + 1)
     for r in table.collect():
