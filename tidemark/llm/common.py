@@ -16,7 +16,7 @@ from ..session import broadcast_if_small, checkpointed, work_path
 #: Bits of a row's number that tell its place in a file.
 PLACE_BITS = 36
 
-__all__ = ["checkpointed", "columns_of", "crc_mod", "kept_rows", "numbered", "slices", "stored", "table", "text_blob", "tidy", "work_path"]
+__all__ = ["checkpointed", "columns_of", "crc_mod", "numbered", "rejected", "slices", "stored", "table", "text_blob", "tidy", "work_path"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,17 +62,20 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     return met.select(*[F.col(f"`{c}`") for c in docs.columns], whole.alias(row)), row
 
 
-def kept_rows(docs: DataFrame, text: str, judge: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
-    """Whole rows of ``docs``, all columns as they are, where a judge of their texts says so; each task makes a judge of its own."""
-    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
-    at = f"c{docs.columns.index(text)}"
+def rejected(rows: DataFrame, row: str, text: str, judge: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
+    """The numbers (column ``row``) of the rows whose text a judge does not accept; each task makes a judge of its own.
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Only number and text go to the tasks and only numbers come back, so whole rows never pass through Python.
+    """
+
+    def reject(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good = judge()
-        for batch in slices(batches, at, 2 << 20):
-            yield batch.filter(pa.array(good(batch.column(at).to_pylist()), pa.bool_()))
+        for batch in slices(batches, "text", 2 << 20):
+            bad = pa.array([not g for g in good(batch.column("text").to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("row").filter(bad)], ["row"])
 
-    return plain.mapInArrow(tidy(keep), plain.schema).toDF(*docs.columns)
+    found = columns_of(rows, row=row, text=text).mapInArrow(tidy(reject), "row bigint")
+    return stored(found.select(F.col("row").alias(row)), "rejected")
 
 
 def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import columns_of, kept_rows, slices, stored, tidy
+from .common import columns_of, numbered, rejected, slices, stored, tidy
 
 WINDOW_WORDS = 10
 #: Bytes of windows and item ids that one automaton holds. A larger benchmark is dealt over several automata, by window, and
@@ -172,9 +172,10 @@ def _cleaner(patterns: list[tuple[str, list[int]]]) -> Callable:
 def keep_clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The documents without any test window, with all their columns.
 
-    Each row is judged by its own text and passed on as it is, so repeated rows, repeated ids and null ids need no care; a
-    null or empty text has no windows and stays. A benchmark of several automata drops what each finds, one after another.
+    Each row is judged by its own text and dropped by a number of its own, so repeated rows, repeated ids and null ids need
+    no care; a null or empty text has no windows and stays. A benchmark of several automata drops what any of them finds.
     """
+    own, row = numbered(docs)
     for lot in automata(bench, "item_id", "text"):
-        docs = kept_rows(docs, "text", _cleaner(lot))
-    return docs
+        own = own.join(rejected(own, row, "text", _cleaner(lot)), row, "left_anti")
+    return own.drop(row)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import columns_of, crc_mod, kept_rows, slices, tidy
+from .common import columns_of, crc_mod, numbered, rejected, slices, tidy
 
 FOLDS, HELD_OUT = 4, 2
 #: Labelled documents that training words are drawn from at most, by a hash of the id, and words drawn from each.
@@ -271,13 +271,14 @@ def identified(docs: DataFrame, net: Network | None = None, doc_id: str = "doc_i
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents whose language is known with LEAST_SCORE or more, with all their columns.
 
-    Each row is judged by its own text and passed on as it is, so repeated rows, repeated ids and null ids need no care. Null
-    texts and those without a letter go.
+    Each row is judged by its own text and dropped by a number of its own, so repeated rows, repeated ids and null ids need
+    no care. Null texts and those without a letter go.
     """
+    own, row = numbered(docs)
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs))
 
     def judge() -> Callable[[list], list[bool]]:
         reader = Reader(sent.value)
         return lambda texts: [p != UNKNOWN and s >= LEAST_SCORE for p, s in zip(*reader.read(texts))]
 
-    return kept_rows(docs, "text", judge)
+    return own.join(rejected(own, row, "text", judge), row, "left_anti").drop(row)
