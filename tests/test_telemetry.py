@@ -10,7 +10,7 @@ from tidemark.functions.times import in_zone
 from tidemark.operators import telemetry as t
 from tidemark.sources.schemas import PRODUCT_DOCUMENT
 from tidemark.streaming import sync
-from tidemark.streaming.telemetry import ingest_signals
+from tidemark.streaming.telemetry import ingest_signals, signal_tables
 
 
 def attrs(**pairs):
@@ -113,7 +113,8 @@ def test_three_streams(spark, work):
     inputs = {s: f"{work}/in/{s}" for s in t.OTLP}
     for _ in range(2):  # the second run finds nothing new
         sync.wait(ingest_signals(spark, inputs, f"{work}/out", f"{work}/checkpoints"))
-    assert [spark.read.parquet(f"{work}/out/otel_{s}").count() for s in ("logs", "traces", "metrics")] == [4, 1, 4]
+    tables = signal_tables(spark, f"{work}/out")
+    assert [tables[s].current().count() for s in ("logs", "traces", "metrics")] == [4, 1, 4]
 
 
 def test_undecided_records_are_kept(spark):

@@ -361,11 +361,11 @@ def tel_2(spark, directory):
 
 
 @query(
-    "tel_4",
+    "tel_4_dated",
     f"""WITH clock AS (SELECT max(ts) AS as_of FROM events)
     SELECT event_id, {stamp("ts")} AS timestamp FROM events WHERE CAST(ts AS DATE) >= CAST({NOW} AS DATE) - 7""",
 )
-def tel_4(spark, directory):
+def tel_4_dated(spark, directory):
     path = work_path(spark, "dated")
     records = log_records(spark, directory).select("event_id", "timestamp")
     w.write_dated(records, path, "timestamp")

@@ -8,16 +8,17 @@ from ..operators import changes as ch, quality as q
 from ..operators.activity import count_by
 from ..operators.telemetry import OTLP
 from ..plans import analytics as a
-from ..session import work_path
+from ..session import checkpointed, work_path
 from ..sources import writers as w
 from ..sources.readers import read_json_stream, read_table_stream
 from ..sources.schemas import EVENT_MESSAGE, STAR_KEYS, STAR_SCHEMAS, conform
 from ..sources.star import raw, star_from_shop
 from ..streaming import live, sync
+from ..streaming.dated import DatedTable
 from ..streaming.states import ActivityStates, track_activity
 from ..streaming.tables import ChangeTable
-from ..streaming.telemetry import ingest_signals
-from .base import STAR, query, stamp
+from ..streaming.telemetry import ingest_signals, signal_tables
+from .base import NOW, STAR, query, stamp
 from .ingestion import CHANGES_SQL, ROW, applied_sql, envelopes, user_base
 
 MESSAGE_FILES = 8
@@ -183,8 +184,36 @@ def _file_sizes(spark: SparkSession, path: str, limit: int) -> DataFrame:
     return per_file.agg(F.sum("n").alias("rows"), F.count_if(F.col("n") > limit).alias("files_over_limit"))
 
 
-@query("ing_19", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS files_over_limit FROM events")
+@query(
+    "ing_19",
+    """SELECT count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS check_sum, CAST(0 AS BIGINT) AS files_over_limit,
+    CAST(0 AS BIGINT) AS days_left_in_pieces FROM events""",
+)
 def ing_19(spark, directory):
+    # Batches are admitted by bytes; what they wrote is packed, and the files are then counted by size and by day.
+    root, facts = work_path(spark, "admitted"), conform(star_from_shop(spark, directory).fact_events, "fact_events")
+    messages = send(event_messages(spark, directory), f"{root}/in")
+    stream = read_json_stream(spark, messages, EVENT_MESSAGE, ["event_time"], bytes_per_trigger=sync.FLUSH_BYTES)
+    table = DatedTable(spark, f"{root}/out", facts.schema, "event_time")
+    sync.wait([sync.dated_stream(stream, table, f"{root}/checkpoint")])
+    return _packed(table, F.col("event_id"))
+
+
+def _packed(table: DatedTable, number) -> DataFrame:
+    """Pack a table to the flush size; its rows, files beyond twice that size, and days of more files than batch and bytes need."""
+    table.pack(sync.FLUSH_BYTES)
+    table.clean()
+    per_day = table.files().groupBy(F.regexp_extract("path", r"event_date=([^/]+)/", 1).alias("day")).agg(
+        F.count_if(F.col("length") > 2 * sync.FLUSH_BYTES).alias("large"),
+        (F.count(F.lit(1)) > 3 + F.ceil(F.sum("length") / sync.FLUSH_BYTES)).alias("pieces"),
+    )
+    sizes = per_day.agg(F.sum("large").alias("files_over_limit"), F.count_if("pieces").alias("days_left_in_pieces"))
+    rows = table.current().agg(F.count(F.lit(1)).alias("rows"), F.sum(number).cast("bigint").alias("check_sum"))
+    return rows.crossJoin(sizes)  # one row each
+
+
+@query("ing_19_records", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS files_over_limit FROM events")
+def ing_19_records(spark, directory):
     path = received_events(spark, directory, records_per_file=sync.FLUSH_RECORDS)
     return _file_sizes(spark, path, sync.FLUSH_RECORDS)
 
@@ -242,10 +271,10 @@ def export_documents(spark: SparkSession, directory: str) -> dict[str, str]:
     return paths
 
 
-def ingested(spark: SparkSession, directory: str) -> str:
+def ingested(spark: SparkSession, directory: str, **options) -> dict[str, DatedTable]:
     root = work_path(spark, "otel")
-    sync.wait(ingest_signals(spark, export_documents(spark, directory), root, f"{root}/checkpoints"))
-    return root
+    sync.wait(ingest_signals(spark, export_documents(spark, directory), root, f"{root}/checkpoints", **options))
+    return signal_tables(spark, root)
 
 
 @query(
@@ -256,7 +285,7 @@ def ingested(spark: SparkSession, directory: str) -> str:
     UNION ALL SELECT 'metrics', {SERVICE}, count(*), min({stamp("ts")}), round(sum(value), 2) FROM events GROUP BY 2""",
 )
 def tel_1(spark, directory):
-    root = ingested(spark, directory)
+    tables = ingested(spark, directory)
     sums = {
         "logs": F.sum(F.col("trace_id").cast("bigint")).cast("double"),
         "traces": F.sum("duration_nanos").cast("double"),
@@ -264,7 +293,7 @@ def tel_1(spark, directory):
     }
     return q.stacked(
         [
-            spark.read.parquet(f"{root}/otel_{signal}")
+            tables[signal].current()
             .groupBy("service_name")
             .agg(F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first_seen"), total.alias("check_sum"))
             .withColumn("signal", F.lit(signal))
@@ -280,11 +309,11 @@ def tel_1(spark, directory):
     UNION ALL SELECT 'metrics', count(*) FILTER (event_type = 'error'), count(*) FILTER (event_type <> 'error') FROM events""",
 )
 def tel_3(spark, directory):
-    root = ingested(spark, directory)
+    tables = ingested(spark, directory)
     dropped = F.col("service_name") == "currency"
     return q.stacked(
         [
-            spark.read.parquet(f"{root}/otel_{signal}")
+            tables[signal].current()
             .agg(F.count_if(dropped).alias("dropped_service"), F.count_if(~dropped).alias("others"))
             .withColumn("signal", F.lit(signal))
             for signal in OTLP
@@ -292,9 +321,113 @@ def tel_3(spark, directory):
     )
 
 
-@query("tel_5", "SELECT count(*) FILTER (event_type <> 'error') AS rows, CAST(0 AS BIGINT) AS files_over_limit FROM events")
+def whole_documents(spark: SparkSession, directory: str) -> dict[str, str]:
+    """Each event as a span with an event and two links, and as one data point of each kind with all that the kind holds."""
+    root, events = work_path(spark, "whole"), raw(spark, directory, "events")
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    nanos, number = F.concat(micros.cast("string"), F.lit("000")), F.col("event_id").cast("string")
+    resource = F.expr("named_struct('attributes', array(named_struct('key', 'service.name', 'value', named_struct('stringValue', event_type))))")
+    scope = F.expr("named_struct('name', 'shop', 'version', '2', 'attributes', array(named_struct('key', 'k', 'value', named_struct('intValue', user_id))))")
+    link = F.struct(number.alias("traceId"), F.lit("w=1").alias("traceState"))
+    span = F.struct(
+        number.alias("traceId"),
+        nanos.alias("startTimeUnixNano"),
+        nanos.alias("endTimeUnixNano"),
+        F.array(F.struct(nanos.alias("timeUnixNano"), F.col("event_type").alias("name"))).alias("events"),
+        F.array(link, link).alias("links"),
+    )
+    side = F.struct(F.lit(2).alias("offset"), F.array(F.lit("1"), number).alias("bucketCounts"))
+    exemplar = F.array(F.struct(nanos.alias("timeUnixNano"), F.col("value").alias("asDouble"), number.alias("traceId")))
+    at, total = nanos.alias("timeUnixNano"), [F.lit("3").alias("count"), F.col("value").alias("sum")]
+    kinds = {
+        "gauge": [at, F.col("value").alias("asDouble")],
+        "sum": [at, number.alias("asInt"), exemplar.alias("exemplars")],
+        "histogram": [at, *total, F.array(number, F.lit("2")).alias("bucketCounts"), F.array(F.col("value")).alias("explicitBounds")],
+        "exponentialHistogram": [at, *total, F.lit(3).alias("scale"), F.lit("5").alias("zeroCount"), side.alias("positive"), side.alias("negative")],
+        "summary": [at, *total, F.array(F.struct(F.lit(0.5).alias("quantile"), F.col("value"))).alias("quantileValues")],
+    }
+    metrics = [
+        F.struct(
+            F.lit(kind).alias("name"),
+            F.struct(
+                F.array(F.struct(*fields)).alias("dataPoints"), F.lit(2).alias("aggregationTemporality"), (F.col("user_id") % 2 == 0).alias("isMonotonic")
+            ).alias(kind),
+        )
+        for kind, fields in kinds.items()
+    ]
+    # The kinds differ in their fields, so their JSON texts are put together.
+    each = F.concat(F.lit("["), F.concat_ws(",", *[F.to_json(m) for m in metrics]), F.lit("]"))
+    head = F.concat(F.lit('[{"resource":'), F.to_json(resource))
+    documents = {
+        "traces": F.concat(F.lit('{"resourceSpans":'), head, F.lit(',"scopeSpans":[{"scope":'), F.to_json(scope), F.lit(',"spans":['), F.to_json(span), F.lit("]}]}]}")),
+        "metrics": F.concat(F.lit('{"resourceMetrics":'), head, F.lit(',"scopeMetrics":[{"scope":'), F.to_json(scope), F.lit(',"metrics":'), each, F.lit("}]}]}")),
+    }
+    return {signal: send(events.select(text.alias("value")), f"{root}/{signal}") for signal, text in documents.items()}
+
+
+@query(
+    "tel_1_whole",
+    """SELECT part, rows, CAST(round(numbers, 2) AS DOUBLE) AS numbers FROM (
+    SELECT 'span events' AS part, count(*) AS rows, sum(event_id) AS numbers FROM events
+    UNION ALL SELECT 'links', count(*) * 2, sum(event_id) * 2 FROM events
+    UNION ALL SELECT 'gauge', count(*), sum(value) FROM events
+    UNION ALL SELECT 'sum', count(*), sum(event_id + value) + sum(CASE WHEN user_id % 2 = 0 THEN 1 ELSE 0 END) FROM events
+    UNION ALL SELECT 'histogram', count(*), sum(event_id + 2 + value + 3 + value) FROM events
+    UNION ALL SELECT 'exponentialHistogram', count(*), sum(value + 3 + 3 + 5 + 2 * (2 + 1 + event_id)) FROM events
+    UNION ALL SELECT 'summary', count(*), sum(value + 3 + 0.5 + value) FROM events)""",
+)
+def tel_1_whole(spark, directory):
+    # What each kind holds beyond its number comes back whole from the streamed tables.
+    root = work_path(spark, "otel")
+    sync.wait(ingest_signals(spark, whole_documents(spark, directory), root, f"{root}/checkpoints"))
+    tables = signal_tables(spark, root)
+    spans, points = tables["traces"].current(), tables["metrics"].current()
+    rows, add = F.count(F.lit(1)).alias("rows"), lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+    side = lambda c: c["offset"] + add(c["bucket_counts"])
+    numbers = {
+        "gauge": F.col("value"),
+        "sum": F.col("value") + F.col("exemplars")[0]["value"] + F.col("is_monotonic").cast("int"),
+        "histogram": F.col("value") + F.col("count") + add(F.col("bucket_counts")) + add(F.col("explicit_bounds")),
+        "exponentialHistogram": F.col("value") + F.col("count") + F.col("scale") + F.col("zero_count") + side(F.col("positive")) + side(F.col("negative")),
+        "summary": F.col("value") + F.col("count") + F.col("quantiles")[0]["quantile"] + F.col("quantiles")[0]["value"],
+    }
+    chosen = F.coalesce(*[F.when(F.col("metric_kind") == kind, number) for kind, number in numbers.items()])
+    kinds = points.groupBy(F.col("metric_kind").alias("part")).agg(rows, F.round(F.sum(chosen), 2).alias("numbers"))
+    events = spans.where("span_name IS NULL").select("trace_id", F.explode("events").alias("e")).where("e.timestamp IS NOT NULL")
+    links = spans.select(F.explode("links").alias("k")).where("k.trace_state = 'w=1'")
+    return q.stacked(
+        [
+            kinds,
+            events.agg(rows, F.sum(F.col("trace_id").cast("double")).alias("numbers")).select(F.lit("span events").alias("part"), "rows", "numbers"),
+            links.agg(rows, F.sum(F.col("k.trace_id").cast("double")).alias("numbers")).select(F.lit("links").alias("part"), "rows", "numbers"),
+        ]
+    )
+
+
+@query(
+    "tel_4",
+    f"""WITH clock AS (SELECT max(ts) AS as_of FROM events)
+    SELECT event_id, {stamp("ts")} AS timestamp FROM events WHERE CAST(ts AS DATE) >= CAST({NOW} AS DATE) - 7""",
+)
+def tel_4(spark, directory):
+    # Days of the streamed table expire; the batch that is delivered again afterwards does not bring them back.
+    table = ingested(spark, directory)["traces"]
+    before = table.current()
+    today = before.agg(F.max("event_date")).first()[0]
+    late = checkpointed(spark, before.drop("event_date"))
+    table.expire(7, today)
+    table.append_batch(late, 0)
+    return table.current().select(F.col("trace_id").cast("bigint").alias("event_id"), "timestamp")
+
+
+@query(
+    "tel_5",
+    """SELECT count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS check_sum, CAST(0 AS BIGINT) AS files_over_limit,
+    CAST(0 AS BIGINT) AS days_left_in_pieces FROM events WHERE event_type <> 'error'""",
+)
 def tel_5(spark, directory):
-    return _file_sizes(spark, f"{ingested(spark, directory)}/otel_logs", sync.TELEMETRY_BATCH_RECORDS)
+    table = ingested(spark, directory, bytes_per_trigger=sync.FLUSH_BYTES)["logs"]
+    return _packed(table, F.col("trace_id").cast("bigint"))
 
 
 # -- continuous results -----------------------------------------------------------------------------------

@@ -11,29 +11,39 @@ _ANY = (
 )
 _ATTRIBUTES = f"array<struct<key:string,value:{_ANY}>>"
 _RESOURCE = f"resource:struct<attributes:{_ATTRIBUTES}>"
-_SCOPE = "scope:struct<name:string,version:string>"
-_POINT = f"struct<timeUnixNano:string,asDouble:double,asInt:string,attributes:{_ATTRIBUTES}>"
-# Histograms, exponential histograms and summaries share their time, count, sum and attributes.
-_HISTOGRAM_POINT = f"struct<timeUnixNano:string,count:string,sum:double,attributes:{_ATTRIBUTES}>"
+_SCOPE = f"scope:struct<name:string,version:string,attributes:{_ATTRIBUTES},droppedAttributesCount:bigint>"
+_EXEMPLAR = f"struct<timeUnixNano:string,asDouble:double,asInt:string,spanId:string,traceId:string,filteredAttributes:{_ATTRIBUTES}>"
+_BUCKETS = "struct<offset:int,bucketCounts:array<string>>"
+# Data points of all kinds in one shape: a kind leaves the fields of the others out.
+_POINT = (
+    f"struct<startTimeUnixNano:string,timeUnixNano:string,asDouble:double,asInt:string,count:string,sum:double,min:double,max:double,"
+    f"bucketCounts:array<string>,explicitBounds:array<double>,scale:int,zeroCount:string,zeroThreshold:double,positive:{_BUCKETS},"
+    f"negative:{_BUCKETS},quantileValues:array<struct<quantile:double,value:double>>,exemplars:array<{_EXEMPLAR}>,flags:bigint,"
+    f"attributes:{_ATTRIBUTES}>"
+)
+_POINTS = f"struct<aggregationTemporality:int,isMonotonic:boolean,dataPoints:array<{_POINT}>>"
+_SPAN_EVENT = f"struct<timeUnixNano:string,name:string,attributes:{_ATTRIBUTES},droppedAttributesCount:bigint>"
+_LINK = f"struct<traceId:string,spanId:string,traceState:string,attributes:{_ATTRIBUTES},droppedAttributesCount:bigint,flags:bigint>"
+METRIC_KINDS = ["gauge", "sum", "histogram", "exponentialHistogram", "summary"]
 
 # Field names of the public OTLP/JSON encoding, one document per export request.
 OTLP = {
     "logs": (
         f"resourceLogs array<struct<{_RESOURCE},scopeLogs:array<struct<{_SCOPE},logRecords:array<struct<"
         f"timeUnixNano:string,severityNumber:int,severityText:string,body:{_ANY},attributes:{_ATTRIBUTES},"
-        "traceId:string,spanId:string>>>>>>"
+        "traceId:string,spanId:string,observedTimeUnixNano:string,eventName:string,flags:bigint,"
+        "droppedAttributesCount:bigint>>>>>>"
     ),
     "traces": (
         f"resourceSpans array<struct<{_RESOURCE},scopeSpans:array<struct<{_SCOPE},spans:array<struct<"
         "traceId:string,spanId:string,parentSpanId:string,name:string,kind:int,startTimeUnixNano:string,"
-        f"endTimeUnixNano:string,attributes:{_ATTRIBUTES},status:struct<code:int,message:string>>>>>>>"
+        f"endTimeUnixNano:string,attributes:{_ATTRIBUTES},status:struct<code:int,message:string>,"
+        f"traceState:string,events:array<{_SPAN_EVENT}>,links:array<{_LINK}>,flags:bigint,droppedAttributesCount:bigint,"
+        "droppedEventsCount:bigint,droppedLinksCount:bigint>>>>>>"
     ),
     "metrics": (
         f"resourceMetrics array<struct<{_RESOURCE},scopeMetrics:array<struct<{_SCOPE},metrics:array<struct<"
-        "name:string,unit:string,description:string,"
-        f"gauge:struct<dataPoints:array<{_POINT}>>,sum:struct<dataPoints:array<{_POINT}>>,"
-        f"histogram:struct<dataPoints:array<{_HISTOGRAM_POINT}>>,exponentialHistogram:struct<dataPoints:array<{_HISTOGRAM_POINT}>>,"
-        f"summary:struct<dataPoints:array<{_HISTOGRAM_POINT}>>>>>>>>"
+        "name:string,unit:string,description:string," + ",".join(f"{kind}:{_POINTS}" for kind in METRIC_KINDS) + ">>>>>>"
     ),
 }
 
@@ -66,92 +76,153 @@ def from_nanos(nanos: Column) -> Column:
     return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
+#: What every record carries of its scope.
+_OF_SCOPE = ["scope_name", "scope_version", "scope_attributes", "resource_attributes"]
+
+
 def _flat(df: DataFrame, resources: str, scopes: str, records: str) -> DataFrame:
-    """One row per record, with the resource attributes and the scope name beside it."""
+    """One row per record, with the resource attributes and the scope beside it."""
     return (
         df.select(F.explode(resources).alias("r"))
         .select(attribute_map(F.col("r.resource.attributes")).alias("resource_attributes"), F.explode(f"r.{scopes}").alias("s"))
-        .select("resource_attributes", F.col("s.scope.name").alias("scope_name"), F.explode(f"s.{records}").alias("x"))
+        .select(
+            "resource_attributes",
+            F.col("s.scope.name").alias("scope_name"),
+            F.col("s.scope.version").alias("scope_version"),
+            attribute_map(F.col("s.scope.attributes")).alias("scope_attributes"),
+            F.explode(f"s.{records}").alias("x"),
+        )
     )
 
 
+def _service() -> list[Column]:
+    names = {"service_name": "service.name", "service_instance_id": "service.instance.id"}
+    return [F.col("resource_attributes")[key].alias(name) for name, key in names.items()]
+
+
 def flatten_logs(df: DataFrame) -> DataFrame:
     return _flat(df, "resourceLogs", "scopeLogs", "logRecords").select(
         from_nanos(F.col("x.timeUnixNano")).alias("timestamp"),
-        F.col("resource_attributes")["service.name"].alias("service_name"),
+        from_nanos(F.col("x.observedTimeUnixNano")).alias("observed"),
+        *_service(),
         F.col("x.severityNumber").alias("severity_number"),
         F.col("x.severityText").alias("severity_text"),
         text_value(F.col("x.body")).alias("body"),
+        F.col("x.eventName").alias("event_name"),
         F.col("x.traceId").alias("trace_id"),
         F.col("x.spanId").alias("span_id"),
-        "scope_name",
-        "resource_attributes",
+        F.col("x.flags").alias("flags"),
+        F.col("x.droppedAttributesCount").alias("dropped_attributes"),
+        *_OF_SCOPE,
         attribute_map(F.col("x.attributes")).alias("log_attributes"),
     )
 
 
 def flatten_traces(df: DataFrame) -> DataFrame:
+    """One row per span, its events and links as lists in the order they came."""
     start, end = F.col("x.startTimeUnixNano"), F.col("x.endTimeUnixNano")
+    events = F.transform(
+        "x.events",
+        lambda e: F.struct(
+            from_nanos(e["timeUnixNano"]).alias("timestamp"),
+            e["name"].alias("name"),
+            attribute_map(e["attributes"]).alias("attributes"),
+            e["droppedAttributesCount"].alias("dropped_attributes"),
+        ),
+    )
+    links = F.transform(
+        "x.links",
+        lambda k: F.struct(
+            k["traceId"].alias("trace_id"),
+            k["spanId"].alias("span_id"),
+            k["traceState"].alias("trace_state"),
+            attribute_map(k["attributes"]).alias("attributes"),
+            k["droppedAttributesCount"].alias("dropped_attributes"),
+            k["flags"].alias("flags"),
+        ),
+    )
     return _flat(df, "resourceSpans", "scopeSpans", "spans").select(
         from_nanos(start).alias("timestamp"),
-        F.col("resource_attributes")["service.name"].alias("service_name"),
+        from_nanos(end).alias("end_time"),
+        *_service(),
         F.col("x.traceId").alias("trace_id"),
         F.col("x.spanId").alias("span_id"),
         F.col("x.parentSpanId").alias("parent_span_id"),
+        F.col("x.traceState").alias("trace_state"),
         F.col("x.name").alias("span_name"),
         F.col("x.kind").alias("span_kind"),
         (end.cast("bigint") - start.cast("bigint")).alias("duration_nanos"),
         F.col("x.status.code").alias("status_code"),
         F.col("x.status.message").alias("status_message"),
-        "scope_name",
-        "resource_attributes",
+        F.col("x.flags").alias("flags"),
+        events.alias("events"),
+        links.alias("links"),
+        F.col("x.droppedAttributesCount").alias("dropped_attributes"),
+        F.col("x.droppedEventsCount").alias("dropped_events"),
+        F.col("x.droppedLinksCount").alias("dropped_links"),
+        *_OF_SCOPE,
         attribute_map(F.col("x.attributes")).alias("span_attributes"),
     )
 
 
 def flatten_metrics(df: DataFrame) -> DataFrame:
-    """One row per data point of any kind; a histogram or summary point gives its sum and count."""
+    """One row per data point of any kind; ``value`` is the number, or the sum of a distribution.
+
+    Buckets, bounds, quantiles and exemplars stay lists, as they came; fields of other kinds are null.
+    """
     metrics = _flat(df, "resourceMetrics", "scopeMetrics", "metrics")
 
-    def numbers(kind: str) -> Column:
-        return F.transform(
-            F.coalesce(F.col(f"x.{kind}.dataPoints"), F.array()),
-            lambda p: F.struct(
-                F.lit(kind).alias("kind"),
-                p["timeUnixNano"].alias("nanos"),
-                F.coalesce(p["asDouble"], p["asInt"].cast("double")).alias("value"),
-                F.lit(None).cast("bigint").alias("count"),
-                attribute_map(p["attributes"]).alias("attributes"),
-            ),
+    def buckets(side: Column) -> Column:
+        counted = F.struct(side["offset"].alias("offset"), side["bucketCounts"].cast("array<bigint>").alias("bucket_counts"))
+        return F.when(side.isNotNull(), counted)
+
+    def exemplar(e: Column) -> Column:
+        return F.struct(
+            from_nanos(e["timeUnixNano"]).alias("timestamp"),
+            F.coalesce(e["asDouble"], e["asInt"].cast("double")).alias("value"),
+            e["traceId"].alias("trace_id"),
+            e["spanId"].alias("span_id"),
+            attribute_map(e["filteredAttributes"]).alias("attributes"),
         )
 
-    def distributions(kind: str) -> Column:
+    def points(kind: str) -> Column:
         return F.transform(
             F.coalesce(F.col(f"x.{kind}.dataPoints"), F.array()),
             lambda p: F.struct(
-                F.lit(kind).alias("kind"),
-                p["timeUnixNano"].alias("nanos"),
-                p["sum"].alias("value"),
-                p["count"].cast("bigint").alias("count"),
-                attribute_map(p["attributes"]).alias("attributes"),
+                F.lit(kind).alias("metric_kind"),
+                F.col(f"x.{kind}.aggregationTemporality").alias("aggregation_temporality"),
+                F.col(f"x.{kind}.isMonotonic").alias("is_monotonic"),
+                p.alias("p"),
             ),
         )
 
-    every = F.concat(numbers("gauge"), numbers("sum"), *[distributions(k) for k in ("histogram", "exponentialHistogram", "summary")])
-    points = metrics.select(
-        "resource_attributes", "scope_name", "x", F.explode(every).alias("p")
-    )
-    return points.select(
-        from_nanos(F.col("p.nanos")).alias("timestamp"),
-        F.col("resource_attributes")["service.name"].alias("service_name"),
+    p = F.col("k.p")
+    return metrics.select(*_OF_SCOPE, "x", F.explode(F.concat(*[points(kind) for kind in METRIC_KINDS])).alias("k")).select(
+        from_nanos(p["timeUnixNano"]).alias("timestamp"),
+        from_nanos(p["startTimeUnixNano"]).alias("start_time"),
+        *_service(),
         F.col("x.name").alias("metric_name"),
         F.col("x.unit").alias("metric_unit"),
-        F.col("p.kind").alias("metric_kind"),
-        F.col("p.value").alias("value"),
-        F.col("p.count").alias("count"),
-        "scope_name",
-        "resource_attributes",
-        F.col("p.attributes").alias("point_attributes"),
+        F.col("x.description").alias("metric_description"),
+        "k.metric_kind",
+        "k.aggregation_temporality",
+        "k.is_monotonic",
+        F.coalesce(p["asDouble"], p["asInt"].cast("double"), p["sum"]).alias("value"),
+        p["count"].cast("bigint").alias("count"),
+        p["min"].alias("min"),
+        p["max"].alias("max"),
+        p["bucketCounts"].cast("array<bigint>").alias("bucket_counts"),
+        p["explicitBounds"].alias("explicit_bounds"),
+        p["scale"].alias("scale"),
+        p["zeroCount"].cast("bigint").alias("zero_count"),
+        p["zeroThreshold"].alias("zero_threshold"),
+        buckets(p["positive"]).alias("positive"),
+        buckets(p["negative"]).alias("negative"),
+        p["quantileValues"].alias("quantiles"),
+        F.transform(p["exemplars"], exemplar).alias("exemplars"),
+        p["flags"].alias("flags"),
+        *_OF_SCOPE,
+        attribute_map(p["attributes"]).alias("point_attributes"),
     )
 
 

@@ -84,12 +84,19 @@ def rejected_messages(df: DataFrame, value: str, schema: str) -> DataFrame:
 
 
 def read_json_stream(
-    spark: SparkSession, path: str, schema: str, times: Iterable[str] = (), files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    times: Iterable[str] = (),
+    files_per_trigger: int | None = None,
+    bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Message files of one JSON object per line, as a stream."""
+    """Message files of one JSON object per line, as a stream; a batch is bounded by files or by their bytes, not both."""
     reader = spark.readStream.format("text").schema(T.StructType.fromDDL("value string"))
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return parse_messages(reader.load(path), "value", schema, times)
 
 

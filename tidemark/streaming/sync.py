@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.changes import decode_changes
+from .dated import DatedTable
 from .tables import ChangeTable
 
 # Fixed values of the ingestion jobs: checkpoint interval, record, time and byte limits of a flush.
@@ -104,6 +105,11 @@ def append_stream(
     return _trigger(writer, every).start()
 
 
+def dated_stream(df: DataFrame, table: DatedTable, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Append rows to a table by day; a repeated batch replaces itself."""
+    return _trigger(df.writeStream.foreachBatch(table.append_batch).option("checkpointLocation", checkpoint), every).start()
+
+
 def wait(queries) -> None:
     """Wait for bounded queries to end; an error of any is raised."""
     for q in queries.values() if isinstance(queries, dict) else queries:
