@@ -167,3 +167,28 @@ def test_indexed_search_equals_search_over_texts(spark, index, tmp_path):
     assert found == r.hybrid_search_batch(docs, batch, 4).orderBy("query_id", "rank").select(*found[0].__fields__).collect()
     key = lambda df: {x["query_id"]: x["context"] for x in df.collect()}
     assert key(r.indexed_context(vectors, index, texts, batch, 3)) == key(r.answer_context(docs, batch, 3))
+
+
+def test_long_queries_pass_their_blocks_once(spark, index):
+    """Bounds of a block do not walk all the terms of a query, nor is a block shuffled; the answers stay exact."""
+    words = " ".join(f"w{k}" for k in range(60))
+    batch = spark.createDataFrame([(q, f"{words} x{q}") for q in range(3)], "query_id bigint, query string")
+    made = index.top_bm25(batch, 10)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "SortMergeJoin" not in plan
+    found = by_query(made.orderBy("query_id", "rank").collect(), "id", "score")
+    assert {q: [(i, round(s, 9)) for i, s in rows] for q, rows in found.items()} == {q: best(words, 10) for q in range(3)}
+
+
+def test_documents_are_counted_in_place(spark, tmp_path, monkeypatch):
+    """A row per document and token, with the tokens as ``functions.texts.tokens`` finds them, whatever the layout."""
+    texts = [*[t for _, t in ROWS[:60]], "İstanbul KKK Straße 7a-b", "É", "AB ab aB"]
+    docs = spark.createDataFrame([*enumerate(texts), (None, "un named")], "id bigint, content string")
+    want = docs.where("id IS NOT NULL").select("id", F.explode(keywords.tokens("content")).alias("token")).groupBy("token", "id").count().collect()
+    for size in (1 << 20, 50, 3):  # one task, some buckets a task, several tasks a bucket
+        monkeypatch.setattr(keywords, "TASK_POSTINGS", size)
+        index = KeywordIndex(spark, str(tmp_path / str(size)))
+        index.add(docs, "all")
+        assert sorted(map(tuple, index.postings().select("token", "doc_id", "tf").collect())) == sorted(map(tuple, want))
+        n = [len(x["t"]) for x in docs.select(keywords.tokens("content").alias("t")).where("t IS NOT NULL").collect()]
+        assert index.counts() == (docs.count(), sum(n) / len(n))

@@ -9,14 +9,16 @@ segments count is said by the newest manifest, written last.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.texts import query_terms, token_count, tokens
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, checkpointed
 from .ranking import head_per_group
 
 BM25_K1 = 1.2
@@ -29,6 +31,13 @@ FAN = 4
 NAMED_TERMS = 256
 #: Lengths are told apart by half powers of two where other terms' best counts are kept.
 LENGTH_BINS = 64
+#: Postings that a task lays out, about, and characters of text that make one posting; both only set the layout.
+TASK_POSTINGS = 1 << 20
+POSTING_CHARACTERS = 8
+#: Postings that a task holds before it hands them on.
+HELD_POSTINGS = 100_000
+# A term, as functions.texts.tokens finds it.
+TERM = re.compile("[a-z0-9]+")
 
 POSTINGS = (
     "token string, least_id bigint, docs int, least_length int, most_length int, top_counts array<int>, "
@@ -42,6 +51,28 @@ def _bucket(token: Column | str) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(BUCKETS)).cast("int")
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``id, content`` to one row per document and distinct token. A document's tokens are counted where its text lies."""
+    ids, found, counts, lengths = [], [], [], []
+
+    def handed() -> pa.RecordBatch:
+        arrays = [pa.array(found, pa.string()), pa.array(ids, pa.int64()), pa.array(lengths, pa.int32()), pa.array(counts, pa.int32())]
+        return pa.RecordBatch.from_arrays(arrays, ["token", "id", "length", "count"])
+
+    for batch in batches:
+        for doc, text in zip(batch.column("id"), batch.column("content")):
+            every = TERM.findall(text.as_py().lower())
+            own = Counter(every)
+            found += own.keys()
+            counts += own.values()
+            ids += [doc.as_py()] * len(own)
+            lengths += [len(every)] * len(own)
+            if len(found) > HELD_POSTINGS:
+                yield handed()
+                ids, found, counts, lengths = [], [], [], []
+    yield handed()
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by token and length to blocks. What is left of a batch is carried into the next, so it is at most a block."""
     rest: pa.Table | None = None
@@ -103,14 +134,15 @@ class KeywordIndex:
         if name.startswith("merged-"):
             raise ValueError("names that begin with 'merged-' are kept for merges")
         own = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(content).alias("content"))
-        # Each token with the number of all, from one list that is made once per text and not carried to its tokens' rows.
-        sized = F.transform(F.array(tokens("content")), lambda every: F.transform(every, lambda t: F.struct(t.alias("token"), F.size(every).alias("length"))))[0]
-        words = own.where("id IS NOT NULL").select("id", F.explode(sized).alias("x")).select("id", "x.token", "x.length")
-        # Grouped on both, so that a frequent token is spread over all tasks.
-        counted = words.groupBy("token", "id", "length").agg(F.count(F.lit(1)).cast("int").alias("count"))
-        self._write(counted, name)
-        sums = own.select(token_count("content").alias("n")).agg(
-            F.count(F.lit(1)).alias("docs"), F.count("n").alias("texts"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("tokens")
+        size = own.agg(F.count(F.lit(1)).alias("docs"), F.count("content").alias("texts"), F.coalesce(F.sum(F.length("content")), F.lit(0)).alias("n")).first()
+        counted = own.where("id IS NOT NULL AND content IS NOT NULL").mapInArrow(_counted, "token string, id bigint, length int, count int")
+        self._write(counted, name, size["n"] // POSTING_CHARACTERS)
+        # Tokens of documents with an id are those of the postings just written.
+        stored = self._postings([name]).select(F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, c: a + c).alias("n"))
+        unnamed = own.where("id IS NULL").select(token_count("content").cast("bigint").alias("n"))
+        number = lambda n: F.lit(n).cast("bigint")
+        sums = stored.unionByName(unnamed).agg(
+            number(size["docs"]).alias("docs"), number(size["texts"]).alias("texts"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("tokens")
         )
         self._seal(sums, name)
         self._publish([s for s in self.segments() if s != name] + [name])
@@ -129,14 +161,24 @@ class KeywordIndex:
                 return self.segments()
             for group in full:
                 name = f"merged-{self._version() + 1}"
-                self._write(self._rows(self._postings(group)), name)
+                many = self._stats(group).agg(F.sum("postings")).first()[0]
+                self._write(self._rows(self._postings(group)), name, many)
                 sums = self._stats(group).agg(*[F.sum(c).alias(c) for c in ("docs", "texts", "tokens")])
                 self._seal(sums, name)
                 self._publish([s for s in self.segments() if s not in group] + [name])
 
-    def _write(self, rows: DataFrame, name: str) -> None:
-        laid = rows.withColumn("bucket", _bucket("token")).repartitionByRange("bucket", "token", "length", "id")
-        laid = laid.sortWithinPartitions("bucket", "token", "length", "id").select("token", "id", "length", "count")
+    def _write(self, rows: DataFrame, name: str, many: int) -> None:
+        """Lay out about ``many`` postings: a task takes some buckets or, where there are many, a share of one.
+
+        Shares are dealt by token and class of length, so that a frequent token is spread over tasks and its blocks stay alike.
+        """
+        tasks = max(-(-many // TASK_POSTINGS), 1)
+        bucket, shares = F.col("bucket"), -(-tasks // BUCKETS)
+        share = F.pmod(F.xxhash64("token", _bin(F.col("length")), F.lit(1)), F.lit(shares))
+        task = (bucket * tasks / BUCKETS if tasks < BUCKETS else bucket * shares + share).cast("int")
+        dealt = rows.withColumn("bucket", _bucket("token")).repartitionById(tasks if tasks < BUCKETS else BUCKETS * shares, task)
+        # By token at once: rows of a task are of few buckets, which would all be compared in vain.
+        laid = dealt.sortWithinPartitions("token", "length", "id").select("token", "id", "length", "count")
         blocks = laid.mapInArrow(_blocks, POSTINGS)
         blocks.withColumn("bucket", _bucket("token")).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/postings/segment={name}")
 
@@ -263,55 +305,66 @@ class KeywordIndex:
         rows = self._rows(blocks).join(broadcast_if_small(weights, many), "token")
         return rows.groupBy("query_id", "id").agg(F.sum(F.col("idf") * _share(F.col("count"), F.col("length"), mean)).alias("score"))
 
-    def bounds(self, queries: DataFrame, k: int) -> DataFrame:
-        """Blocks of each query with ``best`` (highest score that the block's token gives in it), ``bound`` (no document in it
-        scores more in all), and ``kept``: whether it can still hold one of the ``k`` best.
+    def _bounded(self, queries: DataFrame, k: int) -> tuple[DataFrame, float]:
+        """Blocks of each query, lists included, with ``best``, ``bound`` and ``kept`` as ``bounds`` tells them; and the mean length.
 
-        The floor of a query is the k-th best score found in the k blocks of the highest ``best``: what documents have from
-        those blocks alone, so their true scores are no less. A block whose bound is below the floor cannot hold a
-        document of the answer; one that equals it can, and is kept, so ties are not lost. For the other terms of the query
-        the bound takes their highest counts among documents at least as short as the block allows: blocks hold
-        documents of like length, and length is most of what tells scores apart.
+        What the bounds need of other blocks is made into small tables first, a row per token and class of length, so that
+        the blocks themselves are passed once and never shuffled.
         """
         blocks, weights, many, mean = self._weighed(queries)
-        weights = broadcast_if_small(weights, many)
-        own = blocks.select("segment", "token", "least_id", "docs", "least_length", "most_length", "top_counts", "top_lengths")
-        heads = own.join(weights, "token").withColumn(
-            "best", F.col("idf") * F.array_max(F.zip_with("top_counts", "top_lengths", lambda c, n: _share(c, n, mean)))
+        weights = broadcast_if_small(checkpointed(self.spark, weights), many)
+        heads = blocks.join(weights, "token").withColumns(
+            {
+                "best": F.col("idf") * F.array_max(F.zip_with("top_counts", "top_lengths", lambda c, n: _share(c, n, mean))),
+                "low": _bin(F.col("least_length")),
+                "high": _bin(F.col("most_length")),
+            }
         )
-        leaders = head_per_group(heads.select("query_id", "segment", "token", "least_id", "least_length", "idf", "best"), ["query_id"], k, [F.desc("best")], "_place")
         keys = ["segment", "token", "least_id", "least_length"]
+        leaders = head_per_group(heads.select("query_id", *keys, "idf", "best"), ["query_id"], k, [F.desc("best")], "_place")
         seen = self._rows(blocks.join(broadcast_if_small(leaders.select("query_id", *keys, "idf"), k * many), keys), "query_id", "idf")
         partial = seen.groupBy("query_id", "id").agg(F.sum(F.col("idf") * _share(F.col("count"), F.col("length"), mean)).alias("score"))
         floors = head_per_group(partial, ["query_id"], k, [F.desc("score")], "_place").where(F.col("_place") == k)
 
-        # Highest count of each token by class of length; of a token as many rows as there are classes.
-        classes = own.select("token", F.explode(F.sequence(_bin(F.col("least_length")), _bin(F.col("most_length")))).alias("bin"), F.array_max("top_counts").alias("most"))
-        profile = classes.groupBy("token", "bin").agg(F.max("most").alias("most")).join(weights, "token")
-        others = profile.groupBy("query_id").agg(F.collect_list(F.struct("token", "bin", "most", "idf")).alias("others"))
-        facts = others.join(floors.select("query_id", F.col("score").alias("floor")), "query_id", "left")
-        here = heads.join(broadcast_if_small(facts, many), "query_id")
-        low, high = _bin(F.col("least_length")), _bin(F.col("most_length"))
-        # A class may hold shorter documents than the block, so the count is taken at the block's least length.
-        reach = lambda o: F.struct(o["token"].alias("token"), (o["idf"] * _share(o["most"], F.col("least_length"), mean)).alias("most"))
-        inside = F.transform(F.filter("others", lambda o: (o["token"] != F.col("token")) & (o["bin"] >= low) & (o["bin"] <= high)), reach)
-        names = F.array_distinct(F.transform(inside, lambda o: o["token"]))
-        most = F.transform(names, lambda name: F.array_max(F.transform(F.filter(inside, lambda o: o["token"] == name), lambda o: o["most"])))
-        bound = F.col("best") + F.aggregate(most, F.lit(0.0), lambda a, x: a + x)
+        # The highest count of each token in each class of length; then in each span of classes that some block has.
+        spans = blocks.select("token", _bin(F.col("least_length")).alias("low"), _bin(F.col("most_length")).alias("high"), F.array_max("top_counts").alias("most"))
+        spans = checkpointed(self.spark, spans.groupBy("token", "low", "high").agg(F.max("most").alias("most")))
+        classes = spans.select("token", F.explode(F.sequence("low", "high")).alias("bin"), "most").groupBy("token", "bin").agg(F.max("most").alias("most"))
+        asked = spans.select("low", "high").distinct().select("low", "high", F.explode(F.sequence("low", "high")).alias("bin"))
+        profile = classes.join(F.broadcast(asked), "bin").groupBy("token", "low", "high").agg(F.max("most").alias("most"))
+        # A class may hold shorter documents than the block, so the count is taken at the least length of the class.
+        gives = F.col("idf") * _share(F.col("most"), F.pow(F.lit(2.0), F.col("low") / 2), mean)
+        reach = profile.join(weights, "token").select("query_id", "token", "low", "high", gives.alias("gives"))
+        whole = F.sum("gives").over(Window.partitionBy("query_id", "low", "high"))
+        slack = reach.withColumn("others", whole - F.col("gives")).drop("gives")
+        slack = checkpointed(self.spark, slack.join(floors.select("query_id", F.col("score").alias("floor")), "query_id", "left"))
+        here = heads.join(broadcast_if_small(slack, slack.count()), ["query_id", "token", "low", "high"])
+        bound = F.col("best") + F.col("others")
         # Sums may differ in the last digits with their order.
         kept = F.coalesce(F.col("bound") >= F.col("floor") * (1 - 1e-9), F.lit(True))
-        return here.withColumn("bound", bound).withColumn("kept", kept).select("query_id", *keys, "docs", "idf", "best", "bound", "kept")
+        return here.withColumn("bound", bound).withColumn("kept", kept), mean
+
+    def bounds(self, queries: DataFrame, k: int) -> DataFrame:
+        """Blocks of each query with ``best`` (highest score that the block's token gives in it), ``bound`` (no document in it
+        scores more in all), and ``kept``: whether it can still hold one of the ``k`` best.
+
+        The floor of a query is the k-th best score found in the k blocks of the highest ``best``: what documents have from
+        those blocks alone, so their true scores are no less. A block whose bound is below the floor cannot hold a
+        document of the answer; one that equals it can, and is kept, so ties are not lost. For the other terms of the query
+        the bound takes their highest counts among documents at least as short as the block's class allows: blocks hold
+        documents of like length, and length is most of what tells scores apart.
+        """
+        made, _ = self._bounded(queries, k)
+        return made.select("query_id", "segment", "token", "least_id", "least_length", "docs", "idf", "best", "bound", "kept")
 
     def top_bm25(self, queries: DataFrame, k: int) -> DataFrame:
         """The ``k`` best documents of each query by BM25, ties by id: ``query_id, id, score, rank``.
 
-        Only blocks that can still reach the answer are read (see ``bounds``); every document of the answer has all its
-        terms in such blocks, so its score is whole.
+        Only documents of blocks that can still reach the answer are scored (see ``bounds``); every document of the answer has
+        all its terms in such blocks, so its score is whole.
         """
-        _, mean = self.counts()
-        good = self.bounds(queries, k).where("kept").select("query_id", "segment", "token", "least_id", "least_length", "idf")
-        blocks = self._blocks_of(*self._terms(queries))
-        rows = self._rows(blocks.join(good, ["segment", "token", "least_id", "least_length"]), "query_id", "idf")
+        made, mean = self._bounded(queries, k)
+        rows = self._rows(made.where("kept"), "query_id", "idf")
         scored = rows.groupBy("query_id", "id").agg(F.sum(F.col("idf") * _share(F.col("count"), F.col("length"), mean)).alias("score"))
         # Equal scores must be equal numbers, whatever the order of their sums.
         ranked = head_per_group(scored, ["query_id"], k, [F.desc(F.round("score", 9)), F.asc("id")], "rank")
