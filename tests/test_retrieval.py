@@ -201,3 +201,16 @@ def test_parse_vector(spark):
         [0.5, -1.0, pytest.approx(0.002)],
         None,
     ]
+
+
+def test_thousandths_are_rounded_from_doubles(spark, tmp_path):
+    """A chunk of length 80: 7 of it are 87.5 thousandths, as a float a little less."""
+    from tidemark.catalog import QUERIES
+
+    counts = {"a": 79, "b": 10, "c": 7, "d": 3, "e": 1}
+    text = " ".join(w for word, n in counts.items() for w in [word] * n)
+    spark.createDataFrame([(1, text)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    row = QUERIES["tx_8"](spark, str(tmp_path)).first()
+    found = [int(n) for n in row["counts"].split()]
+    assert sorted(found, reverse=True)[:5] == [79, 10, 7, 3, 1] and sum(n * n for n in found) == 6400 and row["has_direction"]
+    assert row["thousandths"].split() == [str(math.floor(1000 * n / 80 + 0.5)) for n in found]

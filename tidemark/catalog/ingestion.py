@@ -523,7 +523,8 @@ def text_chunks(spark: SparkSession, directory: str) -> DataFrame:
 )
 def tx_8(spark, directory):
     counted = text_chunks(spark, directory).withColumn("counts", bucket_counts(F.col("content"))).drop("content")
-    pieces = counted.withColumn("embedding", unit_vector(F.col("counts")))
+    # Thousandths are rounded from doubles: a stored float may lie on the other side of a half.
+    pieces = counted.withColumn("embedding", unit_vector(F.col("counts")).cast("array<float>"))
     length = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     return pieces.select(
         "doc_id",
@@ -531,7 +532,7 @@ def tx_8(spark, directory):
         F.size("embedding").alias("dims"),
         (F.round(length, 5) == 1.0).alias("has_direction"),
         F.array_join(F.transform("counts", lambda n: n.cast("string")), " ").alias("counts"),
-        F.array_join(F.transform("embedding", lambda x: F.round(x.cast("double") * 1000).cast("bigint").cast("string")), " ").alias("thousandths"),
+        F.array_join(F.transform(unit_vector(F.col("counts"), 1000), lambda x: F.round(x).cast("bigint").cast("string")), " ").alias("thousandths"),
     )
 
 

@@ -94,16 +94,16 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def unit_vector(counts: Column) -> Column:
-    """Counts scaled to length 1; all zero where every count is."""
+def unit_vector(counts: Column, length: int = 1) -> Column:
+    """Counts scaled to a length, in double precision; all zero where every count is."""
     square = lambda every: F.aggregate(every, F.lit(0).cast("bigint"), lambda acc, x: acc + x.cast("bigint") * x)
-    scaled = lambda every, length: F.transform(every, lambda x: F.when(length > 0, x / length).otherwise(0.0).cast("float"))
-    return _once(counts, lambda every: _once(F.sqrt(square(every)), lambda length: scaled(every, length)))
+    scaled = lambda every, own: F.transform(every, lambda x: F.when(own > 0, x * length / own).otherwise(0.0))
+    return _once(counts, lambda every: _once(F.sqrt(square(every)), lambda own: scaled(every, own)))
 
 
 def hashed_vector(content: Column, dims: int = 64) -> Column:
     """A vector without a model: term counts by bucket, scaled to length 1; all zero for a text without terms."""
-    return unit_vector(bucket_counts(content, dims))
+    return unit_vector(bucket_counts(content, dims)).cast("array<float>")
 
 
 # -- keyword index and matching ---------------------------------------------------------------------------
