@@ -189,3 +189,19 @@ def test_all_kinds_of_values_and_metrics_arrive(spark):
         {"name": k, k: {"dataPoints": [point]}} for k in kinds]}]}]}
     df = spark.read.schema(t.OTLP["metrics"]).json(spark.sparkContext.parallelize([json.dumps(metric)]))
     assert sorted((r["metric_kind"], r["value"], r["count"]) for r in t.flatten_metrics(df).collect()) == sorted((k, 2.5, 4) for k in kinds)
+
+
+def test_events_are_shared_before_their_texts_are_made(spark, tmp_path):
+    """One small file of events is one task; its texts, many times as large, are to be made by all."""
+    from tidemark.catalog import streams
+
+    events = spark.range(100).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id % 7 AS user_id", "'view' AS event_type", "1.5D AS value", "'{}' AS props"
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    for paths in (streams.whole_documents(spark, str(tmp_path)), streams.export_documents(spark, str(tmp_path))):
+        for path in paths.values():
+            plan = spark.read.text(path)
+            assert plan.count() == 100 and len(plan.inputFiles()) >= streams.MESSAGE_FILES
+    dealt = streams.dealt_events(spark, str(tmp_path))
+    assert dealt.rdd.getNumPartitions() >= streams.MESSAGE_FILES and dealt.count() == 100

@@ -24,12 +24,19 @@ from .ingestion import CHANGES_SQL, ROW, applied_sql, envelopes, user_base
 MESSAGE_FILES = 8
 
 
-def send(messages: DataFrame, path: str) -> str:
-    """Write one text column as message files for a stream to pick up."""
-    messages.repartition(MESSAGE_FILES).write.text(path)
+def send(messages: DataFrame, path: str, dealt: bool = False) -> str:
+    """Write one text column as message files for a stream to pick up; messages of rows ``dealt`` before are not moved."""
+    (messages if dealt else messages.repartition(MESSAGE_FILES)).write.text(path)
     return path
 
 
+def dealt_events(spark: SparkSession, directory: str) -> DataFrame:
+    """Events shared among all cores, and MESSAGE_FILES at least, before texts many times their size are made of them."""
+    events = raw(spark, directory, "events")
+    parts = max(MESSAGE_FILES, spark.sparkContext.defaultParallelism)
+    return events if events.rdd.getNumPartitions() >= parts else events.repartition(parts)
+
+
 def event_messages(spark: SparkSession, directory: str) -> DataFrame:
     facts = conform(star_from_shop(spark, directory).fact_events, "fact_events")
     written = facts.withColumn("event_time", F.col("event_time").cast("string"))
@@ -226,7 +233,7 @@ SERVICE = "CASE WHEN event_type = 'error' THEN 'currency' ELSE event_type END"
 def export_documents(spark: SparkSession, directory: str) -> dict[str, str]:
     """Each event as a log record, a span and a gauge point, in OTLP/JSON files."""
     root = work_path(spark, "otlp")
-    events = raw(spark, directory, "events")
+    events = dealt_events(spark, directory)
     service = F.when(F.col("event_type") == "error", "currency").otherwise(F.col("event_type"))
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
     nanos = F.concat(micros.cast("string"), F.lit("000"))
@@ -267,7 +274,7 @@ def export_documents(spark: SparkSession, directory: str) -> dict[str, str]:
     for signal, (outer, inner, leaf, body) in shapes.items():
         scoped = F.struct(scope.alias("scope"), F.array(body).alias(leaf))
         document = F.struct(F.array(F.struct(resource.alias("resource"), F.array(scoped).alias(inner))).alias(outer))
-        paths[signal] = send(events.select(F.to_json(document).alias("value")), f"{root}/{signal}")
+        paths[signal] = send(events.select(F.to_json(document).alias("value")), f"{root}/{signal}", dealt=True)
     return paths
 
 
@@ -323,7 +330,7 @@ def tel_3(spark, directory):
 
 def whole_documents(spark: SparkSession, directory: str) -> dict[str, str]:
     """Each event as a span with an event and two links, and as one data point of each kind with all that the kind holds."""
-    root, events = work_path(spark, "whole"), raw(spark, directory, "events")
+    root, events = work_path(spark, "whole"), dealt_events(spark, directory)
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
     nanos, number = F.concat(micros.cast("string"), F.lit("000")), F.col("event_id").cast("string")
     resource = F.expr("named_struct('attributes', array(named_struct('key', 'service.name', 'value', named_struct('stringValue', event_type))))")
@@ -362,7 +369,7 @@ def whole_documents(spark: SparkSession, directory: str) -> dict[str, str]:
         "traces": F.concat(F.lit('{"resourceSpans":'), head, F.lit(',"scopeSpans":[{"scope":'), F.to_json(scope), F.lit(',"spans":['), F.to_json(span), F.lit("]}]}]}")),
         "metrics": F.concat(F.lit('{"resourceMetrics":'), head, F.lit(',"scopeMetrics":[{"scope":'), F.to_json(scope), F.lit(',"metrics":'), each, F.lit("}]}]}")),
     }
-    return {signal: send(events.select(text.alias("value")), f"{root}/{signal}") for signal, text in documents.items()}
+    return {signal: send(events.select(text.alias("value")), f"{root}/{signal}", dealt=True) for signal, text in documents.items()}
 
 
 @query(
