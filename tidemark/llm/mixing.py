@@ -1,17 +1,17 @@
 """Language-model scores by logistic mixing of hashed-context bit predictors.
 
-A text is a sequence of tokens: its words, then an end. A token is spelled by its bytes and a closing space, a byte by eight
-bits. Several predictors, one per context (the last 1 to 5 bytes of the word; the last two and the place in the word), count
-zeros and ones in hashed tables of fixed size. Their log odds are added with weights that a gate chooses by the bit and by the
-longest context seen; the weights are learned online, bit by bit in small steps, while each word leaves its own counts out.
-An adaptive map then refines the mixed probability by what it was worth in training. This spells any word, also a new one.
-Words counted in training take their discounted frequency first, and the spelling shares out the rest, so that all
-probabilities of a token sum to one. Spelling is learned once per distinct word, not per occurrence, so the counts do not depend
-on how words are dealt to tasks; it is costed in order, and what a word shares with the one before it is not costed again.
+A text is a sequence of tokens: its words, then an end. Frequent words are predicted where they stand, turn by turn on a binary
+tree, in contexts that reach over the words before (see ``running``). A token that is none of them costs the way to the leaf of
+the others, and then its share among those: its discounted frequency, and for what that leaves, its spelling.
+
+Spelling takes a token by its bytes and a closing space, a byte by eight bits. Several predictors, one per context (the last 1
+to 5 bytes of the word; the last two and the place in the word), count zeros and ones in hashed tables of fixed size, are mixed
+by a gate with weights learned online while each word leaves its own counts out, and are refined by an adaptive map. This
+spells any word, also a new one; it is learned once per distinct word, since how often words come is learned from the texts.
 
 Frequencies are counted once over all training documents and once for each of a few groups of documents with alike letters
-(found by k-means over all of them). A text is scored under the frequencies of its group, backed by the common ones; naming
-the group costs log10 of their number, so the score remains a probability of the text.
+(found by k-means over all of them). A text is scored under its group, which is a context of every turn too; naming the group
+costs log10 of their number, so the score remains a probability of the text.
 """
 
 from __future__ import annotations
@@ -26,10 +26,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import columns_of, crc_mod, slices, stored
+from .common import columns_of, crc_mod, slices, stored, tidy
+from .running import CODED, Tree, lots, train_text
 
 FOLDS, HELD_OUT = 10, 0
-#: The most frequent words, whose values every task is sent; all others are joined. About 100 bytes each.
+#: The most frequent words, which every task is sent and the tree holds; all others are joined. About 100 bytes each.
 HEAD_WORDS = 1 << 17
 #: Distinct words that a task counts before it hands them on.
 COUNT_WORDS = 400_000
@@ -297,13 +298,22 @@ def group_of(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.argmin((centres**2).sum(axis=1)[None] - 2 * points @ centres.T, axis=1)
 
 
+def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The letters of each text in 256 bytes, for the rounds to read instead of texts."""
+    for batch in slices(batches, "text", 4 << 20):
+        yield pa.RecordBatch.from_arrays([pa.array([np.round(letters(t) * 255).astype(np.uint8).tobytes() for t in batch.column("text").to_pylist()])], ["point"])
+
+
 def _gatherer(centres: np.ndarray) -> Callable:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, many = np.zeros((GROUPS, 256)), np.zeros(GROUPS)
-        for batch in slices(batches, "text", 4 << 20):
-            points = np.stack([letters(t) for t in batch.column("text").to_pylist()])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points = np.frombuffer(b"".join(batch.column("point").to_pylist()), np.uint8).reshape(-1, 256) / 255
             group = group_of(points, centres)
-            np.add.at(sums, group, points)
+            for g in range(GROUPS):
+                sums[g] += points[group == g].sum(axis=0)
             many += np.bincount(group, minlength=GROUPS)
         cells = np.concatenate([sums.ravel(), many])
         yield pa.RecordBatch.from_arrays([pa.array(range(len(cells)), pa.int32()), pa.array(cells)], ["cell", "total"])
@@ -313,7 +323,8 @@ def _gatherer(centres: np.ndarray) -> Callable:
 
 def groups(train: DataFrame) -> np.ndarray:
     """Centres of the groups: far points of a few documents at first, then means over all documents."""
-    few = [letters(r["text"]) for r in train.orderBy(F.xxhash64("text")).limit(256).collect()]
+    points = stored(train.mapInArrow(_points, "point binary"), "points")
+    few = [np.frombuffer(r["point"], np.uint8) / 255 for r in points.orderBy(F.xxhash64("point")).limit(256).collect()]
     centres = [few[0] if few else np.zeros(256)]
     while len(centres) < GROUPS:
         far = [min(((x - c) ** 2).sum() for c in centres) for x in few]
@@ -321,7 +332,7 @@ def groups(train: DataFrame) -> np.ndarray:
     made = np.stack(centres)
     for _ in range(ROUNDS if few else 0):
         cells = np.zeros(GROUPS * 257)
-        for row in train.mapInArrow(_gatherer(made), "cell int, total double").groupBy("cell").agg(F.sum("total").alias("total")).collect():
+        for row in points.mapInArrow(_gatherer(made), "cell int, total double").groupBy("cell").agg(F.sum("total").alias("total")).collect():
             cells[row["cell"]] = row["total"]
         many = cells[GROUPS * 256 :]
         made = np.where(many[:, None] > 0, cells[: GROUPS * 256].reshape(GROUPS, 256) / np.maximum(many, 1)[:, None], made)
@@ -371,70 +382,99 @@ class Totals:
     def discount(self) -> float:
         return min(max(self.once / max(self.once + 2 * self.twice, 1), 0.1), 0.95)
 
+    def without(self, tokens: int, types: int, by_group: list[int], types_of: list[int]) -> Totals:
+        """What is left without some words; the discount stays that of all."""
+        left = Totals(self.tokens - tokens, self.types - types, self.once, self.twice, *([a - b for a, b in zip(x, y)] for x, y in ((self.by_group, by_group), (self.types_of, types_of))))
+        return left
+
     def base(self, c: Column) -> Column:
         return F.log10((c + 0.1) / (self.tokens + 0.1 * (self.types + 1)))
 
-    def mixed(self, c: Column, spelled: Column) -> Column:
-        """For each group, log10 of the discounted frequency there, backed by the common one, backed by the spelling. Shares
-        are added as logarithms, so that what a spelling costs counts in full, however little is left of it as a number."""
+    def mixed(self, c: Column, spelled: Column, group: Column) -> Column:
+        """log10 of the discounted frequency in the group, backed by the common one, backed by the spelling. Shares are added
+        as logarithms, so that what a spelling costs counts in full, however little is left of it as a number."""
         if not self.tokens:
-            return F.array(*[spelled] * GROUPS)
+            return spelled
         d = self.discount
 
-        def backed(count: Column, tokens: int, types: int, rest: Column) -> Column:
-            rest = F.lit(float(np.log10(d * types / tokens))) + rest
-            own = F.log10((count - d) / tokens)  # d is below one
+        def backed(count: Column, tokens: Column, left: Column, rest: Column) -> Column:
+            rest = left + rest
+            own = F.log10(count - d) - tokens  # d is below one
             more, less = F.greatest(own, rest), F.least(own, rest)
             return F.when(count > 0, more + F.log1p(F.pow(F.lit(10.0), less - more)) / LN10).otherwise(rest)
 
-        common = backed(c, self.tokens, self.types, spelled)
-        return F.array(*[backed(F.col(f"c{g}"), n, v, common) if n else common for g, (n, v) in enumerate(zip(self.by_group, self.types_of))])
+        def logs(tokens: int, types: int) -> tuple[float, float]:
+            return (float(np.log10(tokens)), float(np.log10(d * types / tokens))) if tokens else (0.0, 0.0)
+
+        common = backed(c, *map(F.lit, logs(self.tokens, self.types)), spelled)
+        of_group = [F.get(F.array(*map(F.lit, x)), group) for x in zip(*map(logs, self.by_group, self.types_of))]
+        own = backed(F.get(F.array(*[F.col(f"c{g}") for g in range(GROUPS)]), group), *of_group, common)
+        return F.when(F.get(F.array(*map(F.lit, self.by_group)), group) > 0, own).otherwise(common)
 
 
 def _speller(sent) -> Callable:
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             costs = sent.value.costs(batch.column("word").to_pylist())
-            yield batch.append_column("spelled", pa.array(costs))
+            yield batch.append_column("spelled", pa.array(costs, pa.float32()))
 
     return spell
 
 
-ROWS = "key bigint, group int, doc_id bigint, held_out boolean, n_tokens bigint, n_bytes bigint, word binary, tf bigint, n_known bigint, base double, model double"
-
-
-def _summer(sent, centres: np.ndarray) -> Callable:
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per document one row with the sums of its frequent words, and one row for each of its other words."""
-        head, known, base, models = sent.value
+def _encoder(sent, centres: np.ndarray) -> Callable:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents as ids of their tokens in order, and their other words with counts. Ids below nought are other words'."""
+        head = sent.value
         for batch in slices(batches, "text", 1 << 20):
-            docs, sums_, tails = [], [], []
-            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+            every, tails, sizes, groups_ = [], [], [], []
+            for text in batch.column("text").to_pylist():
                 words = words_of(text)
                 words.append(END)
-                at = np.fromiter((head.get(w, -1) for w in words), np.int64, len(words))
-                own = at[at >= 0]
-                group = int(group_of(letters(text)[None], centres)[0])
-                docs.append((len(words), len(text or b""), group))
-                sums_.append((int(known[own].sum()), float(base[own].sum()), float(models[own, group].sum(dtype=np.float64)) - float(np.log10(GROUPS))))
-                tails += [(key, w, n, group) for w, n in Counter(words[k] for k in np.flatnonzero(at < 0)).items()]
-            n, m = batch.num_rows, len(tails)
-            # a document's own row meets no word: its key holds a space
-            own_words = [b" %d" % k for k in batch.column("key").to_pylist()]
-            long = lambda a, more: pa.array([*a, *more], pa.int64())
-            none = [None] * m
+                at = [head.get(w, -1) for w in words]
+                other = [k for k, i in enumerate(at) if i < 0]
+                for k in other:
+                    at[k] = -1 - (zlib.crc32(words[k]) >> 1)
+                every.append(pa.array(at, pa.int32()))
+                tails.append(Counter(words[k] for k in other))
+                sizes.append((len(words), len(text or b"")))
+                groups_.append(int(group_of(letters(text)[None], centres)[0]))
+            lists = lambda parts: pa.array(np.cumsum([0, *map(len, parts)]), pa.int32())
+            found = pa.StructArray.from_arrays(
+                [pa.array([w for t in tails for w in t], pa.binary()), pa.array([n for t in tails for n in t.values()], pa.int64())], ["word", "tf"]
+            )
             yield pa.RecordBatch.from_arrays(
                 [
-                    long(batch.column("key").to_pylist(), [t[0] for t in tails]), pa.array([*[d[2] for d in docs], *[t[3] for t in tails]], pa.int32()),
-                    long(batch.column("doc_id").to_pylist(), none),
-                    pa.array([*batch.column("held_out").to_pylist(), *none], pa.bool_()), long([d[0] for d in docs], none), long([d[1] for d in docs], none),
-                    pa.array([*own_words, *[t[1] for t in tails]], pa.binary()), long([0] * n, [t[2] for t in tails]), long([s[0] for s in sums_], [0] * m),
-                    pa.array([*[s[1] for s in sums_], *[0.0] * m]), pa.array([*[s[2] for s in sums_], *[0.0] * m]),
+                    batch.column("key"), batch.column("doc_id"), batch.column("held_out"), pa.array([x[0] for x in sizes], pa.int64()),
+                    pa.array([x[1] for x in sizes], pa.int64()), pa.array(groups_, pa.int32()),
+                    pa.ListArray.from_arrays(lists(every), pa.concat_arrays(every)), pa.ListArray.from_arrays(lists(tails), found),
                 ],
-                [f.split()[0] for f in ROWS.split(", ")],
+                ["key", "doc_id", "held_out", "n_tokens", "n_bytes", "group", "ids", "tails"],
             )
 
-    return sums
+    return tidy(encode)
+
+
+SUMS = "key bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_bytes bigint, n_known bigint, base double, model double"
+
+
+def _scorer(sent) -> Callable:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per document the sums over its tokens' leaves; what other words cost beyond theirs is added by a join."""
+        model, base = sent.value
+        for batch in batches:
+            n = batch.num_rows
+            sums = np.zeros((3, n))
+            for ids, place, group, owner in lots(batch):
+                own = owner >= 0
+                frequent = own & (ids >= 0)
+                sums[0] += np.bincount(owner[frequent], minlength=n)
+                sums[1] += np.bincount(owner[frequent], base[ids[frequent]], n)
+                sums[2] += np.bincount(owner[own], model.costs(ids, place, group)[own], n)
+            named = [batch.column(c) for c in ("key", "doc_id", "held_out", "n_tokens", "n_bytes")]
+            made = [pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2] - float(np.log10(GROUPS)))]
+            yield pa.RecordBatch.from_arrays([*named, *made], [f.split()[0] for f in SUMS.split(", ")])
+
+    return tidy(score)
 
 
 def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -452,31 +492,35 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     by_group = [F.coalesce(F.sum(F.when(F.col("group") == g, F.col("c"))), F.lit(0)).alias(f"c{g}") for g in range(GROUPS)]
     # In order, so that a task's words share their beginnings.
     counted = found.groupBy("word").agg(F.sum("c").alias("c"), *by_group).repartitionByRange("word").sortWithinPartitions("word")
-    counted = stored(counted, "words")
+    counted = stored(counted, "words", "zstd")
     n = counted.filter("c > 0").agg(
         F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2),
         F.array(*[F.coalesce(F.sum(f"c{g}"), F.lit(0)) for g in range(GROUPS)]), F.array(*[F.count_if(F.col(f"c{g}") > 0) for g in range(GROUPS)]),
     ).first()
     totals = Totals(*n)
-    sent = own.sparkSession.sparkContext.broadcast(train(counted.select("word", "c")))
-    spelled = counted.mapInArrow(_speller(sent), ", ".join(["word binary", "c bigint", *[f"c{g} bigint" for g in range(GROUPS)], "spelled double"]))
-    values = stored(spelled.select("word", "c", totals.mixed(F.col("c"), F.col("spelled")).cast("array<float>").alias("models")), "values")
-
-    top = values.withColumn("base", totals.base(F.col("c"))).orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toArrow()
-    head = own.sparkSession.sparkContext.broadcast((
-        {w: k for k, w in enumerate(top.column("word").to_pylist())},
-        np.asarray(top.column("c")) > 0, np.asarray(top.column("base")),
-        np.asarray(top.column("models").combine_chunks().flatten()).reshape(-1, GROUPS),
-    ))
-    rows = own.withColumn("key", F.monotonically_increasing_id()).mapInArrow(_summer(head, centres), ROWS)
-    tail = values.select("word", "c", totals.base(F.col("c")).alias("_base"), "models")
-    met = rows.join(tail, "word", "left").select(
-        "key", "doc_id", "held_out", "n_tokens", "n_bytes",
-        (F.col("n_known") + F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("n_known"),
-        (F.col("base") + F.coalesce(F.col("tf") * F.col("_base"), F.lit(0.0))).alias("base"),
-        (F.col("model") + F.coalesce(F.col("tf") * F.get("models", F.col("group")), F.lit(0.0))).alias("model"),
+    context = own.sparkSession.sparkContext
+    # Words seen once are left to the others: how often those come is how often new words are to be expected.
+    top = counted.filter("c > 1").orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toArrow()
+    seen = np.asarray(top.column("c"))
+    in_group = np.stack([np.asarray(top.column(f"c{g}")) for g in range(GROUPS)])
+    other = totals.without(int(seen.sum()), len(seen), in_group.sum(axis=1).tolist(), (in_group > 0).sum(axis=1).tolist())
+    sent = context.broadcast(train(counted.select("word", "c")))
+    spelled = counted.filter("c < 2" if len(seen) < HEAD_WORDS else "true").mapInArrow(
+        _speller(sent), ", ".join(["word binary", "c bigint", *[f"c{g} bigint" for g in range(GROUPS)], "spelled float"])
+    )
+    tail = stored(spelled, "values", "zstd")
+
+    head = context.broadcast({w: k for k, w in enumerate(top.column("word").to_pylist())})
+    coded = stored(own.withColumn("key", F.monotonically_increasing_id()).mapInArrow(_encoder(head, centres), CODED), "coded")
+    model = train_text(coded.filter("not held_out"), Tree.of(np.append(seen, other.tokens)))
+    base = np.log10((seen + 0.1) / (totals.tokens + 0.1 * (totals.types + 1)))
+    rows = coded.drop("tails").mapInArrow(_scorer(context.broadcast((model, base))), SUMS)
+    met = coded.select("key", "group", F.explode("tails").alias("t")).select("key", "group", "t.word", "t.tf").join(tail, "word").select(
+        "key", F.when(F.col("c") > 0, F.col("tf")).otherwise(0).alias("n_known"),
+        (F.col("tf") * totals.base(F.col("c"))).alias("base"),
+        (F.col("tf") * other.mixed(F.col("c"), F.col("spelled").cast("double"), F.col("group"))).alias("model"),
     )
-    summed = met.groupBy("key").agg(
+    summed = rows.unionByName(met, allowMissingColumns=True).groupBy("key").agg(
         *[F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_bytes")], *[F.sum(c).alias(c) for c in ("n_known", "base", "model")]
     )
     return summed.select(
