@@ -192,3 +192,24 @@ def test_documents_are_counted_in_place(spark, tmp_path, monkeypatch):
         assert sorted(map(tuple, index.postings().select("token", "doc_id", "tf").collect())) == sorted(map(tuple, want))
         n = [len(x["t"]) for x in docs.select(keywords.tokens("content").alias("t")).where("t IS NOT NULL").collect()]
         assert index.counts() == (docs.count(), sum(n) / len(n))
+
+
+def test_rows_are_sorted_by_one_number(spark, tmp_path, monkeypatch):
+    """Laying out compares no rows, a lookup names its place, and tokens that share a place keep their own blocks."""
+    docs = spark.createDataFrame(ROWS, "id bigint, content string")
+    want = sorted((t, i, terms(text).count(t)) for i, text in ROWS for t in set(terms(text)))
+    laid = []
+    original = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, task, *a, **k: laid.append((task, self)) or original(self, task, *a, **k))
+    index = KeywordIndex(spark, str(tmp_path / "a"))
+    index.add(docs, "all")
+    plan = next(df for task, df in laid if task is keywords._blocks)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Sort \[place#\d+L ASC NULLS FIRST\], false", plan)
+    assert "mark" in index.first_matches("w3", 5)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(keywords, "_mark", lambda token: F.lit(7).cast("bigint"))
+    one = KeywordIndex(spark, str(tmp_path / "b"))
+    one.add(docs, "all")
+    for made in (index, one):
+        assert sorted(map(tuple, made.postings().collect())) == want
+    found = by_query(one.top_bm25(spark.createDataFrame(QUERIES, "query_id bigint, query string"), 10).orderBy("query_id", "rank").collect(), "id")
+    assert found == {q: [i for i, _ in b] for q, text in QUERIES if (b := best(text, 10))}

@@ -36,6 +36,8 @@ TASK_POSTINGS = 1 << 20
 POSTING_CHARACTERS = 8
 #: Postings that a task holds before it hands them on.
 HELD_POSTINGS = 100_000
+#: Bits of the number by which rows are sorted that tell the length; the others tell the token, by its hash.
+LENGTH_BITS = 24
 # A term, as functions.texts.tokens finds it.
 TERM = re.compile("[a-z0-9]+")
 
@@ -51,6 +53,11 @@ def _bucket(token: Column | str) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(BUCKETS)).cast("int")
 
 
+def _mark(token: Column | str) -> Column:
+    """A number by which blocks are sorted, so that a lookup leaves out what lies elsewhere; not quite every token has its own."""
+    return F.shiftrightunsigned(F.xxhash64(token, F.lit(2)), LENGTH_BITS + 1)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``id, content`` to one row per document and distinct token. A document's tokens are counted where its text lies."""
     ids, found, counts, lengths = [], [], [], []
@@ -74,7 +81,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by token and length to blocks. What is left of a batch is carried into the next, so it is at most a block."""
+    """Rows to blocks; those of a token lie together by length. Where two tokens are mixed, blocks are smaller. What is left of a batch is carried into the next, so it is at most a block."""
     rest: pa.Table | None = None
     for one in batches:
         rows = pa.Table.from_batches([one])
@@ -177,10 +184,11 @@ class KeywordIndex:
         share = F.pmod(F.xxhash64("token", _bin(F.col("length")), F.lit(1)), F.lit(shares))
         task = (bucket * tasks / BUCKETS if tasks < BUCKETS else bucket * shares + share).cast("int")
         dealt = rows.withColumn("bucket", _bucket("token")).repartitionById(tasks if tasks < BUCKETS else BUCKETS * shares, task)
-        # By token at once: rows of a task are of few buckets, which would all be compared in vain.
-        laid = dealt.sortWithinPartitions("token", "length", "id").select("token", "id", "length", "count")
+        # By one number, which is sorted without comparing rows.
+        place = F.shiftleft(_mark("token"), LENGTH_BITS) + F.least("length", F.lit((1 << LENGTH_BITS) - 1))
+        laid = dealt.withColumn("place", place).sortWithinPartitions("place").select("token", "id", "length", "count")
         blocks = laid.mapInArrow(_blocks, POSTINGS)
-        blocks.withColumn("bucket", _bucket("token")).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/postings/segment={name}")
+        blocks.withColumn("mark", _mark("token")).withColumn("bucket", _bucket("token")).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/postings/segment={name}")
 
     def _seal(self, sums: DataFrame, name: str) -> None:
         postings = self._postings([name]).agg(F.coalesce(F.sum("docs"), F.lit(0)).cast("bigint").alias("postings"))
@@ -211,7 +219,7 @@ class KeywordIndex:
 
     def _postings(self, names: list[str]) -> DataFrame:
         """Blocks of the named segments with ``segment`` and ``bucket``."""
-        schema = POSTINGS + ", bucket int, segment string"
+        schema = POSTINGS + ", mark bigint, bucket int, segment string"
         paths = [f"{self.root}/postings/segment={n}" for n in names]
         if not paths:
             return self.spark.createDataFrame([], schema)
@@ -241,8 +249,9 @@ class KeywordIndex:
         if names is None:
             return every.join(broadcast_if_small(terms.select("token").distinct(), many), "token", "left_semi")
         wanted = self.spark.createDataFrame([(t,) for t in names], "token string")
-        buckets = sorted({r[0] for r in wanted.select(_bucket("token")).collect()})
-        return every.where(F.col("bucket").isin(buckets) & F.col("token").isin(names))
+        places = wanted.select(_bucket("token"), _mark("token")).collect()
+        buckets, marks = (sorted(set(x)) for x in zip(*places)) if places else ([], [])
+        return every.where(F.col("bucket").isin(buckets) & F.col("mark").isin(marks) & F.col("token").isin(names))
 
     def counts(self) -> tuple[int, float]:
         """Documents, and the mean number of tokens of those that have a text."""
