@@ -497,12 +497,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group that links join, with all its columns: the one with the smallest id, then the first row.
 
     Rows are told apart by a number of their own. Of a row that is there twice one stays, unless its text has no words, since
-    such texts link with nothing; rows of one id with different texts are in the groups of their texts; a null id comes after
-    all others, and stays where its group has no other. Columns of any name pass through. No rows give no rows.
+    such texts link with nothing; rows of one id with different texts are in the groups of their texts. A row without an id is
+    never the one of a group that has ids, and always stays. Columns of any name pass through. No rows give no rows.
     """
     own, row = numbered(docs)
     placed = near_duplicates(own, doc_id=row).select(F.col("doc_id").alias("row"), "component_id")
     rows = stored(placed.join(columns_of(own, row=row, own="doc_id"), "row"), "placed")
     first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("own").isNull(), "own", "row"))["row"].alias("first"))
-    gone = stored(rows.join(first, "component_id").filter("row <> first").select(F.col("row").alias(row)), "gone")
+    gone = stored(rows.join(first, "component_id").filter("row <> first AND own IS NOT NULL").select(F.col("row").alias(row)), "gone")
     return own.join(gone, row, "left_anti").drop(row)
