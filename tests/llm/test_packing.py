@@ -18,7 +18,7 @@ def test_encoder_equals_the_tokenizer(spark):
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     texts += [None, "", "a\x1cb \x1d c", "x<|endoftext|>y <|startoftext|>", "don't I'LL Á  ΟΔΟΣ Σ", "ͅ ́a", "It's we'll''s !'s a<|b 12x34 ÀÉß×÷ª² x_y", "É É ǅ İ ﬁ"]
     plain = Tokenizer.from_file(PATH).encode_batch([t or "" for t in texts], add_special_tokens=False)
-    assert [x.tolist() for x in packing.Encoder(PATH).encode(texts)] == [x.ids for x in plain]
+    assert [x.tolist() for x in packing.Encoder(public_tokenizers.path("word_bpe_49k.json")).encode(texts)] == [x.ids for x in plain]
 
 
 def test_encoder_forgets_and_stays_right():
@@ -82,3 +82,17 @@ def test_sequences_hold_the_ids(frame):
 
 def test_no_rows(frame):
     assert packing.pack(frame([])).count() == 0
+
+
+def test_parts_that_come_again_are_encoded_once():
+    words = ["".join(chr(97 + (k // 26**d) % 26) for d in range(4)) for k in range(160_000)]
+    made, asked = packing.Encoder(public_tokenizers.path("word_bpe_49k.json")), []
+    own = made.closed.ids
+    made.closed = type("Counted", (), {"ids": staticmethod(lambda parts: asked.append(len(parts)) or own(parts))})
+    lots = [" ".join(words[k : k + 40_000]) for k in range(0, len(words), 40_000)]
+    ids = [next(iter(made.encode([lot]))).tolist() for lot in lots + lots[:1]]
+    assert ids[0] == ids[4] and asked == [40_000] * 4 + [0]
+    odd = f"{words[3]}, {words[3].upper()} ΑΣ {words[9]}'s"
+    assert next(iter(made.encode([odd]))).tolist() == made.made.encode(odd, add_special_tokens=False).ids
+    made.rest()
+    assert not made.older

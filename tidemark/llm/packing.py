@@ -6,6 +6,7 @@ import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -19,8 +20,8 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 #: Pieces that are packed together. More pieces fill sequences no better by more than one sequence a lot.
 LOT_PIECES = 16384
-#: Parts of words whose ids a worker keeps, in bytes; beyond it, those not met of late are dropped.
-PART_BYTES = 20 << 20
+#: Parts of words whose ids a task keeps, in bytes; beyond it, those not met of late are dropped. Between tasks a worker keeps half.
+PART_BYTES = 60 << 20
 #: Texts that are encoded together, in bytes.
 TEXT_BYTES = 8 << 20
 
@@ -96,11 +97,19 @@ class Encoder:
             for x in self.made.encode_batch_fast(texts[k : k + 4096], add_special_tokens=False):
                 yield np.asarray(x.ids, "<u4").tobytes()
 
+    def rest(self) -> None:
+        """Drop what a worker need not hold until its next task."""
+        self.older = {}
+        if self.held > self.limit:
+            self.parts, self.held = {}, 0
+
     def _words(self, words: list[str]) -> list[bytes]:
         """The ids of each word, four bytes each."""
-        split = [self.PART.findall(w.lower()) if self.PLAIN.fullmatch(w) and self.SPECIAL not in w else None for w in words]
+        # A word that is kept as a part is that part alone.
+        cut, plain, known = self.PART.findall, self.PLAIN.fullmatch, self.parts
+        split = [(w,) if w in known else cut(w.lower()) if plain(w) and self.SPECIAL not in w else None for w in words]
         other = self._raw([w for w, p in zip(words, split) if p is None])
-        needed = set().union(*(p for p in split if p))
+        needed = set(chain.from_iterable(filter(None, split)))
         if self.held > self.limit:
             self.older, self.parts, self.held = self.parts, {}, 0
         absent = needed - self.parts.keys()
@@ -149,6 +158,7 @@ def _cutter(path: str, width: int, end_id: int) -> Callable:
                 [pa.array([r[k] for r in out], pa.int32() if k == 1 else pa.int64()) for k in range(6)],
                 ["doc_id", "piece", "start", "length", "ids_crc32", "spread"],
             )
+        encoder(path).rest()
 
     return cut
 
