@@ -95,3 +95,12 @@ def test_other_columns(spark):
 @pytest.mark.parametrize("name", ["digests", "tokens"])
 def test_no_rows(frame, name):
     assert getattr(wordids, name)(frame([])).count() == 0
+
+
+def test_blocks_are_not_shuffled_again(spark, frame):
+    docs = frame([(k, f"same words and rare{k} ones") for k in range(30)])
+    found = wordids.digests(docs, block_bytes=64, common=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # One shuffle brings ids back by block; the blocks with their places are read where they lie.
+    assert plan.count("Exchange hashpartitioning(block") == 1 and "Bucketed: true" in plan
+    assert found.count() == 30

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import columns_of, slices, stored, tidy
+from .common import columns_of, slices, stored_by, tidy
 from .packing import Encoder, tokenizer_of
 
 #: Texts whose words are numbered together, in bytes; a longer text is numbered alone.
@@ -128,9 +128,11 @@ BLOCKS = "block bigint, docs array<bigint>, counts array<bigint>, places binary,
 
 
 def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = BLOCK_BYTES) -> DataFrame:
-    """The documents as a stored table of blocks (see ``_splitter``); repeated rows and null ids keep a place of their own."""
+    """The documents as a stored table of blocks (see ``_splitter``); repeated rows and null ids keep a place of their own.
+
+    They are bucketed by block, so that they stay where they are when the ids of their words come back."""
     own = columns_of(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stored(own.mapInArrow(tidy(_splitter(size)), BLOCKS), "blocks", compression="zstd")
+    return stored_by(own.mapInArrow(tidy(_splitter(size)), BLOCKS), "block", "blocks", compression="zstd")
 
 
 def _ids_of(path: str) -> Callable[[list[str]], list[bytes]]:
