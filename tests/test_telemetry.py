@@ -205,3 +205,13 @@ def test_events_are_shared_before_their_texts_are_made(spark, tmp_path):
             assert plan.count() == 100 and len(plan.inputFiles()) >= streams.MESSAGE_FILES
     dealt = streams.dealt_events(spark, str(tmp_path))
     assert dealt.rdd.getNumPartitions() >= streams.MESSAGE_FILES and dealt.count() == 100
+
+
+@pytest.mark.parametrize("name, signal", [("tel_4", "traces"), ("tel_5", "logs")])
+def test_a_query_streams_only_the_signals_it_reads(spark, monkeypatch, name, signal):
+    from tidemark.catalog import QUERIES, streams
+
+    started = []
+    monkeypatch.setattr(streams, "ingest_signals", lambda spark, inputs, *rest, **more: started.extend(inputs) or ingest_signals(spark, inputs, *rest, **more))
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert started == [signal]

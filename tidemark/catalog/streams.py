@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import changes as ch, quality as q
@@ -230,8 +232,8 @@ def ing_19_records(spark, directory):
 SERVICE = "CASE WHEN event_type = 'error' THEN 'currency' ELSE event_type END"
 
 
-def export_documents(spark: SparkSession, directory: str) -> dict[str, str]:
-    """Each event as a log record, a span and a gauge point, in OTLP/JSON files."""
+def export_documents(spark: SparkSession, directory: str, signals: Iterable[str] = tuple(OTLP)) -> dict[str, str]:
+    """Each event as a log record, a span and a gauge point, in OTLP/JSON files of the named signals."""
     root = work_path(spark, "otlp")
     events = dealt_events(spark, directory)
     service = F.when(F.col("event_type") == "error", "currency").otherwise(F.col("event_type"))
@@ -271,17 +273,20 @@ def export_documents(spark: SparkSession, directory: str) -> dict[str, str]:
         "metrics": ("resourceMetrics", "scopeMetrics", "metrics", metric),
     }
     paths = {}
-    for signal, (outer, inner, leaf, body) in shapes.items():
+    for signal in signals:
+        outer, inner, leaf, body = shapes[signal]
         scoped = F.struct(scope.alias("scope"), F.array(body).alias(leaf))
         document = F.struct(F.array(F.struct(resource.alias("resource"), F.array(scoped).alias(inner))).alias(outer))
         paths[signal] = send(events.select(F.to_json(document).alias("value")), f"{root}/{signal}", dealt=True)
     return paths
 
 
-def ingested(spark: SparkSession, directory: str, **options) -> dict[str, DatedTable]:
+def ingested(spark: SparkSession, directory: str, signals: Iterable[str] = tuple(OTLP), **options) -> dict[str, DatedTable]:
+    """The tables of the signals, each fed by a stream of its own; a query streams those that it reads."""
     root = work_path(spark, "otel")
-    sync.wait(ingest_signals(spark, export_documents(spark, directory), root, f"{root}/checkpoints", **options))
-    return signal_tables(spark, root)
+    sync.wait(ingest_signals(spark, export_documents(spark, directory, signals), root, f"{root}/checkpoints", **options))
+    tables = signal_tables(spark, root)
+    return {signal: tables[signal] for signal in signals}
 
 
 @query(
@@ -418,7 +423,7 @@ def tel_1_whole(spark, directory):
 )
 def tel_4(spark, directory):
     # Days of the streamed table expire; the batch that is delivered again afterwards does not bring them back.
-    table = ingested(spark, directory)["traces"]
+    table = ingested(spark, directory, ["traces"])["traces"]
     before = table.current()
     today = before.agg(F.max("event_date")).first()[0]
     late = checkpointed(spark, before.drop("event_date"))
@@ -433,7 +438,7 @@ def tel_4(spark, directory):
     CAST(0 AS BIGINT) AS days_left_in_pieces FROM events WHERE event_type <> 'error'""",
 )
 def tel_5(spark, directory):
-    table = ingested(spark, directory, bytes_per_trigger=sync.FLUSH_BYTES)["logs"]
+    table = ingested(spark, directory, ["logs"], bytes_per_trigger=sync.FLUSH_BYTES)["logs"]
     return _packed(table, F.col("trace_id").cast("bigint"))
 
 
