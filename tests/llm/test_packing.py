@@ -96,3 +96,13 @@ def test_parts_that_come_again_are_encoded_once():
     assert next(iter(made.encode([odd]))).tolist() == made.made.encode(odd, add_special_tokens=False).ids
     made.rest()
     assert not made.older
+
+
+def test_lean_gives_the_same_pieces_and_keeps_nothing(frame, odd_texts):
+    docs = frame([(i, t) for i, t in odd_texts if i is not None])
+    placed = lambda df: sorted(tuple(r) for r in df.collect())
+    assert placed(packing.pack(docs, lean=True)) == placed(packing.pack(docs))
+    packing.tokenizer_of(PATH)
+    batches = docs.select("doc_id", "text").toArrow().to_batches()
+    assert sum(b.num_rows for b in packing._cutter(PATH, 4096, 1, lean=True)(iter(batches))) >= len(odd_texts) - 1
+    assert PATH not in packing._TOKENIZERS

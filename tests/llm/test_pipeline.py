@@ -107,3 +107,25 @@ def test_rows_not_ids_are_decided_on(spark, tmp_path):
     assert set(apart) - set(clean) == {(105, text[5])} and (None, text[4][::-1]) in clean
     pieces = run(spark, folder).collect()
     assert sorted(str(p.doc_id) for p in pieces if p.piece == 0) == sorted(str(i) for i, _ in clean)
+
+
+def test_stages_hand_rows_to_python_in_small_batches(spark, monkeypatch):
+    """Long texts came 10,000 at a time, so that batches grew with them."""
+    key, sizes = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(key, None)
+    docs = spark.createDataFrame([(i, "word " * 20_000) for i in range(200)], "doc_id bigint, text string").coalesce(1)
+
+    def measured(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["size"])
+
+    def stage(spark, docs, sf_dir):
+        sizes.extend(r["size"] for r in docs.mapInArrow(measured, "size bigint").collect())
+        return docs
+
+    corpus_pipeline._bounded(stage)(spark, docs, FOLDER)
+    assert max(sizes) < 2 * corpus_pipeline.HANDED_BYTES < sum(sizes)
+    assert spark.conf.get(key, None) == before
+    assert all(hasattr(stage, "__wrapped__") for _, stage in STAGES)
