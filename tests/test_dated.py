@@ -1,6 +1,7 @@
 """Tables by day: late records, replays, packing, expiry."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -100,3 +101,24 @@ def test_a_running_stream_keeps_to_its_time(spark, work):
         assert ids(table) == [1] and query.isActive
     finally:
         query.stop()
+
+
+def test_batches_leave_no_shuffle_files(spark, work):
+    """They would add up to all that a stream has read, until the driver happens to collect its garbage."""
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in files.split("\n") if "/shuffle_" in f}
+
+    for n in range(3):
+        rows(spark, *[(n * 1000 + i, f"2024-05-{1 + i % 9:02d} 10:00:00") for i in range(1000)]).write.parquet(f"{work}/in/{n}")
+    before = shuffled()
+    stream = spark.readStream.schema(ROW).option("maxFilesPerTrigger", 8).parquet(f"{work}/in/*")
+    table = DatedTable(spark, f"{work}/out", ROW)
+    sync.wait([sync.dated_stream(stream, table, f"{work}/checkpoint")])
+    until = time.time() + 20  # the files are removed beside what follows
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert ids(table) == list(range(3000)) and len(partition_values(spark, f"{table.root}/rows/event_date=2024-05-01", "batch")) > 1
+    assert spark.conf.get(sync.DROP_SHUFFLES, "false") == "false"  # other queries of the session keep theirs

@@ -10,6 +10,7 @@ from tidemark.functions.times import in_zone
 from tidemark.operators import telemetry as t
 from tidemark.sources.schemas import PRODUCT_DOCUMENT
 from tidemark.streaming import sync
+from tidemark.sources.folders import partition_values
 from tidemark.streaming.telemetry import ingest_signals, signal_tables
 
 
@@ -215,3 +216,25 @@ def test_a_query_streams_only_the_signals_it_reads(spark, monkeypatch, name, sig
     monkeypatch.setattr(streams, "ingest_signals", lambda spark, inputs, *rest, **more: started.extend(inputs) or ingest_signals(spark, inputs, *rest, **more))
     assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
     assert started == [signal]
+
+
+def test_whole_documents_lie_compressed_and_go_through_in_batches(spark, tmp_path, monkeypatch):
+    """Texts are many times the events and shuffled rows are as many: neither is to lie on disk at once in full."""
+    from tidemark.catalog import QUERIES, streams
+
+    events = spark.range(400).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id % 7 AS user_id", "'view' AS event_type", "1.5D AS value", "'{}' AS props"
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(streams, "WHOLE_FILE_RECORDS", 25)
+    monkeypatch.setattr(streams, "WHOLE_BATCH_BYTES", 3_000)
+    inputs, out = {}, []
+    monkeypatch.setattr(streams, "ingest_signals", lambda spark, paths, to, *rest, **more: (inputs.update(paths), out.append(to), ingest_signals(spark, paths, to, *rest, **more))[-1])
+    found = {r["part"]: (r["rows"], r["numbers"]) for r in QUERIES["tel_1_whole"](spark, str(tmp_path)).collect()}
+    ids = sum(range(400))
+    assert found["span events"] == (400, ids) and found["links"] == (800, 2 * ids) and found["gauge"] == (400, 600)
+    assert found["histogram"] == (400, ids + 400 * 8) and len(found) == 7
+    for signal, path in inputs.items():
+        per_file = spark.read.text(path).groupBy(F.input_file_name().alias("file")).count().collect()
+        assert sum(r["count"] for r in per_file) == 400 and all(r["count"] <= 25 and r["file"].endswith(".gz") for r in per_file)
+        assert len(partition_values(spark, f"{out[0]}/otel_{signal}/rows/event_date=2024-01-01", "batch")) > 1

@@ -24,11 +24,19 @@ from .base import NOW, STAR, query, stamp
 from .ingestion import CHANGES_SQL, ROW, applied_sql, envelopes, user_base
 
 MESSAGE_FILES = 8
+WHOLE_FILE_RECORDS = 100_000  # some MB a file, compressed, of documents with all that a signal can hold
+WHOLE_BATCH_BYTES = 256 * 1024 * 1024  # what a batch of such files shuffles is a few times that
 
 
-def send(messages: DataFrame, path: str, dealt: bool = False) -> str:
-    """Write one text column as message files for a stream to pick up; messages of rows ``dealt`` before are not moved."""
-    (messages if dealt else messages.repartition(MESSAGE_FILES)).write.text(path)
+def send(messages: DataFrame, path: str, dealt: bool = False, records_per_file: int | None = None) -> str:
+    """Write one text column as message files for a stream to pick up; messages of rows ``dealt`` before are not moved.
+
+    With ``records_per_file`` files are compressed; none can be split then, so their number grows with the messages.
+    """
+    writer = (messages if dealt else messages.repartition(MESSAGE_FILES)).write
+    if records_per_file:
+        writer = writer.option("compression", "gzip").option("maxRecordsPerFile", records_per_file)
+    writer.text(path)
     return path
 
 
@@ -374,7 +382,10 @@ def whole_documents(spark: SparkSession, directory: str) -> dict[str, str]:
         "traces": F.concat(F.lit('{"resourceSpans":'), head, F.lit(',"scopeSpans":[{"scope":'), F.to_json(scope), F.lit(',"spans":['), F.to_json(span), F.lit("]}]}]}")),
         "metrics": F.concat(F.lit('{"resourceMetrics":'), head, F.lit(',"scopeMetrics":[{"scope":'), F.to_json(scope), F.lit(',"metrics":'), each, F.lit("}]}]}")),
     }
-    return {signal: send(events.select(text.alias("value")), f"{root}/{signal}", dealt=True) for signal, text in documents.items()}
+    return {
+        signal: send(events.select(text.alias("value")), f"{root}/{signal}", dealt=True, records_per_file=WHOLE_FILE_RECORDS)
+        for signal, text in documents.items()
+    }
 
 
 @query(
@@ -391,7 +402,8 @@ def whole_documents(spark: SparkSession, directory: str) -> dict[str, str]:
 def tel_1_whole(spark, directory):
     # What each kind holds beyond its number comes back whole from the streamed tables.
     root = work_path(spark, "otel")
-    sync.wait(ingest_signals(spark, whole_documents(spark, directory), root, f"{root}/checkpoints"))
+    inputs = whole_documents(spark, directory)
+    sync.wait(ingest_signals(spark, inputs, root, f"{root}/checkpoints", bytes_per_trigger=WHOLE_BATCH_BYTES))
     tables = signal_tables(spark, root)
     spans, points = tables["traces"].current(), tables["metrics"].current()
     rows, add = F.count(F.lit(1)).alias("rows"), lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
